@@ -10,6 +10,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as vocab
+
+    from .packing import pack_documents
+
+    return pack_documents(_table(spark, sf_dir, "documents"), vocab.path("byte_bpe_50k.json"), ranks_path=vocab.path("byte_bpe_50k.tiktoken"), pattern=vocab.PATTERN)
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as vocab
+
+    from .bpe import decode_documents, encode_documents
+
+    path = vocab.path("byte_bpe_multi_50k.tiktoken")
+    coded = decode_documents(encode_documents(_table(spark, sf_dir, "documents"), path, vocab.PATTERN), path)
+    return coded.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
@@ -39,6 +57,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_byte_bpe": op6_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_sharding": op8_sharding,
     "op10_chat_formatting": op10_chat_formatting,
