@@ -10,6 +10,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embed_dedup import embedding_near_dedup
+
+    return embedding_near_dedup(_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+OP1_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), c(id, r) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT c.id, l.b FROM c JOIN l ON c.r = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN (SELECT id, min(r) AS component_id FROM c GROUP BY id) c ON c.id = e.vec_id
+"""
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as vocab
 
@@ -18,6 +38,28 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), vocab.path("byte_bpe_50k.json"), ranks_path=vocab.path("byte_bpe_50k.tiktoken"), pattern=vocab.PATTERN)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    return dedup_lines(_table(spark, sf_dir, "documents"), min_sites=10).select("doc_id", "n_lines", "n_removed", "text")
+
+
+OP4_SQL = """
+WITH l AS (
+  SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents
+), s AS (
+  SELECT trim(line) AS k, count(DISTINCT site) AS sites, min(struct_pack(d := doc_id, p := pos)) AS first FROM l WHERE trim(line) <> '' GROUP BY 1
+), f AS (
+  SELECT l.*, coalesce(s.sites >= 10 AND NOT (s.first.d = l.doc_id AND s.first.p = l.pos), false) AS gone FROM l LEFT JOIN s ON trim(l.line) = s.k
+), r AS (
+  SELECT doc_id, count(*)::INTEGER AS n_lines, count(*) FILTER (gone)::INTEGER AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text FROM f GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(r.n_lines, 0) AS n_lines, coalesce(r.n_removed, 0) AS n_removed, CASE WHEN d.text IS NULL THEN NULL ELSE r.text END AS text
+FROM documents d LEFT JOIN r USING (doc_id)
+"""
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as vocab
 
@@ -57,6 +99,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
@@ -65,5 +109,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_embedding_near_dedup": OP1_SQL,
+    "op4_line_dedup": OP4_SQL,
     "op7_exact_dedup": OP7_SQL,
 }
