@@ -60,6 +60,28 @@ FROM documents d LEFT JOIN r USING (doc_id)
 """
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import ngram_join
+
+    return ngram_join(_table(spark, sf_dir, "documents"), width=5, threshold=0.8)
+
+
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w
+), c AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, '|' ORDER BY g)) AS k FROM s GROUP BY doc_id
+), r AS (SELECT k, min(doc_id) AS rep, any_value(n) AS n, count(*) AS m FROM c GROUP BY k
+), i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id WHERE a.doc_id IN (SELECT rep FROM r) AND b.doc_id IN (SELECT rep FROM r) GROUP BY ALL
+), l AS (SELECT i.a, i.b, rb.m FROM i JOIN r ra ON ra.rep = i.a JOIN r rb ON rb.rep = i.b WHERE i.x >= 0.8 * (ra.n + rb.n - i.x) - 1e-9
+), z(id, o) AS (SELECT rep, rep FROM r UNION SELECT z.id, l.b FROM z JOIN l ON z.o = l.a
+), f AS (SELECT r.k, r.m - 1 + coalesce((SELECT sum(l.m) FROM l WHERE l.a = r.rep), 0) AS n_links, (SELECT min(z.o) FROM z WHERE z.id = r.rep) AS class_id FROM r)
+SELECT d.doc_id, coalesce(f.class_id, d.doc_id) AS class_id, coalesce(f.n_links, 0)::BIGINT AS n_links, d.doc_id = coalesce(f.class_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN f ON c.k = f.k
+"""
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as vocab
 
@@ -101,6 +123,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_ngram_join": op5_ngram_join,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
@@ -109,6 +132,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_ngram_join": OP5_SQL,
     "op1_embedding_near_dedup": OP1_SQL,
     "op4_line_dedup": OP4_SQL,
     "op7_exact_dedup": OP7_SQL,
