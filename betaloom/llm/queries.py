@@ -30,6 +30,14 @@ FROM embeddings e JOIN (SELECT id, min(r) AS component_id FROM c GROUP BY id) c
 """
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_fm import fit_quality, held_out, score_quality
+
+    docs = _table(spark, sf_dir, "documents")
+    scored = score_quality(docs, fit_quality(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as vocab
 
@@ -111,6 +119,14 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(_table(spark, sf_dir, "documents"), 16).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid_crf import fit_langid, held_out, identify_language
+
+    docs = _table(spark, sf_dir, "documents")
+    named = identify_language(docs, fit_langid(docs))
+    return named.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import chat_digests, format_chats
 
@@ -122,12 +138,14 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_line_dedup": op4_line_dedup,
     "op5_ngram_join": op5_ngram_join,
-    "op3_best_fit_packing": op3_best_fit_packing,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_sharding": op8_sharding,
+    "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
