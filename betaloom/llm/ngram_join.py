@@ -198,7 +198,7 @@ def _verify(rule, threshold, width):
 
 
 def ngram_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, tolerance: float = 1e-7, block_rows: int = 512, block_bytes: int = 8 << 20, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """One row per input row: doc_id, class_id, n_links, kept.
+    """One row per input row: doc_id, class_id, n_links, kept, text_hash (xxhash64 of the text).
 
     Two documents are linked when the Jaccard similarity of their sets of `width`-word shingles (lower case, words
     end at ASCII white space) is at least the threshold. class_id is the smallest doc_id reachable by links, n_links
@@ -246,5 +246,5 @@ def ngram_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     ends = materialize(ends.withColumn("component", F.coalesce("component", "cid")), "gram-ends")
     head = ends.groupBy("component").agg(F.min(F.struct(F.col("low").isNull().alias("no_id"), F.col("low"), F.col("cid"))).alias("head"))
     ends = ends.join(head, "component").select("d1", "d2", "n", F.col("head.low").alias("class_id"), F.col("head.cid").alias("keep"), (F.col("m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    out = signed.where("n > 0").join(ends, ["d1", "d2", "n"]).select("doc_id", "class_id", "n_links", (F.col("row") == F.col("keep")).alias("kept"))
-    return out.unionByName(signed.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept")))
+    out = signed.where("n > 0").join(ends, ["d1", "d2", "n"]).select("doc_id", "class_id", "n_links", (F.col("row") == F.col("keep")).alias("kept"), F.col("t").alias("text_hash"))
+    return out.unionByName(signed.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"), F.col("t").alias("text_hash")))

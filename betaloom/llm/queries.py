@@ -71,7 +71,7 @@ FROM documents d LEFT JOIN r USING (doc_id)
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import ngram_join
 
-    return ngram_join(_table(spark, sf_dir, "documents"), width=5, threshold=0.8)
+    return ngram_join(_table(spark, sf_dir, "documents"), width=5, threshold=0.8).drop("text_hash")
 
 
 OP5_SQL = r"""

@@ -33,7 +33,7 @@ def _running(batches):
             base, row = base + int(cum[-1]), row + n
 
 
-def shard_by_bytes(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard_by_bytes(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text", seq_col: str | None = None) -> DataFrame:
     """One row per input row: doc_id, seq, size (UTF-8 bytes + 1), text_crc32, shard, slot (gapless from 0 in its shard).
 
     Null or empty text: size 1, checksum 0. Null ids come first. Repeated rows and equal ids keep a place each, in
@@ -46,7 +46,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
         F.col(id_col).cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).alias("text_crc32"),
-        F.monotonically_increasing_id().alias("seq"),
+        (F.col(seq_col) if seq_col else F.monotonically_increasing_id()).alias("seq"),
     )
     sized = materialize(sized, "shard-sizes")
     dealt = sized.repartitionByRange(shuffle_partitions(spark), "doc_id", "seq").sortWithinPartitions("doc_id", "seq")
@@ -68,7 +68,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the rows of docs as shard=N folders below path, each in slot order within its files."""
-    kept = materialize(docs, "shard-input")
-    plan = shard_by_bytes(kept, n_shards, id_col, text_col).select("seq", "shard", "slot")
-    rows = kept.withColumn("seq", F.monotonically_increasing_id()).join(plan, "seq").drop("seq")
-    rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    kept = materialize(docs.withColumn("__seq", F.monotonically_increasing_id()), "shard-input")
+    plan = shard_by_bytes(kept, n_shards, id_col, text_col, seq_col="__seq").select(F.col("seq").alias("__seq"), F.col("shard").alias("__shard"), "slot")
+    rows = kept.join(plan.withColumnRenamed("slot", "__slot"), "__seq").drop("__seq").withColumnRenamed("__shard", "shard")
+    rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "shard", "__slot").sortWithinPartitions("shard", "__slot").drop("__slot").write.partitionBy("shard").parquet(path)
