@@ -157,11 +157,10 @@ def train(texts: list[str], labels: list[str], *, epochs: int = 6, batch: int =
     data, offsets = utf8(pa.array(texts, pa.string()))
     starts, ends, before = words(data, offsets, LETTER)
     gold = np.array([names.index(x) for x in labels])
-    feats = list(word_features(Hasher(data), starts, ends))
-    word = np.concatenate([h for h, _ in feats])
-    index = np.concatenate([i for _, i in feats])
+    word, index = (np.concatenate(x) for x in zip(*((h.astype(np.int32), i.astype(np.int32)) for h, i in word_features(Hasher(data), starts, ends))))
     order = np.argsort(word, kind="stable")
     word, index = word[order], index[order]
+    del order
     at = np.searchsorted(word, np.arange(len(starts) + 1))
     rng = np.random.default_rng(seed)
     squares, s_start, s_change = np.full((1 << BITS, L), 1e-4), np.full(L, 1e-4), np.full((L, L), 1e-4)
@@ -231,7 +230,7 @@ def held_out(id_col: str, folds: int = 4, fold: int = 2):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold
 
 
-def fit_langid(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 4_000, per_text: int = 3, length: int = 24, **training) -> Tagger:
+def fit_langid(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 3_000, per_text: int = 2, length: int = 24, **training) -> Tagger:
     """Fit on at most max_rows documents with a language outside the held-out fold (those whose hashed ids are smallest), per_text stretches of each.
 
     Null ids, languages and texts are left out. With fewer than two languages, all text gets the one there is.
@@ -258,7 +257,7 @@ def identify_language(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id"
         for b in batches:
             pred, score = [UNDETERMINED] * b.num_rows, np.zeros(b.num_rows)
             letter = b.column("__letter").to_pylist()
-            for lo, hi in slices(b.column("__text"), 4 << 20):
+            for lo, hi in slices(b.column("__text"), 1 << 20):
                 _, _, before, post = tagger.tag(*utf8(b.column("__text").slice(lo, hi - lo)))
                 total = np.concatenate([np.zeros((1, post.shape[1])), np.cumsum(post, axis=0)])
                 mass = (total[before[1:]] - total[before[:-1]]) / np.maximum(np.diff(before), 1)[:, None]
@@ -276,7 +275,7 @@ def tag_words(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_c
 
     def run(batches):
         for b in batches:
-            for lo, hi in slices(b.column("text")):
+            for lo, hi in slices(b.column("text"), 1 << 20):
                 data, offsets = utf8(b.column("text").slice(lo, hi - lo))
                 starts, ends, before, post = tagger.tag(data, offsets)
                 raw, best = data.tobytes(), post.argmax(axis=1) if len(post) else np.empty(0, int)
