@@ -7,6 +7,20 @@ from pyspark.sql import functions as F
 
 from .store import materialize, release
 
+SALTS = 32
+
+
+def _lowest(rows: DataFrame, own: bool) -> DataFrame:
+    """rows (u, v) with m, the smallest v of the same u (or u itself, with own), and s, a salt of v.
+
+    Nodes with very many neighbours are dealt by (u, s): the minimum is taken per salt, then over a node's few salts.
+    """
+    rows = rows.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    part = rows.groupBy("u", "s").agg(F.min("v").alias("m"))
+    low = part.groupBy("u").agg(F.min("m").alias("low"))
+    low = part.select("u", "s").join(low, "u").select("u", "s", (F.least("low", "u") if own else F.col("low")).alias("m"))
+    return rows.join(low, ["u", "s"])
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges (a long, b long) to (node, component), the smallest node reachable; nodes without edges are absent.
@@ -19,11 +33,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     seen = now.agg(mark).head()[0]
     while seen["n"]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _lowest(both, True).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(large, "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        low = _lowest(large, False)
+        small = low.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.where("v = m").select("u", "v")).distinct()
         after = materialize(small, "small-star")
         got = after.agg(mark).head()[0]
         release(large)
