@@ -21,7 +21,7 @@ from betaloom.llm.quality_fm import fit_quality, score_quality
 from betaloom.llm.store import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-MIN_LANGUAGE_SCORE = 0.35
+MIN_LANGUAGE_SCORE = 0.3
 MIN_QUALITY = 0.3
 MIN_SITES = 10
 
