@@ -115,8 +115,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray]], stats: np.ndarray, labels: np.ndarray, rank: int = 8, epochs: int = 8, batch: int = 128, rate: float = 0.1, decay: float = 1e-5, seed: int = 3) -> Model:
-    """Fit by AdaGrad on the log loss. rows: word indices and weights of each text; stats as features() gives them."""
+def train(rows: list[tuple[np.ndarray, np.ndarray]], stats: np.ndarray, labels: np.ndarray, rank: int = 8, steps: int = 500, batch: int = 128, rate: float = 0.1, decay: float = 1e-5, seed: int = 3) -> Model:
+    """Fit by at least `steps` AdaGrad updates on the log loss. rows: word indices and weights of each text; stats as features() gives them."""
     rng = np.random.default_rng(seed)
     edges = np.quantile(stats[:, :N_STATS], np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T if len(stats) else np.zeros((N_STATS, BINS - 1))
     model = Model(0.0, np.zeros(SIZE), rng.normal(0, 0.05, (SIZE, rank)), edges)
@@ -128,8 +128,9 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], stats: np.ndarray, labels:
     index = [np.concatenate([i, f]) for (i, _), f in zip(rows, fixed)]
     weight = [np.concatenate([x, np.ones(len(f))]) for (_, x), f in zip(rows, fixed)]
     gw, gv = np.full(SIZE, 1e-2), np.full((SIZE, rank), 1e-2)
-    for _ in range(epochs):
-        for take in np.array_split(rng.permutation(len(labels)), -(-len(labels) // batch)):
+    parts = -(-len(labels) // batch)
+    for _ in range(-(-steps // parts)):
+        for take in np.array_split(rng.permutation(len(labels)), parts):
             i, x = np.concatenate([index[k] for k in take]), np.concatenate([weight[k] for k in take])
             owner = np.repeat(np.arange(len(take)), [len(index[k]) for k in take])
             line, total, squares = model.sums(len(take), owner, i, x)
