@@ -136,7 +136,7 @@ def gsea_preranked(ranked: DataFrame, membership: DataFrame, n_permutations: int
         return pd.DataFrame([g for g in got if g], columns=columns)
 
     members = membership.select(F.col(set_col).cast("string").alias(set_col), gene_col).distinct()
-    groups = members.groupBy(F.lit(1)) if exact_rng else members.groupBy(set_col)
+    groups = members.groupBy() if exact_rng else members.groupBy(set_col)
     return groups.applyInPandas(per_set, f"{set_col} string, es double, nes double, p_value double, n_genes long, n_hits long")
 
 

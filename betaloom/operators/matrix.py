@@ -15,7 +15,7 @@ def long_matrix(wide: DataFrame, sample_col: str = "sample_id", sites: list[str]
     from betaloom.functions.ids import SITE_ID
 
     names = [c for c in (sites or wide.columns) if c != sample_col and re.match(SITE_ID, c)]
-    long = wide.select(F.col(sample_col).cast("string").alias("sample_id"), F.explode(F.array(*[F.struct(F.lit(c).alias("cpg_id"), F.col(f"`{c}`").cast("float").alias("beta")) for c in names])).alias("cell"))
+    long = wide.select(F.col(sample_col).cast("string").alias("sample_id"), F.explode(F.array(*[F.struct(F.lit(c).alias("cpg_id"), F.col(f"`{c}`").try_cast("float").alias("beta")) for c in names])).alias("cell"))
     cell = F.col("cell.cpg_id")
     return long.select("sample_id", site_chrom(cell).alias("chrom"), site_pos(cell).alias("pos"), cell.alias("cpg_id"), present("cell.beta").cast("float").alias("beta"))
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from betaloom.functions.ids import SITE_ID
+
 
 def _allocate(sizes: dict[str, int], n: int, least: int) -> dict[str, int]:
     """max(least, share of n rounded half to even), at most the stratum's size."""
@@ -33,9 +36,9 @@ def select_sites(header: list[str], n: int, seed: int = 42, chromosomes: list[st
     """Exactly min(n, all) site ids of a header by share of chromosome: short sides are filled from the rest, long ones cut."""
     rng, groups = random.Random(seed), defaultdict(list)
     for site in header:
-        chrom = site.rpartition("_")[0]
-        if chrom and (chromosomes is None or chrom in chromosomes):
-            groups[chrom].append(site)
+        m = re.match(SITE_ID, site)
+        if m and (chromosomes is None or m[1] in chromosomes):
+            groups[m[1]].append(site)
     everything = [s for g in groups.values() for s in g]
     n = min(n, len(everything))
     picked = [s for k, quota in _allocate({k: len(groups[k]) for k in sorted(groups)}, n, 1).items() for s in rng.sample(groups[k], quota)]
