@@ -78,3 +78,7 @@ def test_query_reads_back_every_turn(spark):
 def test_plan_runs_no_python(spark):
     plan = queries.op10_chat_formatting(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query_equals_sql(same):
+    same(queries.QUERIES["op10_chat_formatting"], queries.ORACLES["op10_chat_formatting"])

@@ -134,3 +134,7 @@ def test_components(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in linked}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_shard_query_equals_sql(same):
+    same(queries.QUERIES["op8_sharding"], queries.ORACLES["op8_sharding"])
