@@ -2,8 +2,8 @@
 
 1. Scan tasks fold their own rows: equal normalised texts of one task become one entry (key, text, ids). A text that
    fills a third of the table thus becomes a few entries, one per task and flush.
-2. The entries' key prefixes are counted (2**max_depth counts at most reach the driver) and a directory over the
-   key's leading bits is grown by doubling: buckets over capacity split until they fit or max_depth is reached.
+2. The entries' key prefixes are counted (some 16 counts per bucket, 2**max_depth at most, reach the driver) and a
+   directory over the key's leading bits is grown by doubling: buckets over capacity split until they fit or max_depth is reached.
 3. Contiguous key ranges of buckets go to owner tasks. An owner chains entries of one key, compares their bytes, and
    writes each entry's class to the index on shared files.
 4. Entries look up their class by entry number and hand it to their rows.
@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -111,7 +112,7 @@ def _own(batches):
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=[f.split()[0] for f in CLASS.split(", ")])
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, key_bits: int = 64, max_depth: int = 16, capacity_bytes: int = 16 << 20, capacity_rows: int = 200_000, flush_bytes: int = 48 << 20) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, key_bits: int = 64, max_depth: int = 20, capacity_bytes: int = 16 << 20, capacity_rows: int = 200_000, flush_bytes: int = 48 << 20) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after each run of space, tab, LF, VT, FF, CR becomes one space; null counts as
@@ -123,15 +124,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), norm.alias("text"))
     entries = materialize(rows.mapInArrow(_fold(key_bits, flush_bytes), ENTRY), "dedup-entries")
 
-    prefix = F.shiftrightunsigned("key", 64 - max_depth)
-    counts, sizes = np.zeros(1 << max_depth, np.int64), np.zeros(1 << max_depth, np.int64)
-    for p, n, size in entries.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).collect():  # 2**max_depth rows at most
-        counts[p], sizes[p] = n, size
+    total = entries.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).head()
+    need = max((total[0] or 0) / capacity_bytes, total[1] / capacity_rows, 1)
+    finest = min(max_depth, math.ceil(math.log2(need)) + 4)  # about 16 prefixes for each bucket to come
+    counts, sizes = np.zeros(1 << finest, np.int64), np.zeros(1 << finest, np.int64)
+    prefix = F.shiftrightunsigned("key", 64 - finest)
+    found = entries.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("size")).toArrow()  # 2**finest rows at most
+    at = found["p"].to_numpy()
+    counts[at], sizes[at] = found["n"].to_numpy(), found["size"].to_numpy()
     depth, directory, buckets = grow_directory(counts, sizes, capacity_bytes, capacity_rows)
     weight = np.array([sizes[lo:hi].sum() + 200 * counts[lo:hi].sum() for lo, hi in buckets], np.int64)
     owners = max(1, min(len(buckets), round(weight.sum() / (capacity_bytes / 2))))
     owner = np.minimum(owners - 1, (np.cumsum(weight) - weight / 2) * owners // max(1, weight.sum())).astype(int)
-    table = spark.createDataFrame([(i, int(b), int(owner[b])) for i, b in enumerate(directory)], "prefix long, bucket int, owner int")
+    table = spark.createDataFrame(pa.table({"prefix": np.arange(len(directory)), "bucket": directory.astype(np.int32), "owner": owner[directory].astype(np.int32)}))
     at = F.shiftrightunsigned("key", 64 - depth) if depth else F.lit(0).cast("long")
     dealt = entries.select("entry", "key", "text", "min_id", "n", at.alias("prefix")).join(F.broadcast(table), "prefix").drop("prefix").repartitionById(owners, F.col("owner"))
     index = materialize(dealt.mapInArrow(_own, CLASS), "dedup-index")
