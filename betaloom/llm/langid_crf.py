@@ -15,8 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .textvec import LETTER, Hasher, mix, slices, utf8, words
 
@@ -209,7 +211,7 @@ def _stretches(per_text: int, length: int):
         for b in batches:
             texts, langs = [], []
             for lo, hi in slices(b.column("text")):
-                data, offsets = utf8(b.column("text").slice(lo, hi - lo))
+                data, offsets = utf8(pc.utf8_lower(b.column("text").slice(lo, hi - lo)))
                 starts, ends, before = words(data, offsets, LETTER)
                 raw = data.tobytes()
                 for i, lang in enumerate(b.column("lang").slice(lo, hi - lo).to_pylist()):
@@ -238,7 +240,7 @@ def fit_langid(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     marked = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(~held_out("doc_id"))
     order = F.xxhash64(F.col("doc_id"))
     chosen = marked.select("doc_id").orderBy(order, "doc_id").limit(max_rows).distinct()
-    rows = marked.join(F.broadcast(chosen), "doc_id").select(F.lower("text").alias("text"), "lang")  # max_rows ids at most
+    rows = marked.join(F.broadcast(chosen), "doc_id").select("text", "lang")  # max_rows ids at most
     got = sorted((r.lang, r.text) for r in rows.mapInArrow(_stretches(per_text, length), "text string, lang string").collect())
     return train([t for _, t in got], [x for x, _ in got], **training)
 
@@ -250,33 +252,35 @@ def identify_language(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id"
     get equal results. An empty table gives no rows.
     """
     text = F.col(text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(F.coalesce(text, F.lit(""))).alias("__text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__letter"), *[c for c in keep if c != "doc_id"])
-    out = rows.drop("__text", "__letter").schema.add("lang_pred", "string").add("score", "double")
+    others = [c for c in keep if c not in ("doc_id", text_col)]
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("__text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__letter"), *others)
+    source = {c: "__text" if c == text_col else c for c in ["doc_id", *(c for c in keep if c != "doc_id")]}  # the text goes to Python once
+    out = StructType([StructField("doc_id", LongType()), *(docs.schema[c] for c in keep if c != "doc_id")]).add("lang_pred", "string").add("score", "double")
 
     def run(batches):
         for b in batches:
             pred, score = [UNDETERMINED] * b.num_rows, np.zeros(b.num_rows)
-            letter = b.column("__letter").to_pylist()
-            for lo, hi in slices(b.column("__text"), 1 << 20):
-                _, _, before, post = tagger.tag(*utf8(b.column("__text").slice(lo, hi - lo)))
+            letter, column = b.column("__letter").to_pylist(), b.column("__text")
+            for lo, hi in slices(column, 1 << 20):
+                _, _, before, post = tagger.tag(*utf8(pc.utf8_lower(column.slice(lo, hi - lo))))
                 total = np.concatenate([np.zeros((1, post.shape[1])), np.cumsum(post, axis=0)])
                 mass = (total[before[1:]] - total[before[:-1]]) / np.maximum(np.diff(before), 1)[:, None]
                 for i, k in enumerate(mass.argmax(axis=1)):
                     if letter[lo + i]:
                         pred[lo + i], score[lo + i] = tagger.labels[k], min(1.0, mass[i, k])
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in out.names[:-2]), pa.array(pred), pa.array(score)], names=out.names)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in source.values()), pa.array(pred), pa.array(score)], names=out.names)
 
     return rows.mapInArrow(run, out)
 
 
 def tag_words(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per word: doc_id, word (from 0), text (lower case), lang_pred and score of the word in its context."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches):
         for b in batches:
             for lo, hi in slices(b.column("text"), 1 << 20):
-                data, offsets = utf8(b.column("text").slice(lo, hi - lo))
+                data, offsets = utf8(pc.utf8_lower(b.column("text").slice(lo, hi - lo)))
                 starts, ends, before, post = tagger.tag(data, offsets)
                 raw, best = data.tobytes(), post.argmax(axis=1) if len(post) else np.empty(0, int)
                 doc = np.repeat(np.arange(hi - lo), np.diff(before))

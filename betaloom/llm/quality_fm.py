@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .textvec import LETTER, SPACE, Hasher, slices, utf8, words
 
@@ -69,7 +70,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray, hashes: np.ndarray, before
 
 def features(column: pa.Array, lengths: list) -> "list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]":
     """For ranges of rows: first row, text of each word feature, its index, its weight, and statistics with the length bin as last column."""
-    for lo, hi in slices(column):
+    for lo, hi in slices(column, 1 << 20):
         data, offsets = utf8(column.slice(lo, hi - lo))
         starts, ends, before = words(data, offsets, LETTER)
         hashes = Hasher(data).of(starts, ends)
@@ -190,14 +191,16 @@ def score_quality(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text
     Null text counts as empty; a text without words is scored from its statistics alone. Repeated rows get equal
     scores. An empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"), F.col(length_col).cast("long").alias("__length"), *[c for c in keep if c != "doc_id"])
-    out = rows.drop("__text", "__length").schema.add("score", "double")
+    others = [c for c in keep if c not in ("doc_id", text_col)]
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"), F.col(length_col).cast("long").alias("__length"), *others)
+    source = {c: "__text" if c == text_col else c for c in ["doc_id", *(c for c in keep if c != "doc_id")]}  # the text goes to Python once
+    out = StructType([StructField("doc_id", LongType()), *(docs.schema[c] for c in keep if c != "doc_id")]).add("score", "double")
 
     def run(batches):
         for b in batches:
             score = np.zeros(b.num_rows)
             for lo, owner, index, weight, stats in features(b.column("__text"), b.column("__length").to_pylist()):
                 score[lo : lo + len(stats)] = model.score(owner, index, weight, stats)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in out.names[:-1]), pa.array(score)], names=out.names)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in source.values()), pa.array(score)], names=out.names)
 
     return rows.mapInArrow(run, out)
