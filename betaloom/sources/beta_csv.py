@@ -44,8 +44,8 @@ def read_beta_csv(spark: SparkSession, path: str, chromosomes: list[str] | None
     cells = F.split(F.regexp_replace("value", r"\r$", ""), ",", -1)
     rows = lines.where(strip("value") != "").select("sample_ord", strip(cells[0]).alias("sample_id"), F.posexplode(cells).alias("idx", "raw")).where("idx > 0")
     value = F.when(~strip("raw").isin(MISSING), strip("raw").try_cast("float"))
-    # the index is metadata of the file's one header line; past 8 million columns it is shuffled instead
-    joined = rows.join(F.broadcast(index) if len(header) <= 8_000_000 else index, "idx")
+    # the index is metadata of the one header line, some 40 bytes a column; past 5 million columns it is shuffled instead
+    joined = rows.join(F.broadcast(index) if len(header) <= 5_000_000 else index, "idx")
     return joined.select("sample_id", "sample_ord", "chrom", "pos", "cpg_id", "raw", F.when(~F.isnan(value), value).alias("beta"))
 
 
