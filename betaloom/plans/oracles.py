@@ -44,13 +44,13 @@ CTES = {
         list_sum(list_transform(range(n_overlap, least(n_significant, n_pathway) + 1), lambda k: CASE WHEN n_background - n_pathway - n_significant + k >= 0 THEN exp(
           lgamma(n_pathway + 1) - lgamma(k + 1) - lgamma(n_pathway - k + 1) + lgamma(n_background - n_pathway + 1) - lgamma(n_significant - k + 1) - lgamma(n_background - n_pathway - n_significant + k + 1)
           - lgamma(n_background + 1) + lgamma(n_significant + 1) + lgamma(n_background - n_significant + 1)) ELSE 0 END)) AS p_value FROM fis0)""",
-    "enr": """enr AS (SELECT *, least(1, min(p_value * m / k) OVER (ORDER BY k DESC)) AS q_value FROM (SELECT *, count(*) OVER () AS m, row_number() OVER (ORDER BY p_value, pathway) AS k FROM fis))""",
+    "enr": """enr AS (SELECT * EXCLUDE p_value, round(p_value, 10) + 0.0 AS p_value, round(least(1, min(p_value * m / k) OVER (ORDER BY k DESC)), 10) + 0.0 AS q_value FROM (SELECT *, count(*) OVER () AS m, row_number() OVER (ORDER BY p_value, pathway) AS k FROM fis))""",
     "metric": "metric AS (SELECT feature AS gene, CASE WHEN cohens_d < 0 THEN log10(p_value) ELSE -log10(p_value) END AS metric FROM res WHERE p_value IS NOT NULL)",
     "bonus": "bonus AS (SELECT gene, sum(-log10(q_value)) AS enrichment_bonus FROM (SELECT unnest(overlap_genes) AS gene, q_value FROM enr) GROUP BY gene)",
     "rc": "rc AS (SELECT feature AS cpg_id, delta_mean AS effect_size, q_value, abs(delta_mean) * -log10(coalesce(q_value, 1e-300)) AS score FROM adj ORDER BY score DESC, cpg_id LIMIT 100)",
     "rg": """rg AS (SELECT feature AS gene, cohens_d AS effect_size, q_value, delta_mean, coalesce(q_value <= 0.05, false) AS significant, abs(cohens_d) * -log10(coalesce(q_value, 1e-300)) AS diff_score, coalesce(enrichment_bonus, 0) AS enrichment_bonus,
         abs(cohens_d) * -log10(coalesce(q_value, 1e-300)) + 0.5 * coalesce(enrichment_bonus, 0) AS score FROM adj LEFT JOIN bonus ON gene = feature ORDER BY score DESC, 1 LIMIT 50)""",
-    "rp": "rp AS (SELECT pathway, q_value, p_value, odds_ratio, n_overlap, abs(log2(odds_ratio)) * -log10(q_value) AS score FROM enr WHERE odds_ratio > 0 ORDER BY score DESC, pathway LIMIT 20)",
+    "rp": "rp AS (SELECT pathway, q_value, p_value, odds_ratio, n_overlap, CASE WHEN odds_ratio > 0 AND isfinite(odds_ratio) THEN abs(log2(odds_ratio)) * -log10(q_value) END AS score FROM enr ORDER BY score DESC NULLS LAST, pathway LIMIT 20)",
     "names": "names AS (SELECT DISTINCT p_brand AS pathway_id, 'Name of ' || p_brand AS pathway_name FROM part WHERE p_brand LIKE '%1')",
     "raw": """raw AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'chr' || (o_orderkey % 30) || '_' || o_orderkey WHEN 1 THEN 'chrX_' || o_orderkey WHEN 2 THEN 'cg' || o_orderkey WHEN 3 THEN 'chr1_x9' ELSE 'chr2_' || o_orderkey END AS site FROM orders)""",
     "ok": r"""ok AS (SELECT *, regexp_matches(site, '^(chr([1-9]|1[0-9]|2[0-2]|X|Y|M))_([0-9]+)$') AS valid FROM raw)""",
@@ -157,7 +157,7 @@ sql("rank_pathway", f"SELECT pathway, n_overlap, {rs('q_value p_value odds_ratio
 sql("report_union", f"""SELECT level, identifier, {rs('score effect_size q_value', 5)}, rank, pathways, '' AS cpg_island_context, '' AS hms_summary FROM (
   SELECT 'cpg' AS level, cpg_id AS identifier, score, effect_size, q_value, row_number() OVER (ORDER BY score DESC, cpg_id) AS rank, '' AS pathways FROM rc
   UNION ALL SELECT 'gene', gene, score, effect_size, q_value, row_number() OVER (ORDER BY score DESC, gene), coalesce((SELECT string_agg(pathway, '; ' ORDER BY p_value, pathway) FROM enr WHERE list_contains(overlap_genes, rg.gene)), '') FROM rg
-  UNION ALL SELECT 'pathway', pathway, score, odds_ratio, q_value, row_number() OVER (ORDER BY score DESC, pathway), '' FROM rp)""", "rc", "rg", "rp")
+  UNION ALL SELECT 'pathway', pathway, score, odds_ratio, q_value, row_number() OVER (ORDER BY score DESC NULLS LAST, pathway), '' FROM rp)""", "rc", "rg", "rp")
 sql("gene_island_context", "SELECT gene_symbol, context AS cpg_island_status FROM mapped JOIN ctx USING (cpg_id) WHERE gene_symbol <> ''", "mapped", "ctx")
 sql("island_digest", "SELECT gene_symbol AS gene, string_agg(context || ':' || n || '/' || t, '; ' ORDER BY n DESC, context) AS cpg_island_context FROM (SELECT *, sum(n) OVER (PARTITION BY gene_symbol) AS t FROM (SELECT gene_symbol, context, count(*) AS n FROM mapped JOIN ctx USING (cpg_id) WHERE gene_symbol <> '' GROUP BY ALL)) GROUP BY gene_symbol", "mapped", "ctx")
 sql("pathway_list", "SELECT gene, string_agg(pathway, '; ' ORDER BY round(p_value, 6), pathway) AS pathways FROM (SELECT unnest(overlap_genes) AS gene, pathway, p_value FROM enr) GROUP BY gene", "enr")

@@ -108,8 +108,8 @@ def set_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enrichment(spark: SparkSession, sf: str) -> DataFrame:
-    """Fisher over sets of features with q below 0.2."""
-    return enrich.run_enrichment(adjusted(spark, sf), feature_sets(spark, sf), q_threshold=0.2)
+    """Fisher over sets of features with q below 0.2; p and q rounded, so equal sets tie in any engine."""
+    return enrich.run_enrichment(adjusted(spark, sf), feature_sets(spark, sf), q_threshold=0.2).withColumns({c: r(c, 10) for c in ("p_value", "q_value")})
 
 
 # matrix
