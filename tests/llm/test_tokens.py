@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from betaloom.llm import queries
 from betaloom.llm.bpe import decode_documents, encode_documents
-from betaloom.llm.packing import _PLAIN, pack_documents, plan_best_fit, token_ids
+from betaloom.llm.packing import _PLAIN, pack_documents, plan_best_fit, sequences, token_ids
 
 SF = "/root/testdata/sf0.001"
 MULTI, JSON, RANKS = (vocab.path(n) for n in ("byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
@@ -117,7 +117,11 @@ def test_packing_query(spark):
 
 def test_packing_odd_rows(spark):
     rows = [(1, None, "x"), (1, None, "x"), (None, "a", "y"), (2, "word " * 3000, "z"), (3, "<|endoftext|>語", "z")]
-    got = pack_documents(spark.createDataFrame(rows, "doc_id long, text string, length string"), JSON, ranks_path=RANKS, pattern=vocab.PATTERN, keep_ids=True).collect()
+    packed = pack_documents(spark.createDataFrame(rows, "doc_id long, text string, length string"), JSON, ranks_path=RANKS, pattern=vocab.PATTERN, keep_ids=True)
+    got = packed.collect()
+    for s in sequences(packed).collect():
+        own = sorted((r.offset, bytes(r.ids)) for r in got if r.sequence_id == s.sequence_id)
+        assert bytes(s.ids) == b"".join(x for _, x in own) and len(s.ids) == 4 * s.length
     assert sum(r.doc_id == 1 for r in got) == 2 and all(r.length == 1 for r in got if r.doc_id == 1)
     want = Tokenizer.from_file(JSON).encode("<|endoftext|>語", add_special_tokens=False).ids + [2]
     assert [np.frombuffer(r.ids, "<u4").tolist() for r in got if r.doc_id == 3] == [want]
