@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .textvec import LETTER, Hasher, mix, slices, utf8, words
+from .textvec import LETTER, Hasher, freed, mix, slices, utf8, words
 
 BITS, SEGMENT = 17, 64
 UNDETERMINED = "und"
@@ -258,10 +258,10 @@ def identify_language(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id"
     out = StructType([StructField("doc_id", LongType()), *(docs.schema[c] for c in keep if c != "doc_id")]).add("lang_pred", "string").add("score", "double")
 
     def run(batches):
-        for b in batches:
+        for b in freed(batches):
             pred, score = [UNDETERMINED] * b.num_rows, np.zeros(b.num_rows)
             letter, column = b.column("__letter").to_pylist(), b.column("__text")
-            for lo, hi in slices(column, 1 << 20):
+            for lo, hi in slices(column):
                 _, _, before, post = tagger.tag(*utf8(pc.utf8_lower(column.slice(lo, hi - lo))))
                 total = np.concatenate([np.zeros((1, post.shape[1])), np.cumsum(post, axis=0)])
                 mass = (total[before[1:]] - total[before[:-1]]) / np.maximum(np.diff(before), 1)[:, None]
@@ -279,7 +279,7 @@ def tag_words(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_c
 
     def run(batches):
         for b in batches:
-            for lo, hi in slices(b.column("text"), 1 << 20):
+            for lo, hi in slices(b.column("text")):
                 data, offsets = utf8(pc.utf8_lower(b.column("text").slice(lo, hi - lo)))
                 starts, ends, before, post = tagger.tag(data, offsets)
                 raw, best = data.tobytes(), post.argmax(axis=1) if len(post) else np.empty(0, int)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .buckets import blocked, roots, run_groups
 from .components import connected_components
 from .store import materialize, shuffle_partitions
-from .textvec import SPACE, Hasher, mix, shingles, slices, utf8, words
+from .textvec import SPACE, Hasher, freed, mix, shingles, slices, utf8, words
 
 VALUES, BAND, STEP = 128, 4, 16
 _MULTIPLIERS = mix(np.arange(1, VALUES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
@@ -78,7 +78,7 @@ def _sign(width: int):
     """(doc_id, text) to (doc_id, number of shingles, digest of the set in two halves, MinHash values)."""
 
     def run(batches):
-        for b in batches:
+        for b in freed(batches):
             for lo, sets, offsets in _text_sets(b.column("text"), width):
                 n = np.diff(offsets)
                 full = n > 0
@@ -197,7 +197,7 @@ def _verify(rule, threshold, width):
     return work
 
 
-def ngram_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, tolerance: float = 1e-7, block_rows: int = 512, block_bytes: int = 8 << 20, broadcast_rows: int = 1_000_000) -> DataFrame:
+def ngram_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, tolerance: float = 1e-7, block_rows: int = 512, block_bytes: int = 4 << 20, broadcast_rows: int = 1_000_000) -> DataFrame:
     """One row per input row: doc_id, class_id, n_links, kept, text_hash (xxhash64 of the text).
 
     Two documents are linked when the Jaccard similarity of their sets of `width`-word shingles (lower case, words

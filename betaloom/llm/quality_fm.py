@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .textvec import LETTER, SPACE, Hasher, slices, utf8, words
+from .textvec import LETTER, SPACE, Hasher, freed, slices, utf8, words
 
 WORD_BITS, BINS = 15, 12
 LENGTH_BINS = 40  # powers of two of the recorded length; the last bin is for no length
@@ -70,7 +70,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray, hashes: np.ndarray, before
 
 def features(column: pa.Array, lengths: list) -> "list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]":
     """For ranges of rows: first row, text of each word feature, its index, its weight, and statistics with the length bin as last column."""
-    for lo, hi in slices(column, 1 << 20):
+    for lo, hi in slices(column):
         data, offsets = utf8(column.slice(lo, hi - lo))
         starts, ends, before = words(data, offsets, LETTER)
         hashes = Hasher(data).of(starts, ends)
@@ -197,7 +197,7 @@ def score_quality(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text
     out = StructType([StructField("doc_id", LongType()), *(docs.schema[c] for c in keep if c != "doc_id")]).add("score", "double")
 
     def run(batches):
-        for b in batches:
+        for b in freed(batches):
             score = np.zeros(b.num_rows)
             for lo, owner, index, weight, stats in features(b.column("__text"), b.column("__length").to_pylist()):
                 score[lo : lo + len(stats)] = model.score(owner, index, weight, stats)

@@ -25,7 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(column: pa.Array, max_bytes: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column of about max_bytes each; a longer text makes a range of its own."""
     size = np.diff(utf8(column)[1])
     at, held = 0, 0
@@ -73,6 +73,14 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][: n + 1], _powers[1][: n + 1]
 
 
+def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; memory of one that is done goes back to the system, so idle workers stay small."""
+    for b in batches:
+        yield b
+        del b
+        pa.default_memory_pool().release_unused()
+
+
 class Hasher:
     """64-bit hashes of any byte ranges of one batch, from prefix sums of a polynomial."""
 
