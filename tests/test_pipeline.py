@@ -162,3 +162,37 @@ def test_stream_into_store(spark, tmp_path):
     streaming.append_to_store(streaming.read_cells(spark, str(tmp_path / "in")), str(tmp_path / "store"), str(tmp_path / "ck")).awaitTermination(60)
     row = streaming.moments(spark.read.parquet(str(tmp_path / "store"))).head()
     assert row.n_samples == 2 and row.n_total == 3 and row.mean_beta == pytest.approx(0.6) and row.variance == pytest.approx(0.02)
+
+
+def test_small_readers_and_writers(spark, cfg, tmp_path):
+    from pyspark.sql import functions as F
+
+    from betaloom.functions import ids
+    from betaloom.operators import clinical
+
+    beta_csv.to_parquet(spark, cfg.beta_csv, str(tmp_path / "wide"))
+    assert tables.parquet_shape(spark, str(tmp_path / "wide")) == (20, spark.read.parquet(str(tmp_path / "wide")).columns)
+    sites = spark.createDataFrame([("chr1_5",), ("chr2_7",)], "cpg_id string")
+    tables.write_ids(sites, str(tmp_path / "ids"))
+    assert sorted(r.cpg_id for r in tables.read_ids(spark, str(tmp_path / "ids")).collect()) == ["chr1_5", "chr2_7"]
+    tables.write_csv(sites, str(tmp_path / "csv"))
+    assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 2
+    assert tables.sheet_names(cfg.clinical_xlsx, "CLIN_*") == ["CLIN_CRC", "CLIN_Control"]
+    (tmp_path / "gone.txt").write_text("# out\n s01 \n\nS02\n")
+    assert sorted(r.barcode for r in clinical.read_exclusions(spark, str(tmp_path / "gone.txt")).collect()) == ["S01", "S02"]
+    assert clinical.resolve_column([" BARCODE ", "x"], clinical.BARCODE_ALIASES) == " BARCODE " and clinical.resolve_column(["x"], clinical.BARCODE_ALIASES) is None
+    got = spark.createDataFrame([('a"b\\c\nd\te\r',)], "t string").select(ids.quoted("t")).head()[0]
+    assert got == 'a\\"b\\\\c\\nd\\te\\r'
+    with pytest.raises(Exception, match="not a site"):
+        spark.createDataFrame([("chr99", 1)], "c string, p long").select(ids.make_site_id("c", "p")).collect()
+    assert ids.file_label(0.95) == "0_95"
+    nan = spark.createDataFrame([(float("nan"),), (1.0,)], "v double").agg(F.avg(ids.present("v"))).head()[0]
+    assert nan == 1.0
+
+
+def test_missing_inputs_of_steps(spark, tmp_path):
+    empty = pipeline.Config(data=str(tmp_path / "d"), results=str(tmp_path / "r"), beta_csv="none.csv", clinical_xlsx="none.xlsx")
+    with pytest.raises(Exception):
+        pipeline.run(spark, empty, ["coverage"])
+    assert pipeline.State(empty.path("state"), "production").value["steps"]["coverage"]["status"] == "failed"
+    assert pipeline.run(spark, empty, ["annotations"]) == ["annotations"]
