@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,7 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
     if current.isDefined():
         return current.get().rstrip("/")
     sc.setCheckpointDir(f"{tempfile.gettempdir()}/checkpoints/betaloom")
-    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+    own = sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+    atexit.register(shutil.rmtree, own.removeprefix("file:"), ignore_errors=True)
+    return own
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
