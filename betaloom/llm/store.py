@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import tempfile
 import uuid
 
@@ -20,18 +18,25 @@ def shared_dir(spark: SparkSession) -> str:
     if current.isDefined():
         return current.get().rstrip("/")
     sc.setCheckpointDir(f"{tempfile.gettempdir()}/checkpoints/betaloom")
-    own = sc._jsc.sc().getCheckpointDir().get().rstrip("/")
-    atexit.register(shutil.rmtree, own.removeprefix("file:"), ignore_errors=True)
-    return own
+    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def _target(spark: SparkSession, path: str):
+    """path in its file system, and that file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back.
 
-    The table outlives any executor, so later stages never recompute df, and two readers see the same rows.
+    The table outlives any executor, so later stages never recompute df, and two readers see the same rows. It goes
+    when the driver ends.
     """
     path = f"{shared_dir(df.sparkSession)}/betaloom/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    target, files = _target(df.sparkSession, path)
+    files.deleteOnExit(target)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._betaloom_path = path
     return out
@@ -41,9 +46,8 @@ def release(df: DataFrame) -> None:
     """Delete a table that materialize() wrote, once nothing reads it any more."""
     path = getattr(df, "_betaloom_path", None)
     if path:
-        jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+        target, files = _target(df.sparkSession, path)
+        files.delete(target, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
