@@ -15,14 +15,14 @@ CTES = {
     "gf": "gf AS (SELECT gene, sample_id, avg(beta) AS value, count(beta) AS n_cpgs FROM cells JOIN site_genes USING (cpg_id) GROUP BY ALL)",
     "cov": "cov AS (SELECT cpg_id, count(beta) AS n_present, count(*) AS n_total, count(beta) / count(*) AS coverage FROM cells GROUP BY cpg_id)",
     "stats": """stats AS (SELECT cpg_id, any_value(chrom) AS chromosome, any_value(pos) AS position, avg(beta) AS mean_beta, var_samp(beta) AS variance, 1 - count(beta) / count(*) AS missingness, count(beta) AS n_samples FROM cells GROUP BY cpg_id)""",
-    "points": "points AS (SELECT 'chr' || (o_orderkey % 3 + 1) AS chrom, (o_orderkey * 5 + 1)::BIGINT AS pos, 'chr' || (o_orderkey % 3 + 1) || '_' || (o_orderkey * 5 + 1) AS cpg_id FROM orders)",
+    "points": "points AS (SELECT 'chr' || (o_orderkey % 3 + 1) AS chrom, (o_orderkey * 2500 + 1)::BIGINT AS pos, 'chr' || (o_orderkey % 3 + 1) || '_' || (o_orderkey * 2500 + 1) AS cpg_id FROM orders)",
     "genes": """genes AS (SELECT *, CASE WHEN strand = '-' THEN e - 500 ELSE greatest(s - 1500, 1) END AS ps, CASE WHEN strand = '-' THEN e + 1500 ELSE s + 500 END AS pe FROM (
-        SELECT 'ENSG' || p_partkey AS gene_id, 'S' || p_partkey AS gene_symbol, 'chr' || (p_partkey % 3 + 1) AS chrom, (p_partkey * 37 + 200)::BIGINT AS s, (p_partkey * 37 + 200 + p_size * 40)::BIGINT AS e,
+        SELECT 'ENSG' || p_partkey AS gene_id, 'S' || p_partkey AS gene_symbol, 'chr' || (p_partkey % 3 + 1) AS chrom, (p_partkey * 20000 + 200)::BIGINT AS s, (p_partkey * 20000 + 200 + p_size * 4000)::BIGINT AS e,
         CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM part))""",
-    "islands": "islands AS (SELECT 'chr' || (p_partkey // 200 % 3 + 1) AS chrom, (p_partkey * 37)::BIGINT AS s, (p_partkey * 37 + p_size * 30)::BIGINT AS e FROM part WHERE p_partkey % 200 = 0)",
+    "islands": "islands AS (SELECT 'chr' || (p_partkey // 2 % 3 + 1) AS chrom, (p_partkey * 3000)::BIGINT AS s, (p_partkey * 3000 + p_size * 60)::BIGINT AS e FROM part)",
     "hits": """hits AS (SELECT cpg_id, p.chrom AS chromosome, pos AS position, gene_id, gene_symbol, CASE WHEN pos BETWEEN ps AND pe THEN 'promoter' ELSE 'gene_body' END AS overlap_type
         FROM points p JOIN genes g ON p.chrom = g.chrom AND (pos BETWEEN ps AND pe OR pos BETWEEN s AND e))""",
-    "mapped": """mapped AS (SELECT * FROM hits WHERE gene_id LIKE '%7' UNION ALL SELECT cpg_id, chrom, pos, '', '', 'intergenic' FROM points WHERE cpg_id NOT IN (SELECT cpg_id FROM hits WHERE gene_id LIKE '%7'))""",
+    "mapped": """mapped AS (SELECT * FROM hits UNION ALL SELECT cpg_id, chrom, pos, '', '', 'intergenic' FROM points WHERE cpg_id NOT IN (SELECT cpg_id FROM hits))""",
     "ctx": """ctx AS (SELECT cpg_id, chrom AS chromosome, pos AS position, CASE k WHEN 3 THEN 'island' WHEN 2 THEN 'shore' WHEN 1 THEN 'shelf' ELSE 'open_sea' END AS context, CASE WHEN k > 0 THEN chrom || ':' || s || '-' || e ELSE '' END AS island_id FROM (
         SELECT p.*, i.s, i.e, CASE WHEN pos - 1 >= s AND pos - 1 < e THEN 3 WHEN pos - 1 >= s - 2000 AND pos - 1 < e + 2000 THEN 2 WHEN s IS NOT NULL THEN 1 ELSE 0 END AS k,
         row_number() OVER (PARTITION BY p.cpg_id ORDER BY CASE WHEN pos - 1 >= s AND pos - 1 < e THEN 3 WHEN pos - 1 >= s - 2000 AND pos - 1 < e + 2000 THEN 2 WHEN s IS NOT NULL THEN 1 ELSE 0 END DESC, s DESC NULLS LAST) AS n
@@ -56,7 +56,7 @@ CTES = {
     "ok": r"""ok AS (SELECT *, regexp_matches(site, '^(chr([1-9]|1[0-9]|2[0-2]|X|Y|M))_([0-9]+)$') AS valid FROM raw)""",
     "sheets": """sheets AS (SELECT upper(trim(code)) AS barcode, CASE lower(trim(kind)) WHEN 'crc' THEN 'CRC' WHEN 'polyp' THEN 'polyps' WHEN 'healthy' THEN 'Control' ELSE trim(kind) END AS clinical_category, source_sheet FROM (
         SELECT 'bc-' || c_custkey AS code, CASE c_custkey % 4 WHEN 0 THEN 'CRC' WHEN 1 THEN 'Polyp' WHEN 2 THEN 'healthy' ELSE c_mktsegment END AS kind, 'CLIN_A' AS source_sheet FROM customer WHERE c_custkey % 2 = 0
-        UNION ALL SELECT 'BC-' || c_custkey, upper(CASE c_custkey % 4 WHEN 0 THEN 'CRC' WHEN 1 THEN 'Polyp' WHEN 2 THEN 'healthy' ELSE c_mktsegment END), 'CLIN_B' FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 15 <> 0))""",
+        UNION ALL SELECT 'BC-' || c_custkey, upper(CASE c_custkey % 4 WHEN 0 THEN 'CRC' WHEN 1 THEN 'Polyp' WHEN 2 THEN 'healthy' ELSE c_mktsegment END), 'CLIN_B' FROM customer WHERE (c_custkey % 2 = 1 OR c_custkey % 3 = 0) AND c_custkey % 15 <> 0))""",
     "merged": "merged AS (SELECT barcode, clinical_category, source_sheet FROM (SELECT *, row_number() OVER (PARTITION BY barcode ORDER BY source_sheet) AS n FROM sheets) WHERE n = 1)",
 }
 
@@ -91,13 +91,13 @@ def rs(names: str, digits: int = 6) -> str:
 
 
 sql("long_matrix", f"SELECT sample_id::VARCHAR AS sample_id, chrom, pos, cpg_id, {r('v', 'beta')} FROM (SELECT vec_id AS sample_id, 'chr' || (d % 4 + 1) AS chrom, ((d + 1) * 1000)::BIGINT AS pos, 'chr' || (d % 4 + 1) || '_' || ((d + 1) * 1000) AS cpg_id, v::DOUBLE AS v FROM (SELECT vec_id, unnest(embedding) AS v, unnest(range(len(embedding))) AS d FROM embeddings))")
-sql("wide_matrix", "SELECT gene, " + ", ".join(r(f"max(value) FILTER (sample_id = {i})", f"s{i}") for i in range(5)) + " FROM gf WHERE sample_id < 5 GROUP BY gene", "gf")
+sql("wide_matrix", "SELECT gene, " + ", ".join(r(f"avg(value) FILTER (clinical_category = '{i}')", f"c{i}") for i in range(10)) + " FROM gf JOIN meta USING (sample_id) GROUP BY gene", "gf", "meta")
 sql("id_parse", r"""SELECT o_orderkey, site, valid, CASE WHEN valid THEN split_part(site, '_', 1) END AS chrom, CASE WHEN valid THEN split_part(site, '_', 2)::BIGINT END AS pos,
   CASE WHEN site LIKE '%\_%' ESCAPE '\' THEN split_part(site, '_', 1) ELSE '' END AS fast_chrom, try_cast(split_part(site, '_', -1) AS BIGINT) AS fast_pos,
   CASE WHEN NOT valid THEN 99 WHEN site LIKE 'chrX%' THEN 22 ELSE try_cast(substr(split_part(site, '_', 1), 4) AS INTEGER) - 1 END::INTEGER AS chrom_idx FROM ok""", "ok")
 sql("id_make", "SELECT cpg_id AS made, pos - 10 < 5000 AND 1000 < pos + 10 AS near FROM points", "points")
 sql("id_sort", r"""SELECT site, row_number() OVER (ORDER BY NOT valid, CASE WHEN NOT valid THEN 99 WHEN site LIKE 'chrX%' THEN 22 ELSE try_cast(substr(split_part(site, '_', 1), 4) AS INTEGER) - 1 END, CASE WHEN valid THEN split_part(site, '_', 2)::BIGINT END, site)::INTEGER AS ord
-  FROM (SELECT DISTINCT site, valid FROM ok) ORDER BY ord LIMIT 500""", "ok")
+  FROM (SELECT DISTINCT site, valid FROM ok)""", "ok")
 sql("chrom_histogram", "SELECT split_part(site, '_', 1) AS chrom, count(DISTINCT site) AS n_sites FROM ok WHERE valid GROUP BY 1", "ok")
 sql("coverage", f"SELECT cpg_id, n_present, n_total, {r('coverage')} FROM cov", "cov")
 sql("coverage_filter", f"SELECT cpg_id, {r('coverage')}, coverage >= 0.909 AS kept FROM cov", "cov")
@@ -110,8 +110,8 @@ sql("site_select", "SELECT cpg_id, count(beta) AS n FROM cells WHERE cpg_id IN (
 sql("gene_overlap", "SELECT * FROM hits", "hits")
 sql("gene_overlap_intergenic", "SELECT * FROM mapped", "mapped")
 sql("island_context", "SELECT * FROM ctx", "ctx")
-sql("region_overlap", "SELECT cpg_id, arg_min(g.chrom || ':' || s || '-' || e, (s, g.chrom || ':' || s || '-' || e)) AS region_id FROM points p JOIN genes g ON p.chrom = g.chrom AND pos - 1 >= s AND pos - 1 < e WHERE gene_id LIKE '%3' GROUP BY cpg_id", "points", "genes")
-sql("point_lookup", "SELECT gene_id, s AS start, e AS \"end\" FROM genes WHERE chrom = 'chr2' AND s < 5001 AND e > 5000", "genes")
+sql("region_overlap", "SELECT cpg_id, arg_min(g.chrom || ':' || s || '-' || e, (s, g.chrom || ':' || s || '-' || e)) AS region_id FROM points p JOIN genes g ON p.chrom = g.chrom AND pos - 1 >= s AND pos - 1 < e GROUP BY cpg_id", "points", "genes")
+sql("point_lookup", "SELECT gene_id, s AS start, e AS \"end\" FROM genes WHERE chrom = 'chr2' AND s < 800501 AND e > 800500", "genes")
 sql("rollup_mean", f"SELECT gene, sample_id, {r('value')}, n_cpgs FROM gf", "gf")
 sql("rollup_median", f"SELECT gene, sample_id, {r('median(beta)', 'value')}, count(beta) AS n_cpgs FROM cells JOIN site_genes USING (cpg_id) GROUP BY ALL", "gf")
 sql("rollup_weighted", f"SELECT gene, sample_id, {r('sum(beta * (d + 1)) / sum(CASE WHEN beta IS NOT NULL THEN d + 1 END)', 'value')}, count(beta) AS n_cpgs FROM cells JOIN site_genes USING (cpg_id) GROUP BY gene, sample_id", "gf")
@@ -206,6 +206,6 @@ sql("graph_import", """SELECT 'v_gene' AS part, count(*) AS n FROM part UNION AL
 VALID = [("v_sample", "customer"), ("v_cpg", "orders"), ("v_gene", "part"), ("v_pathway", "supplier"), ("v_term", "nation"), ("v_region", "region"), ("e_cpg_gene", "lineitem"), ("e_gene_pathway", "lineitem"), ("e_gene_term", "part"), ("e_cpg_region", "orders")]
 sql("graph_validation", " UNION ALL ".join(f"SELECT '{a}' AS name, count(*) > 0 AS passed, '> 0' AS expected, count(*)::VARCHAR AS actual, CASE WHEN count(*) > 0 THEN 'ok' ELSE 'unexpected count' END AS message FROM {b}" for a, b in VALID) + " UNION ALL SELECT 'samples_match_clinical', true, count(*)::VARCHAR, count(*)::VARCHAR, 'ok' FROM customer" + "".join(f" UNION ALL SELECT 'spot_{x}', false, '> 0', '0', 'unexpected count'" for x in ("e_gene_pathway", "e_gene_term", "e_cpg_gene")))
 STRATA = """SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {s} ORDER BY md5({k} || ':42'), {k0}) AS n, count(*) OVER (PARTITION BY {s}) AS size, count(*) OVER () AS total FROM {t}) WHERE n <= least(size, greatest({least}, round_even(size * {want}.0::DOUBLE / total, 0)))"""
-sql("stratified_sites", STRATA.format(cols="chrom, cpg_id", s="chrom", k="cpg_id", k0="cpg_id", t="(SELECT * FROM points WHERE pos % 7 <> 0)", least=1, want=1000), "points")
+sql("stratified_sites", STRATA.format(cols="chrom, cpg_id", s="chrom", k="cpg_id", k0="cpg_id", t="points", least=1, want=1000), "points")
 sql("stratified_samples", STRATA.format(cols="clinical_category, sample_id", s="clinical_category", k="sample_id::VARCHAR", k0="sample_id", t="meta", least=3, want=50), "meta")
 sql("subset_extract", f"SELECT sample_id, cpg_id, {r('beta')} FROM cells JOIN meta USING (sample_id) WHERE clinical_category = '1' AND cpg_id IN ('chr1_1000', 'chr2_2000', 'chr3_7000')", "cells", "meta")

@@ -69,19 +69,19 @@ def gene_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def points(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders").selectExpr("concat('chr', cast(o_orderkey % 3 + 1 as string)) chrom", "cast(o_orderkey * 5 + 1 as bigint) pos")
+    o = table(spark, sf, "orders").selectExpr("concat('chr', cast(o_orderkey % 3 + 1 as string)) chrom", "cast(o_orderkey * 2500 + 1 as bigint) pos")
     return o.withColumn("cpg_id", F.concat_ws("_", "chrom", F.col("pos").cast("string")))
 
 
 def genes(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").selectExpr(
         "concat('ENSG', cast(p_partkey as string)) gene_id", "concat('S', cast(p_partkey as string)) gene_symbol", "concat('chr', cast(p_partkey % 3 + 1 as string)) chrom",
-        "cast(p_partkey * 37 + 200 as bigint) start", "cast(p_partkey * 37 + 200 + p_size * 40 as bigint) end", "case when p_partkey % 2 = 0 then '+' else '-' end strand", "p_type biotype",
+        "cast(p_partkey * 20000 + 200 as bigint) start", "cast(p_partkey * 20000 + 200 + p_size * 4000 as bigint) end", "case when p_partkey % 2 = 0 then '+' else '-' end strand", "p_type biotype",
     )
 
 
 def islands(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").where("p_partkey % 200 = 0").selectExpr("concat('chr', cast(p_partkey div 200 % 3 + 1 as string)) chrom", "cast(p_partkey * 37 as bigint) start", "cast(p_partkey * 37 + p_size * 30 as bigint) end")
+    return table(spark, sf, "part").selectExpr("concat('chr', cast(p_partkey div 2 % 3 + 1 as string)) chrom", "cast(p_partkey * 3000 as bigint) start", "cast(p_partkey * 3000 + p_size * 60 as bigint) end")
 
 
 def results(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,8 +123,9 @@ def long_matrix(spark, sf):
 
 @query
 def wide_matrix(spark, sf):
-    f = gene_features(spark, sf).where("sample_id < 5")
-    return rounded(matrix.wide_matrix(f, ["0", "1", "2", "3", "4"], "gene").toDF("gene", "s0", "s1", "s2", "s3", "s4"), "s0", "s1", "s2", "s3", "s4")
+    f = gene_features(spark, sf).join(meta(spark, sf), "sample_id").groupBy("gene", "clinical_category").agg(F.avg("value").alias("value"))
+    groups = [str(g) for g in range(10)]
+    return rounded(matrix.wide_matrix(f, groups, "gene", "clinical_category").toDF("gene", *[f"c{g}" for g in groups]), *[f"c{g}" for g in groups])
 
 
 def _raw_ids(spark, sf):
@@ -147,7 +148,7 @@ def id_sort(spark, sf):
     from pyspark.sql import Window
 
     s = _raw_ids(spark, sf).select("site").distinct()
-    return s.withColumn("ord", F.row_number().over(Window.orderBy(*ids.site_order("site")))).where("ord <= 500")
+    return s.withColumn("ord", F.row_number().over(Window.orderBy(*ids.site_order("site"))))
 
 
 @query
@@ -205,7 +206,7 @@ def gene_overlap(spark, sf):
 
 @query
 def gene_overlap_intergenic(spark, sf):
-    return intervals.gene_overlap(points(spark, sf), genes(spark, sf).where("gene_id like '%7'"), include_intergenic=True)
+    return intervals.gene_overlap(points(spark, sf), genes(spark, sf), include_intergenic=True)
 
 
 @query
@@ -215,12 +216,12 @@ def island_context(spark, sf):
 
 @query
 def region_overlap(spark, sf):
-    return intervals.region_overlap(points(spark, sf), graph.regions(genes(spark, sf).where("gene_id like '%3'")))
+    return intervals.region_overlap(points(spark, sf), graph.regions(genes(spark, sf)))
 
 
 @query
 def point_lookup(spark, sf):
-    return intervals.find_overlapping(genes(spark, sf), "chr2", 5000).select("gene_id", "start", "end")
+    return intervals.find_overlapping(genes(spark, sf), "chr2", 800_500).select("gene_id", "start", "end")
 
 
 # roll-ups
@@ -374,7 +375,7 @@ def gsea_es(spark, sf):
 
 @query
 def gsea_perm(spark, sf):
-    return enrich.gsea_preranked(_ranked(spark, sf), feature_sets(spark, sf).where("pathway like 'Brand%'"), 100)
+    return enrich.gsea_preranked(_ranked(spark, sf), feature_sets(spark, sf), 100)
 
 
 # ranking and report
@@ -406,7 +407,7 @@ def rank_pathway(spark, sf):
 
 
 def _mapped(spark, sf):
-    return intervals.gene_overlap(points(spark, sf), genes(spark, sf).where("gene_id like '%7'"), include_intergenic=True)
+    return intervals.gene_overlap(points(spark, sf), genes(spark, sf), include_intergenic=True)
 
 
 @query
@@ -506,7 +507,7 @@ def _sheets(spark, sf):
     c = table(spark, sf, "customer")
     kind = "case c_custkey % 4 when 0 then ' CRC ' when 1 then 'Polyp' when 2 then 'healthy' else c_mktsegment end"
     a = c.where("c_custkey % 2 = 0").selectExpr("concat(' bc-', cast(c_custkey as string), ' ') `Sample_ID`", f"{kind} `Diagnosis`")
-    b = c.where("c_custkey % 3 = 0").selectExpr("case when c_custkey % 15 = 0 then 'nan' else concat('BC-', cast(c_custkey as string)) end barcode", f"upper({kind}) `group`")
+    b = c.where("c_custkey % 2 = 1 or c_custkey % 3 = 0").selectExpr("case when c_custkey % 15 = 0 then 'nan' else concat('BC-', cast(c_custkey as string)) end barcode", f"upper({kind}) `group`")
     return {"CLIN_A": a, "CLIN_B": b}
 
 
@@ -668,7 +669,7 @@ def graph_validation(spark, sf):
 
 @query
 def stratified_sites(spark, sf):
-    return sampling.stratified(points(spark, sf).where("pos % 7 <> 0"), 1000, stratum_col="chrom", key_col="cpg_id").select("chrom", "cpg_id")
+    return sampling.stratified(points(spark, sf), 1000, stratum_col="chrom", key_col="cpg_id").select("chrom", "cpg_id")
 
 
 @query
