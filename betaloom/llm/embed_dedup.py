@@ -6,8 +6,9 @@ millions of directions, and the directions whose product with a vector exceeds t
 the blocks' sorted scores without visiting the others. Classes that share a filter meet in its bucket and are
 verified in double precision; a bucket hands on a spanning set of its links, never all pairs. The components of these
 links are then gathered once and every link inside them is counted. The number of directions follows from the number
-of classes per label, so a bucket holds few unrelated vectors at any size. Buckets and components of many classes are
-joined as pairs of blocks.
+of classes of each label, so a bucket holds few unrelated vectors at any size; the number of codes follows from how
+often pairs at the threshold meet among so many directions, so the share of missed pairs stays bounded at any size.
+Buckets and components of many classes are joined as pairs of blocks.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from .buckets import blocked, roots, run_groups
 from .components import connected_components
 from .store import materialize, shuffle_partitions
 
+MOST_LABELS = 1_000_000  # whose sizes are broadcast; of more, the join shuffles
+
 
 @functools.lru_cache(maxsize=8)
 def product_code(dim: int, words: int, blocks: int, seed: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -50,7 +53,7 @@ def _halves(units: np.ndarray, words: int, blocks: int, seed: int) -> tuple[np.n
     return sides[0], sides[1]
 
 
-@functools.lru_cache(maxsize=64)
+@functools.lru_cache(maxsize=4096)
 def cap_threshold(dim: int, words: int, blocks: int, per_vector: float, seed: int) -> float:
     """The threshold that leaves per_vector directions to a random unit vector on average, from 128 random vectors."""
     v = np.random.default_rng([seed, dim, 1]).standard_normal((128, dim))
@@ -90,6 +93,39 @@ def list_decode(units: np.ndarray, words: int, blocks: int, per_vector: float, l
     return out
 
 
+def words_of(level: int, blocks: int, per_vector: float, spread: int) -> int:
+    """Words of each block for a label of at most 2**level classes."""
+    return max(4, math.ceil((2**level * per_vector * spread) ** (1 / blocks)))
+
+
+def pairs_at(threshold: float, n: int, dim: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """n pairs of random unit vectors whose product is the threshold."""
+    v, g = rng.standard_normal((2, n, dim))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    g -= (g * v).sum(axis=1)[:, None] * v
+    w = threshold * v + math.sqrt(max(0.0, 1 - threshold**2)) * g / np.maximum(np.linalg.norm(g, axis=1), 1e-30)[:, None]
+    return v, w / np.maximum(np.linalg.norm(w, axis=1), 1e-30)[:, None]
+
+
+@functools.lru_cache(maxsize=4096)
+def codes_needed(dim: int, words: int, blocks: int, per_vector: float, least: int, threshold: float, miss: float, seed: int) -> int:
+    """How many codes leave a pair at the threshold without a common filter with a probability of `miss` at most.
+
+    Codes are independent, so the share of pairs that miss falls by the same factor with each. The factor is measured
+    on 2,000 random pairs over eight codes, plus two standard errors.
+    """
+    rng, met, n = np.random.default_rng([seed, dim, 2]), 0, 2000
+    step = max(10, min(250, (1 << 20) // words ** (blocks - blocks // 2)))
+    for code in range(8):
+        v, w = pairs_at(threshold, n // 8, dim, rng)
+        for lo in range(0, len(v), step):
+            a, b = (list_decode(x[lo : lo + step], words, blocks, per_vector, least, seed + code) for x in (v, w))
+            met += sum(not set(p.tolist()).isdisjoint(q.tolist()) for p, q in zip(a, b))
+    share = met / n
+    share = min(max(share - 2 * math.sqrt(share * (1 - share) / n), 1 / n), 1 - 1 / n)
+    return math.ceil(math.log(miss) / math.log(1 - share))
+
+
 def _pack(kind):
     def run(batches):
         for b in batches:
@@ -105,21 +141,21 @@ def _units(vecs: list, kind: str) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
-def _decode(kind, words, blocks, codes, per_vector, least, seed):
-    """(label, dim, cid, vec) to a row for each filter of the vector."""
-    directions, step = words**blocks, max(16, min(1024, (1 << 21) // words ** (blocks - blocks // 2)))
+def _decode(kind, plan, blocks, per_vector, least, seed):
+    """(label, dim, cid, vec, level) to a row for each filter of the vector; plan: words and codes by (dim, level)."""
 
     def run(batches):
         for b in batches:
-            for lo in range(0, b.num_rows, step):
-                part = b.slice(lo, step)
-                vecs = part.column("vec").to_pylist()
-                for dim in {len(v) for v in vecs}:
-                    rows = np.array([i for i, v in enumerate(vecs) if len(v) == dim])
-                    units = _units([vecs[i] for i in rows], kind)
-                    for code in range(codes):
-                        found = list_decode(units, words, blocks, per_vector, least, seed + code)
-                        same = part.take(pa.array(np.repeat(rows, [len(f) for f in found])))
+            dims, levels = (b.column(c).to_numpy() for c in ("dim", "level"))
+            for dim, level in sorted(set(zip(dims.tolist(), levels.tolist()))):
+                words, codes = plan[dim, level]
+                directions, step = words**blocks, max(16, min(1024, (1 << 21) // words ** (blocks - blocks // 2)))
+                rows = np.flatnonzero((dims == dim) & (levels == level))
+                for code in range(codes):  # outside, so each code is drawn once a batch
+                    for lo in range(0, len(rows), step):
+                        at = rows[lo : lo + step]
+                        found = list_decode(_units(b.column("vec").take(pa.array(at)).to_pylist(), kind), words, blocks, per_vector, least, seed + code)
+                        same = b.take(pa.array(np.repeat(at, [len(f) for f in found])))
                         filters = pa.array(np.concatenate(found).astype(np.int64) + code * directions)
                         yield pa.RecordBatch.from_arrays([same.column("label"), same.column("dim"), filters, same.column("cid")], names=["label", "dim", "filter", "cid"])
 
@@ -166,7 +202,7 @@ def _count(kind, threshold):
     return work
 
 
-def embedding_near_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", threshold: float = 0.93, codes: int = 8, per_vector: float = 2, least: int = 2, blocks: int = 2, spread: int = 8, block_rows: int = 1024, seed: int = 11) -> DataFrame:
+def embedding_near_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", threshold: float = 0.93, codes: int = 8, miss: float = 1e-3, per_vector: float = 2, least: int = 2, blocks: int = 2, spread: int = 8, block_rows: int = 1024, seed: int = 11) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
     Vectors with equal, non-null labels and equal length are compared by cosine in double precision. Null, empty or
@@ -174,9 +210,10 @@ def embedding_near_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vec_col:
     component_id their own id, kept true. Equal vectors are linked; each row counts as a vector, repeated rows too.
     Other columns are ignored. An empty table gives no rows.
 
-    codes: independent rotations and codes; per_vector: filters of a vector in each, on average; least: and at least;
-    spread: directions per vector and filter, against chance meetings. With these, 99 % of random pairs at the threshold
-    share a filter among 100,000 vectors of a label, and links inside a component are found whether or not they do.
+    codes: independent rotations and codes, at least; miss: the share of random pairs at the threshold that may be
+    without a common filter, at any number of vectors of a label: codes are added until it is kept. per_vector: filters
+    of a vector in each code, on average; least: and at least; spread: directions per vector and filter, against chance
+    meetings. Links inside a component are found whether or not they share a filter.
     """
     spark = vectors.sparkSession
     n = shuffle_partitions(spark)
@@ -188,9 +225,16 @@ def embedding_near_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vec_col:
     kind, binary = ("<f4", _pack("<f4")) if vectors.schema[vec_col].dataType.elementType.typeName() == "float" else ("<f8", _pack("<f8"))
     packed = materialize(classes.select("label", F.size("vec").alias("dim"), "cid", "m", "vec").mapInArrow(binary, "label string, dim int, cid long, m long, vec binary"), "vec-packed")
 
-    most = classes.groupBy("label").count().agg(F.max("count")).head()[0] or 1
-    words = max(4, math.ceil((most * per_vector * spread) ** (1 / blocks)))
-    filters = packed.select("label", "dim", "cid", "vec").repartition(n, "cid").mapInArrow(_decode(kind, words, blocks, codes, per_vector, least, seed), "label string, dim int, filter long, cid long")
+    sizes = classes.groupBy("label", F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sizes = materialize(sizes.select("label", "dim", F.length(F.bin(F.col("n") - 1)).alias("level")), "vec-sizes")  # n <= 2**level
+    plan = {}
+    for dim, level in sizes.select("dim", "level").distinct().collect():
+        words = words_of(level, blocks, per_vector, spread)
+        plan[dim, level] = words, max(codes, codes_needed(dim, words, blocks, per_vector, least, threshold, miss, seed))
+    if sizes.count() <= MOST_LABELS:
+        sizes = F.broadcast(sizes)
+    leveled = packed.select("label", "dim", "cid", "vec").join(sizes, ["label", "dim"])
+    filters = leveled.repartition(n, "cid").mapInArrow(_decode(kind, plan, blocks, per_vector, least, seed), "label string, dim int, filter long, cid long")
     filters = materialize(filters, "vec-filters")
     key = ["label", "dim", "filter"]
     met = filters.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")

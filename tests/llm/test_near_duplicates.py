@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from betaloom.llm import queries
-from betaloom.llm.embed_dedup import cap_threshold, embedding_near_dedup, list_decode
+from betaloom.llm.embed_dedup import cap_threshold, codes_needed, embedding_near_dedup, list_decode, pairs_at
 from betaloom.llm.line_dedup import dedup_lines
 from betaloom.llm.ngram_join import least_matches, ngram_join
 
@@ -89,6 +89,19 @@ def test_filters_of_near_vectors_meet():
     assert met.mean() > 0.99
 
 
+@pytest.mark.parametrize("words", [1_000, 3_163])  # 1 and 10 million directions
+def test_missed_pairs_stay_bounded(words):
+    v, w = pairs_at(0.93, 800, 64, np.random.default_rng(8))
+    assert np.allclose((v * w).sum(axis=1), 0.93)
+    met, few = np.zeros(800, bool), None
+    for code in range(codes_needed(64, words, 2, 2, 2, 0.93, 1e-3, 11)):
+        if code == 8:
+            few = met.mean()
+        a, b = (list_decode(x, words, 2, 2, 2, 11 + code) for x in (v, w))
+        met |= np.array([len(np.intersect1d(p, q)) > 0 for p, q in zip(a, b)])
+    assert few < 0.996 < 0.997 <= met.mean()  # eight codes are too few
+
+
 # n-grams
 
 
