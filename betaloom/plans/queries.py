@@ -375,7 +375,7 @@ def gsea_es(spark, sf):
 
 @query
 def gsea_perm(spark, sf):
-    return enrich.gsea_preranked(_ranked(spark, sf), feature_sets(spark, sf), 100)
+    return enrich.gsea_preranked(_ranked(spark, sf), feature_sets(spark, sf))
 
 
 # ranking and report

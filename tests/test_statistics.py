@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 from betaloom.functions import special
 from betaloom.operators import compare, enrich, hms
+from betaloom.plans.queries import QUERIES
 
 
 def brute_mwu(u, n, m):
@@ -135,6 +136,12 @@ def test_gsea(spark):
     assert again == {r.pathway: r.nes for r in enrich.gsea_preranked(ranked, sets, 50).collect()}
 
 
+def test_gsea_query_draws_a_thousand_permutations(spark):
+    p = [r.p_value for r in QUERIES["gsea_perm"](spark, "/root/testdata/sf0.001").collect()]
+    assert all(x == 1 / 1001 or abs(x * 1000 - round(x * 1000)) < 1e-6 for x in p)
+    assert any(round(x * 1000) % 10 for x in p)  # finer than hundredths
+
+
 def test_hms_extremes(spark):
     rows = [(f"g{g}", f"s{s}", float(g * 7 % 5 + s)) for g in range(5) for s in range(6)]
     f = spark.createDataFrame(rows, "gene string, sample_id string, value double")
