@@ -204,8 +204,17 @@ def train(texts: list[str], labels: list[str], *, epochs: int = 6, batch: int =
     return tagger
 
 
+def stretch_bounds(n: int, per_text: int, length: int) -> list[tuple[int, int]]:
+    """Up to per_text stretches of up to `length` of n words: all words if they fit, else evenly from the first to the last."""
+    k = min(per_text, -(-n // length))
+    if n <= k * length:
+        return [(i * n // k, (i + 1) * n // k) for i in range(k)]
+    starts = [i * (n - length) // max(1, k - 1) for i in range(k)]
+    return [(at, at + length) for at in starts]
+
+
 def _stretches(per_text: int, length: int):
-    """Up to per_text stretches of `length` words of each text, spread evenly over all of it."""
+    """The stretches of each text, see stretch_bounds."""
 
     def run(batches):
         for b in batches:
@@ -216,13 +225,9 @@ def _stretches(per_text: int, length: int):
                 raw = data.tobytes()
                 for i, lang in enumerate(b.column("lang").slice(lo, hi - lo).to_pylist()):
                     first, last = int(before[i]), int(before[i + 1])
-                    whole = max(1, (last - first) // length)
-                    for k in range(min(per_text, whole)):
-                        at = first + (k * whole // min(per_text, whole)) * length
-                        stop = min(at + length, last)
-                        if at < stop:
-                            texts.append(raw[starts[at] : ends[stop - 1]].decode("utf-8", "ignore"))
-                            langs.append(lang)
+                    for at, stop in stretch_bounds(last - first, per_text, length):
+                        texts.append(raw[starts[first + at] : ends[first + stop - 1]].decode("utf-8", "ignore"))
+                        langs.append(lang)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(langs, pa.string())], names=["text", "lang"])
 
     return run
@@ -232,7 +237,7 @@ def held_out(id_col: str, folds: int = 4, fold: int = 2):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold
 
 
-def fit_langid(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 3_000, per_text: int = 2, length: int = 24, **training) -> Tagger:
+def fit_langid(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 4_000, per_text: int = 3, length: int = 24, **training) -> Tagger:
     """Fit on at most max_rows documents with a language outside the held-out fold (those whose hashed ids are smallest), per_text stretches of each.
 
     Null ids, languages and texts are left out. With fewer than two languages, all text gets the one there is.

@@ -96,6 +96,21 @@ def test_language_is_learned_and_words_are_tagged(spark):
     assert np.mean([r.lang_pred == "en" for r in tags[:half]]) > 0.9 and np.mean([r.lang_pred == "de" for r in tags[half:]]) > 0.9
 
 
+def test_training_stretches_reach_the_ends_of_texts():
+    def learned(n, per_text):
+        text = " ".join("".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(n))
+        batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array(["en"])], names=["text", "lang"])
+        return text.split(), [b.split() for out in langid_crf._stretches(per_text, 24)([batch]) for b in out.column("text").to_pylist()]
+
+    for n, per_text in ((1, 3), (24, 3), (30, 3), (47, 2), (72, 3)):  # short texts are learned whole
+        words, parts = learned(n, per_text)
+        assert [w for p in parts for w in p] == words and max(map(len, parts)) <= 24
+    for n, per_text in ((73, 3), (110, 3), (1_000, 2)):
+        words, parts = learned(n, per_text)
+        assert len(parts) == per_text and all(len(p) == 24 for p in parts) and parts[0][0] == words[0] and parts[-1][-1] == words[-1]
+    assert learned(0, 3)[1] == []
+
+
 def test_language_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, "en"), (2, "", "en"), (3, "12 — !? 🙂", "de"), (4, "the word and the", "en"), (5, "der und die das", "de"), (None, "é", None), (4, "the word and the", "en"), (6, "wort " * 30_000, "de")], "doc_id long, text string, lang string")
     for rows in (docs, docs.withColumn("lang", docs.lang.substr(9, 1)), docs.limit(0)):
