@@ -250,10 +250,13 @@ def fit_langid(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return train([t for _, t in got], [x for x, _ in got], **training)
 
 
-def identify_language(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
+def identify_language(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = (), certainty: bool = False) -> DataFrame:
     """One row per input row: the columns in keep unchanged, doc_id, lang_pred and score (its mean posterior, 0 to 1).
 
-    Null texts and texts without a letter get "und" and score 0. Ties go to the first language in order. Repeated rows
+    certainty adds a column of that name: the mean over words of the best language's posterior, from 0 (no better than
+    chance among the learned languages) to 1, whether or not the words agree on a language. With one language it is 1.
+
+    Null texts and texts without a letter get "und", score 0 and certainty 0. Ties go to the first language in order. Repeated rows
     get equal results. An empty table gives no rows.
     """
     text = F.col(text_col)
@@ -261,19 +264,25 @@ def identify_language(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("__text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__letter"), *others)
     source = {c: "__text" if c == text_col else c for c in ["doc_id", *(c for c in keep if c != "doc_id")]}  # the text goes to Python once
     out = StructType([StructField("doc_id", LongType()), *(docs.schema[c] for c in keep if c != "doc_id")]).add("lang_pred", "string").add("score", "double")
+    if certainty:
+        out = out.add("certainty", "double")
+    least = 1 / len(tagger.labels)
 
     def run(batches):
         for b in freed(batches):
-            pred, score = [UNDETERMINED] * b.num_rows, np.zeros(b.num_rows)
+            pred, score, sure = [UNDETERMINED] * b.num_rows, np.zeros(b.num_rows), np.zeros(b.num_rows)
             letter, column = b.column("__letter").to_pylist(), b.column("__text")
             for lo, hi in slices(column):
                 _, _, before, post = tagger.tag(*utf8(pc.utf8_lower(column.slice(lo, hi - lo))))
                 total = np.concatenate([np.zeros((1, post.shape[1])), np.cumsum(post, axis=0)])
                 mass = (total[before[1:]] - total[before[:-1]]) / np.maximum(np.diff(before), 1)[:, None]
+                best = np.concatenate([[0.0], np.cumsum(post.max(axis=1))])
+                best = (best[before[1:]] - best[before[:-1]]) / np.maximum(np.diff(before), 1)
                 for i, k in enumerate(mass.argmax(axis=1)):
                     if letter[lo + i]:
+                        sure[lo + i] = min(1.0, max(0.0, (best[i] - least) / (1 - least))) if least < 1 else 1.0
                         pred[lo + i], score[lo + i] = tagger.labels[k], min(1.0, mass[i, k])
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in source.values()), pa.array(pred), pa.array(score)], names=out.names)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in source.values()), pa.array(pred), pa.array(score), *([pa.array(sure)] if certainty else [])], names=out.names)
 
     return rows.mapInArrow(run, out)
 

@@ -1,4 +1,8 @@
+import random
+
 import duckdb
+import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from betaloom.llm.store import materialize
@@ -40,6 +44,21 @@ def test_stages_on_their_own_input(spark):
     assert set(after.doc_id) == set(before.doc_id)
 
 
+@pytest.mark.parametrize("known", [["de", "en"], ["de", "en", "fr"], ["de", "en", "es", "fr"]])
+def test_unknown_languages_go_and_mixed_texts_stay(spark, known):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(F.col("lang").isin(known))
+    words = [max((r.text for r in docs.where(f"lang = '{x}' and n_chars < 3000").collect()), key=len).split()[:60] for x in known]
+    rng = random.Random(4)
+    noise = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(60)) for letters in ("bcdfghjklmnpqrstvwxz", "абвгдежзийклмнопрст", "的一是不了人我在有他这中")]
+    texts = [" ".join(w for part in words for w in part), *noise]
+    rows = [(-1 - i, t, None, "x", len(t)) for i, t in enumerate(texts)]
+    extra = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").select(*[F.col(c).cast(docs.schema[c].dataType) for c in cp.COLUMNS])
+    kept = {r.doc_id for r in cp.language(spark, docs.select(cp.COLUMNS).union(extra), SF).select("doc_id").collect()}
+    assert {i for i in kept if i < 0} == {-1}
+    gone = [r.text for r in docs.collect() if r.doc_id not in kept]
+    assert not any(c.isalpha() for t in gone for c in t or "")
+
+
 def test_run_and_repeated_rows(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     docs.union(docs.limit(20)).union(spark.createDataFrame([(9001, None, None, None, None), (9002, "", "en", "s", 0), (None, "a few more words here", "en", None, 21)], docs.schema)).coalesce(2).write.parquet(str(tmp_path / "documents.parquet"))
