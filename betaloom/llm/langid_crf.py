@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from .sample import training_sample
 from .textvec import LETTER, Hasher, freed, mix, slices, utf8, words
 
-BITS, SEGMENT = 17, 64
+BITS, SEGMENT = 19, 64
 UNDETERMINED = "und"
 
 
@@ -145,48 +146,102 @@ class Tagger:
         return starts, ends, before, forward_backward(score, before, self.start, self.change)[0]
 
 
-def train(texts: list[str], labels: list[str], *, epochs: int = 6, batch: int = 192, rate: float = 0.25, decay: float = 1e-6, mixed: float = 0.3, seed: int = 5) -> Tagger:
-    """Fit weights and transitions by AdaGrad on the chains' log likelihood.
+def _pieces(text: str, size: int = 1 << 18) -> list[str]:
+    """text in parts of about `size` characters, cut at spaces where there are any."""
+    out, at = [], 0
+    while len(text) - at > size:
+        stop = text.rfind(" ", at, at + size) + 1 or at + size
+        out.append(text[at:stop])
+        at = stop
+    return [*out, text[at:]]
 
-    texts are word stretches in one language each. A share of the chains is made of two stretches, so that changes
-    of language are seen.
+
+@dataclass
+class Corpus:
+    """Texts as chains of word numbers, and the features of each distinct word (those of word i: index[at[i]:at[i + 1]])."""
+
+    word: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    gold: np.ndarray
+    index: np.ndarray
+    at: np.ndarray
+
+
+def chains(texts: list[str], labels: list[int], length: int) -> Corpus:
+    """Every word of every text, in chains of up to `length` neighbours. Memory grows with words, not with their features."""
+    parts, of = [], []
+    for text, label in zip(texts, labels):
+        for part in _pieces(text):
+            parts.append(part)
+            of.append(label)
+    column = pc.utf8_lower(pa.array(parts, pa.string()))
+    hashes, names, known, begin, end, gold, n = [], [], [], [], [], [], 0
+    for lo, hi in slices(column):
+        data, offsets = utf8(column.slice(lo, hi - lo))
+        starts, ends, before = words(data, offsets, LETTER)
+        h, raw = Hasher(data).of(starts, ends), data.tobytes()
+        fresh, first = np.unique(h, return_index=True)
+        hashes.append(h)
+        known.append(fresh)
+        names += [raw[starts[i] : ends[i]] for i in first.tolist()]
+        count = np.diff(before)
+        k = -(-count // length)
+        text = np.repeat(np.arange(len(count)), k)
+        place = np.arange(len(text)) - np.repeat(np.cumsum(k) - k, k)
+        begin.append(n + before[text] + place * count[text] // k[text])
+        end.append(n + before[text] + (place + 1) * count[text] // k[text])
+        gold.append(np.array(of[lo:hi])[text])
+        n += len(h)
+    vocabulary, first = np.unique(np.concatenate(known), return_index=True)
+    data, offsets = utf8(pa.array([names[i] for i in first.tolist()], pa.binary()).cast(pa.large_binary()).view(pa.large_string()))
+    owner, index = (np.concatenate(x) for x in zip(*((h.astype(np.int32), i.astype(np.int32)) for h, i in word_features(Hasher(data), offsets[:-1], offsets[1:]))))
+    order = np.argsort(owner, kind="stable")
+    word = np.searchsorted(vocabulary, np.concatenate(hashes)).astype(np.int32)
+    return Corpus(word, np.concatenate(begin), np.concatenate(end), np.concatenate(gold), index[order], np.searchsorted(owner[order], np.arange(len(vocabulary) + 1)))
+
+
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges begin[i]..end[i] - 1, one after the other."""
+    n = end - begin
+    return np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def train(texts: list[str], labels: list[str], *, steps: int = 150, batch: int = 192, length: int = 24, rate: float = 0.25, decay: float = 1e-6, mixed: float = 0.3, seed: int = 5) -> Tagger:
+    """Fit weights and transitions by at least `steps` AdaGrad updates on the chains' log likelihood, whole passes over all words.
+
+    texts are in one language each. A share of the chains is made of two, so that changes of language are seen.
     """
     names = sorted(set(labels))
     L = max(1, len(names))
     tagger = Tagger(names or [UNDETERMINED], np.zeros((1 << BITS, L)), np.zeros(L), np.zeros((L, L)))
     if len(names) < 2:
         return tagger
-    data, offsets = utf8(pa.array(texts, pa.string()))
-    starts, ends, before = words(data, offsets, LETTER)
-    gold = np.array([names.index(x) for x in labels])
-    word, index = (np.concatenate(x) for x in zip(*((h.astype(np.int32), i.astype(np.int32)) for h, i in word_features(Hasher(data), starts, ends))))
-    order = np.argsort(word, kind="stable")
-    word, index = word[order], index[order]
-    del order
-    at = np.searchsorted(word, np.arange(len(starts) + 1))
+    number = {x: k for k, x in enumerate(names)}
+    c = chains(texts, [number[x] for x in labels], length)
     rng = np.random.default_rng(seed)
     squares, s_start, s_change = np.full((1 << BITS, L), 1e-4), np.full(L, 1e-4), np.full((L, L), 1e-4)
-    usable = np.flatnonzero(np.diff(before) > 0)
-    for _ in range(epochs):
-        for take in np.array_split(rng.permutation(usable), max(1, len(usable) // batch)):
-            chains, k = [], 0
+    parts = max(1, len(c.begin) // batch)
+    for _ in range(-(-steps // parts) if len(c.begin) else 0):
+        for take in np.array_split(rng.permutation(len(c.begin)), parts):
+            first, k = [], 0  # places in take at which a chain begins; the others are joined to the one before
             while k < len(take):
-                pair = take[k : k + 2] if rng.random() < mixed else take[k : k + 1]
-                chains.append(pair)
-                k += len(pair)
-            rows = np.concatenate([np.arange(before[x], before[x + 1]) for c in chains for x in c])
-            y = np.concatenate([np.full(before[x + 1] - before[x], gold[x]) for c in chains for x in c])
-            bounds = np.concatenate([[0], np.cumsum([sum(before[x + 1] - before[x] for x in c) for c in chains])])
-            n_feats = at[rows + 1] - at[rows]
-            owner = np.repeat(np.arange(len(rows)), n_feats)
-            used = index[np.repeat(at[rows] - np.concatenate([[0], np.cumsum(n_feats)[:-1]]), n_feats) + np.arange(n_feats.sum())]
-            score = np.stack([np.bincount(owner, tagger.weights[used, k], len(rows)) for k in range(L)], axis=1)
+                first.append(k)
+                k += 2 if rng.random() < mixed else 1
+            rows, size = _ranges(c.begin[take], c.end[take]), c.end[take] - c.begin[take]
+            y = np.repeat(c.gold[take], size)
+            bounds = np.append(np.concatenate([[0], np.cumsum(size)])[first], len(rows))
+            used_words, word = np.unique(c.word[rows], return_inverse=True)
+            used = c.index[_ranges(c.at[used_words], c.at[used_words + 1])]
+            owner = np.repeat(np.arange(len(used_words)), c.at[used_words + 1] - c.at[used_words])
+            score = np.stack([np.bincount(owner, tagger.weights[used, k], len(used_words)) for k in range(L)], axis=1)[word]
             post, pairs = forward_backward(score, bounds, tagger.start, tagger.change)
             wrong = post.copy()
             wrong[np.arange(len(rows)), y] -= 1
-            wrong /= len(chains)
+            wrong /= len(first)
             touched, where = np.unique(used, return_inverse=True)
-            grad = np.stack([np.bincount(where, wrong[owner, k], len(touched)) for k in range(L)], axis=1) + decay * tagger.weights[touched]
+            of_word = np.stack([np.bincount(word, wrong[:, k], len(used_words)) for k in range(L)], axis=1)
+            grad = np.stack([np.bincount(where, of_word[owner, k], len(touched)) for k in range(L)], axis=1) + decay * tagger.weights[touched]
             squares[touched] += grad**2
             tagger.weights[touched] -= rate * grad / np.sqrt(squares[touched])
             g = wrong[bounds[:-1]].sum(axis=0)
@@ -197,98 +252,79 @@ def train(texts: list[str], labels: list[str], *, epochs: int = 6, batch: int =
             inner[np.arange(len(rows)) - bounds[np.searchsorted(bounds, np.arange(len(rows)), "right") - 1] >= SEGMENT] = False
             seen = np.zeros((L, L))
             np.add.at(seen, (y[np.flatnonzero(inner) - 1], y[inner]), 1)
-            g = (pairs - seen) / len(chains)
+            g = (pairs - seen) / len(first)
             s_change += g**2
             tagger.change -= rate * 0.2 * g / np.sqrt(s_change)
     tagger.weights = tagger.weights.astype(np.float32)
     return tagger
 
 
-def stretch_bounds(n: int, per_text: int, length: int) -> list[tuple[int, int]]:
-    """Up to per_text stretches of up to `length` of n words: all words if they fit, else evenly from the first to the last."""
-    k = min(per_text, -(-n // length))
-    if n <= k * length:
-        return [(i * n // k, (i + 1) * n // k) for i in range(k)]
-    starts = [i * (n - length) // max(1, k - 1) for i in range(k)]
-    return [(at, at + length) for at in starts]
-
-
-def _stretches(per_text: int, length: int):
-    """The stretches of each text, see stretch_bounds."""
-
-    def run(batches):
-        for b in batches:
-            texts, langs = [], []
-            for lo, hi in slices(b.column("text")):
-                data, offsets = utf8(pc.utf8_lower(b.column("text").slice(lo, hi - lo)))
-                starts, ends, before = words(data, offsets, LETTER)
-                raw = data.tobytes()
-                for i, lang in enumerate(b.column("lang").slice(lo, hi - lo).to_pylist()):
-                    first, last = int(before[i]), int(before[i + 1])
-                    for at, stop in stretch_bounds(last - first, per_text, length):
-                        texts.append(raw[starts[first + at] : ends[first + stop - 1]].decode("utf-8", "ignore"))
-                        langs.append(lang)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(langs, pa.string())], names=["text", "lang"])
-
-    return run
-
-
 def held_out(id_col: str, folds: int = 4, fold: int = 2):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold
 
 
-def fit_langid(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 4_000, per_text: int = 3, length: int = 24, **training) -> Tagger:
-    """Fit on at most max_rows documents with a language outside the held-out fold (those whose hashed ids are smallest), per_text stretches of each.
+def fit_langid(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 4_000, max_bytes: int = 16 << 20, **training) -> Tagger:
+    """Fit on whole texts of at most max_rows distinct documents with a language outside the held-out fold, of max_bytes in all.
 
-    Null ids, languages and texts are left out. With fewer than two languages, all text gets the one there is.
+    They are those whose hashed rows are smallest in each language, as many of each as there are (see training_sample),
+    so a rare language is learned too. Null ids, languages and texts are left out; repeated rows count once. With fewer
+    than two languages, all text gets the one there is; with an empty table it is "und".
     """
     marked = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(~held_out("doc_id"))
-    order = F.xxhash64(F.col("doc_id"))
-    chosen = marked.select("doc_id").orderBy(order, "doc_id").limit(max_rows).distinct()
-    rows = marked.join(F.broadcast(chosen), "doc_id").select("text", "lang")  # max_rows ids at most
-    got = sorted((r.lang, r.text) for r in rows.mapInArrow(_stretches(per_text, length), "text string, lang string").collect())
+    rows = marked.select("doc_id", F.xxhash64("text", "lang").alias("t"), "text")
+    keys = marked.select("doc_id", F.xxhash64("text", "lang").alias("t"), F.octet_length("text").alias("size"), "lang")
+    got = sorted((r.lang, r.text) for r in training_sample(rows, keys, "lang", max_rows, max_bytes).select("lang", "text").collect())
     return train([t for _, t in got], [x for x, _ in got], **training)
 
 
 def identify_language(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = (), certainty: bool = False) -> DataFrame:
     """One row per input row: the columns in keep unchanged, doc_id, lang_pred and score (its mean posterior, 0 to 1).
 
+    A column in keep with the name of a result (in any case) gives way to it.
+
     certainty adds a column of that name: the mean over words of the best language's posterior, from 0 (no better than
     chance among the learned languages) to 1, whether or not the words agree on a language. With one language it is 1.
+    n_words comes with it: how many words that mean is over.
 
     Null texts and texts without a letter get "und", score 0 and certainty 0. Ties go to the first language in order. Repeated rows
     get equal results. An empty table gives no rows.
     """
     text = F.col(text_col)
+    keep = [c for c in keep if c.lower() not in ("lang_pred", "score", *(("certainty", "n_words") if certainty else ()))]
     others = [c for c in keep if c not in ("doc_id", text_col)]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("__text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__letter"), *others)
     source = {c: "__text" if c == text_col else c for c in ["doc_id", *(c for c in keep if c != "doc_id")]}  # the text goes to Python once
     out = StructType([StructField("doc_id", LongType()), *(docs.schema[c] for c in keep if c != "doc_id")]).add("lang_pred", "string").add("score", "double")
     if certainty:
-        out = out.add("certainty", "double")
+        out = out.add("certainty", "double").add("n_words", "long")
     least = 1 / len(tagger.labels)
 
     def run(batches):
         for b in freed(batches):
-            pred, score, sure = [UNDETERMINED] * b.num_rows, np.zeros(b.num_rows), np.zeros(b.num_rows)
+            pred, score, sure, n_words = [UNDETERMINED] * b.num_rows, np.zeros(b.num_rows), np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64)
             letter, column = b.column("__letter").to_pylist(), b.column("__text")
             for lo, hi in slices(column):
                 _, _, before, post = tagger.tag(*utf8(pc.utf8_lower(column.slice(lo, hi - lo))))
                 total = np.concatenate([np.zeros((1, post.shape[1])), np.cumsum(post, axis=0)])
                 mass = (total[before[1:]] - total[before[:-1]]) / np.maximum(np.diff(before), 1)[:, None]
+                n_words[lo:hi] = np.diff(before)
                 best = np.concatenate([[0.0], np.cumsum(post.max(axis=1))])
                 best = (best[before[1:]] - best[before[:-1]]) / np.maximum(np.diff(before), 1)
                 for i, k in enumerate(mass.argmax(axis=1)):
                     if letter[lo + i]:
                         sure[lo + i] = min(1.0, max(0.0, (best[i] - least) / (1 - least))) if least < 1 else 1.0
                         pred[lo + i], score[lo + i] = tagger.labels[k], min(1.0, mass[i, k])
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in source.values()), pa.array(pred), pa.array(score), *([pa.array(sure)] if certainty else [])], names=out.names)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in source.values()), pa.array(pred), pa.array(score), *([pa.array(sure), pa.array(n_words)] if certainty else [])], names=out.names)
 
     return rows.mapInArrow(run, out)
 
 
 def tag_words(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per word: doc_id, word (from 0), text (lower case), lang_pred and score of the word in its context."""
+    """A row per word: doc_id, word (from 0), text (lower case), lang_pred and score of the word in its context.
+
+    Null and empty texts and texts without a letter have no word and give no row; repeated rows give their words each.
+    Other columns are ignored. An empty table gives no rows.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches):

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from .sample import training_sample
 from .textvec import LETTER, SPACE, Hasher, freed, slices, utf8, words
 
 WORD_BITS, BINS = 15, 12
@@ -169,28 +170,32 @@ def held_out(id_col: str, folds: int = 5, fold: int = 0):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", label_col: str = "quality", max_rows: int = 8_000, **training) -> Model:
-    """Fit on at most max_rows labelled documents outside the held-out fold: those whose hashed ids are smallest.
+def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", label_col: str = "quality", max_rows: int = 8_000, max_bytes: int = 64 << 20, **training) -> Model:
+    """Fit on whole texts of at most max_rows distinct labelled rows outside the held-out fold, of max_bytes in all.
 
-    Ids without a document, null labels and null ids are left out. Without any row, every score is 0.5.
+    They are those whose hashed rows are smallest (see training_sample). Ids without a document, null labels and null
+    ids are left out; repeated rows and labels count once, an id with both labels counts as both. Without any row,
+    every score is 0.5.
     """
-    marked = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("quality")).where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+    marked = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("quality")).where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id")).distinct()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(length_col).cast("long").alias("n_chars"))
-    chosen = texts.select("doc_id").join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_rows)  # ids and labels only
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "n_chars", "quality")  # max_rows ids at most
+    texts = texts.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")).withColumn("t", F.xxhash64("text", "n_chars"))
+    keys = texts.select("doc_id", "t", F.octet_length("text").alias("size")).join(marked, "doc_id")  # without texts
+    rows = training_sample(texts, keys, None, max_rows, max_bytes).select("text", "n_chars", "quality")
     got = rows.mapInArrow(_training_rows, "quality int, i binary, x binary, stats binary").collect()
-    got.sort(key=lambda r: (bytes(r.stats), bytes(r.i)))  # the order of rows must not depend on the cluster
+    got.sort(key=lambda r: (bytes(r.stats), bytes(r.i), r.quality))  # the order of rows must not depend on the cluster
     words_ = [(np.frombuffer(r.i, "<u2").astype(np.int64), np.frombuffer(r.x, "<f4").astype(float)) for r in got]
     stats = np.array([np.frombuffer(r.stats) for r in got]).reshape(-1, N_STATS + 1)
     return train(words_, stats, np.array([r.quality for r in got], float), **training)
 
 
 def score_quality(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", keep: list[str] = ()) -> DataFrame:
-    """One row per input row: the columns in keep unchanged (names other than doc_id and score), doc_id and score (0 to 1).
+    """One row per input row: the columns in keep unchanged, doc_id and score (0 to 1); a kept column of that name, in any case, gives way to it.
 
     Null text counts as empty; a text without words is scored from its statistics alone. Repeated rows get equal
     scores. An empty table gives no rows.
     """
+    keep = [c for c in keep if c.lower() != "score"]
     others = [c for c in keep if c not in ("doc_id", text_col)]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"), F.col(length_col).cast("long").alias("__length"), *others)
     source = {c: "__text" if c == text_col else c for c in ["doc_id", *(c for c in keep if c != "doc_id")]}  # the text goes to Python once

@@ -21,19 +21,20 @@ from betaloom.llm.quality_fm import fit_quality, score_quality
 from betaloom.llm.store import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-MIN_CERTAINTY = 0.375  # from chance among the learned languages (0) to 1; labelled texts of check_l have 0.378 or more, noise of the test less, a narrow gap
+MIN_CERTAINTY, EVIDENCE = 0.6, 10  # a text of n words needs a certainty of MIN_CERTAINTY * n / (n + EVIDENCE): few words prove little
 MIN_QUALITY = 0.3
 MIN_SITES = 10
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language, or several."""
+    """Documents with a recognised language, or several; null, empty and letterless texts go, repeated rows fare alike."""
     named = identify_language(docs.select(COLUMNS), fit_langid(docs), keep=COLUMNS, certainty=True)
-    return named.where((F.col("lang_pred") != UNDETERMINED) & (F.col("certainty") >= MIN_CERTAINTY)).select(COLUMNS)
+    enough = F.col("certainty") >= F.col("n_words") * MIN_CERTAINTY / (F.col("n_words") + EVIDENCE)
+    return named.where((F.col("lang_pred") != UNDETERMINED) & enough).select(COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of sufficient quality, learned from the labels of the documents that are left."""
+    """Documents of sufficient quality, learned from the labels of the documents that are left; null text counts as empty, repeated rows fare alike."""
     model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score_quality(docs.select(COLUMNS), model, keep=COLUMNS).where(F.col("score") >= MIN_QUALITY).select(COLUMNS)
 
@@ -45,7 +46,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id, once if its row is repeated."""
+    """One document of each group of near-duplicates: the one with the smallest id (null last), once if its row is repeated; null and blank texts are in no group and stay."""
     found = materialize(ngram_join(docs), "pipeline-classes")
     kept = found.where("kept").select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")).distinct()
     rows = docs.select(COLUMNS)
@@ -55,7 +56,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of a document, with its place in a sequence."""
+    """A row per piece of a document, with its place in a sequence; a null or empty text is one piece of the end id, repeated rows are packed each."""
     return pack_documents(docs, vocab.path("byte_bpe_50k.json"), ranks_path=vocab.path("byte_bpe_50k.tiktoken"), pattern=vocab.PATTERN)
 
 

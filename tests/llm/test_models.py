@@ -96,19 +96,55 @@ def test_language_is_learned_and_words_are_tagged(spark):
     assert np.mean([r.lang_pred == "en" for r in tags[:half]]) > 0.9 and np.mean([r.lang_pred == "de" for r in tags[half:]]) > 0.9
 
 
-def test_training_stretches_reach_the_ends_of_texts():
-    def learned(n, per_text):
-        text = " ".join("".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(n))
-        batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array(["en"])], names=["text", "lang"])
-        return text.split(), [b.split() for out in langid_crf._stretches(per_text, 24)([batch]) for b in out.column("text").to_pylist()]
-
-    for n, per_text in ((1, 3), (24, 3), (30, 3), (47, 2), (72, 3)):  # short texts are learned whole
-        words, parts = learned(n, per_text)
-        assert [w for p in parts for w in p] == words and max(map(len, parts)) <= 24
-    for n, per_text in ((73, 3), (110, 3), (1_000, 2)):
-        words, parts = learned(n, per_text)
-        assert len(parts) == per_text and all(len(p) == 24 for p in parts) and parts[0][0] == words[0] and parts[-1][-1] == words[-1]
-    assert learned(0, 3)[1] == []
+def test_training_chains_hold_every_word_of_whole_texts():
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    texts = [" ".join(map(word, range(n))) for n in (0, 1, 24, 25, 60_000, 73)] + ["Éa, éa", "x" * 300_000]
+    c = langid_crf.chains(texts, list(range(len(texts))), 24)
+    assert (c.end - c.begin).max() == 24 and (c.end - c.begin).min() >= 1
+    assert c.begin[0] == 0 and (c.begin[1:] == c.end[:-1]).all() and c.end[-1] == len(c.word)
+    size = np.bincount(c.gold, c.end - c.begin, len(texts)).astype(int).tolist()
+    assert size[:7] == [0, 1, 24, 25, 60_000, 73, 2] and size[7] in (1, 2)
+    assert len(set(c.word[c.begin[c.gold == 4][0] :][:60_000].tolist())) == 60_000 and c.word[0] == c.word[1]
+    assert len(c.at) == c.word.max() + 2 and (np.diff(c.at) > 3).all()
+
+
+def test_training_rows_are_bounded_however_often_a_row_repeats(spark):
+    rows = [(i, f"text number {i}", ("en", "de", "rare")[0 if i > 40 else i > 5], 10) for i in range(1, 400)]
+    docs = spark.createDataFrame([(i, t, lang if i > 5 else "rare", n) for i, t, lang, n in rows] + [(2, "one text of one id", "en", 18)] * 5_000, "doc_id long, text string, lang string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 400)] + [(2, 1)] * 5_000 + [(2, 0)], "doc_id long, quality int")
+    got = {}
+
+    def seen(module, name):
+        was = getattr(module, name)
+
+        def train(*args, **kw):
+            got[module] = args
+            return was(*args, **kw)
+
+        return was, train
+
+    for module, fit in ((langid_crf, lambda **k: langid_crf.fit_langid(docs, **k)), (quality_fm, lambda **k: quality_fm.fit_quality(docs, labels, **k))):
+        was, module.train = seen(module, "train")
+        try:
+            for bound in (3, 60, 10_000):
+                fit(max_rows=bound)
+                assert 0 < len(got[module][0]) <= min(bound, 405)
+            if module is langid_crf:
+                langid_crf.fit_langid(docs, max_rows=60)
+                assert {x: got[module][1].count(x) for x in set(got[module][1])}["rare"] == len([i for i in range(1, 6) if __import__("zlib").crc32(str(i).encode()) % 4 != 2])
+                langid_crf.fit_langid(docs, max_bytes=100)
+                assert 0 < sum(map(len, got[module][0])) <= 100
+            assert len(got[module][0]) == len(set(map(str, got[module][0]))) or module is quality_fm
+        finally:
+            module.train = was
+
+
+def test_clashing_names_give_way(spark):
+    docs = spark.createDataFrame([(1, "the word", "en", 8, 0.5, "x", 7)], "doc_id long, text string, lang string, n_chars long, Score double, Lang_Pred string, N_WORDS int")
+    named = langid_crf.identify_language(docs, langid_crf.fit_langid(docs), keep=["Score", "lang", "Lang_Pred", "N_WORDS"], certainty=True)
+    assert named.columns == ["doc_id", "lang", "lang_pred", "score", "certainty", "n_words"] and named.head().n_words == 2
+    scored = quality_fm.score_quality(docs, quality_fm.fit_quality(docs, docs.selectExpr("doc_id", "1 as quality")), keep=["Score", "lang"])
+    assert scored.columns == ["doc_id", "lang", "score"] and scored.count() == 1
 
 
 def test_language_odd_rows(spark):
