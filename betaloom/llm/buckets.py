@@ -64,3 +64,18 @@ def run_groups(rows: DataFrame, key: list[str], n: int, work: Callable, schema:
             yield from work(group)
 
     return rows.repartition(n, *key).sortWithinPartitions(*key).mapInArrow(run, schema)
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: list[str], size: str, most: int = 200_000, hot_keys: int = 100_000) -> DataFrame:
+    """rows joined (inner) to table, which has one row per key and in `size` how many rows have it.
+
+    Rows of a key that has over `most` are dealt to ceil(size / most) salts, and its row of the table goes to each. The
+    hot keys, which are broadcast, number at most hot_keys: `most` grows with the sum of sizes.
+    """
+    total = table.agg(F.sum(size)).head()[0] or 0
+    most = max(most, total // hot_keys)
+    salts = F.ceil(F.col(size) / most).cast("int")
+    hot = F.broadcast(table.where(F.col(size) > most).select(*key, salts.alias("__salts")))
+    dealt = rows.join(hot, key, "left").withColumn("__salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("__salts", F.lit(1))).cast("int")).drop("__salts")
+    spread = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return dealt.join(spread, [*key, "__salt"]).drop("__salt")
