@@ -1,7 +1,8 @@
 """Chat formatting in budgeted windows, with DataFrame functions only.
 
 Turns are range-partitioned by (conversation, turn), so a conversation that holds a third of all rows spreads over
-many partitions. Prefix sums of turn tokens are taken inside each (conversation, partition) and shifted by the totals
+many partitions. What follows works on turn numbers and token counts alone; texts are joined once, when each window's
+turns are known. Prefix sums of turn tokens are taken inside each (conversation, partition) and shifted by the totals
 of the partitions before, a few rows per conversation. They choose the spans:
 
 * A turn over half the room is a span of its own; other turns between two such turns share a span as long as their
@@ -10,6 +11,9 @@ of the partitions before, a few rows per conversation. They choose the spans:
 * Each window repeats the system turn and up to `history_turns` turns before its span within `history_tokens`.
   Repeated turns carry no loss: every assistant text is a target in exactly one window.
 
+No tokenizer runs here. A turn counts as its formatted UTF-8 bytes, which no byte-level vocabulary can exceed, so the
+budget holds in tokens of any of them; bytes_per_token over 1 fills windows better where a vocabulary is known.
+
 Template: <|im_start|>role\\ntext<|im_end|>\\n per turn. Inside texts and roles each "<", any backslashes, "|" gets one
 backslash more, so control strings never occur there; taking one away restores the text. Roles also write a backslash
 as \\s and a line feed as \\n.
@@ -20,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import materialize, shuffle_partitions
+from .store import materialize, release, shuffle_partitions
 
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -41,14 +45,16 @@ def unescape_role(role: Column) -> Column:
     return F.replace(F.replace(unescape(role), F.lit("\\n"), F.lit("\n")), F.lit("\\s"), F.lit("\\"))
 
 
-def token_estimate(text: Column) -> Column:
-    """Four UTF-8 bytes a token, plus four tokens for the template."""
-    return F.ceil(F.octet_length(text) / 4).cast("long") + 4
+def token_bound(role: Column, text: Column, bytes_per_token: float = 1.0) -> Column:
+    """At least the tokens of the formatted turn: its UTF-8 bytes, for bytes_per_token 1."""
+    size = F.octet_length(escape(text)) + F.octet_length(escape_role(role)) + len(START + "\n" + END + "\n")
+    return (size if bytes_per_token == 1 else F.ceil(size / bytes_per_token)).cast("long")
 
 
-def format_chats(turns: DataFrame, *, budget: int = 2048, history_turns: int = 2, history_tokens: int = 256) -> DataFrame:
-    """One row per window: conv_id, start (number of its first new turn), n_repeated, n_new, tokens, over_budget,
-    body (the formatted text) and loss (array of begin, end in code points of body: the assistant texts to learn).
+def format_chats(turns: DataFrame, *, budget: int = 8192, history_turns: int = 2, history_tokens: int = 1024, bytes_per_token: float = 1.0) -> DataFrame:
+    """One row per window: conv_id, start (number of its first new turn), n_repeated, n_new, tokens (at most: see
+    token_bound), over_budget, body (the formatted text) and loss (array of begin, end in code points of body: the
+    assistant texts to learn).
 
     turns: conv_id, turn, role, text; null role or text counts as empty, a null conv_id is a conversation, null turns
     come first, rows of equal turn are ordered by role and text, repeated rows are turns of their own. A turn longer
@@ -59,52 +65,59 @@ def format_chats(turns: DataFrame, *, budget: int = 2048, history_turns: int = 2
     text, role = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("role"), F.lit(""))
     rows = turns.select(F.coalesce(F.col("conv_id").cast("string"), F.lit("none")).alias("conv"), F.col("conv_id").cast("long").alias("conv_id"), "turn", role.alias("role"), text.alias("text"))
     rows = rows.repartitionByRange(shuffle_partitions(spark), "conv", "turn", "role", "text").sortWithinPartitions("conv", "turn", "role", "text")
-    rows = rows.select("*", F.spark_partition_id().alias("pid"), F.monotonically_increasing_id().alias("ord"), token_estimate(F.col("text")).alias("tokens"))
+    rows = rows.select("conv", "conv_id", "role", "text", F.spark_partition_id().alias("pid"), F.monotonically_increasing_id().alias("ord"), token_bound(F.col("role"), F.col("text"), bytes_per_token).alias("tokens"))
     rows = materialize(rows, "chat-turns")
 
-    # the number of each turn and what the conversation holds
-    part = Window.partitionBy("conv").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    parts = rows.groupBy("conv", "pid").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ord", "role", "tokens")).alias("head"))
-    parts = parts.select("conv", "pid", "head", F.coalesce(F.sum("n").over(part), F.lit(0)).alias("rows_before"))
-    first = parts.where("rows_before = 0").select("conv", F.when(F.col("head.role") == "system", F.col("head.tokens")).otherwise(0).alias("sys_tokens"))
-    room = F.greatest(F.lit(budget - history_tokens) - F.col("sys_tokens"), F.lit(max(1, budget // 4)))
-    parts = parts.join(first.withColumn("room", room), "conv").select("conv", "pid", "rows_before", "sys_tokens", "room")
+    # the number of each turn, and the room that its conversation's system turn leaves
+    meta = rows.select("conv", "pid", "ord", "tokens", (F.col("role") == "system").alias("sys"))
+    part = Window.partitionBy("conv").orderBy("pid")
+    before = part.rowsBetween(Window.unboundedPreceding, -1)
+    parts = meta.groupBy("conv", "pid").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ord", "sys", "tokens")).alias("head"))
+    first = F.first("head").over(part.rowsBetween(Window.unboundedPreceding, 0))
+    parts = parts.select("conv", "pid", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"), first.alias("first"))
+    room = F.greatest(F.lit(budget - history_tokens) - F.when(F.col("first.sys"), F.col("first.tokens")).otherwise(0), F.lit(max(1, budget // 4)))
+    parts = parts.select("conv", "pid", "rows_before", room.alias("room"), F.when(F.col("first.sys"), F.col("first.ord")).alias("sys_ord"))
     local = Window.partitionBy("conv", "pid").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = rows.withColumn("idx", F.row_number().over(local).cast("long") - 1).join(parts, ["conv", "pid"])
-    numbered = numbered.withColumn("idx", F.col("idx") + F.col("rows_before")).withColumn("large", F.col("tokens") * 2 > F.col("room"))
+    large = F.col("tokens") * 2 > F.col("room")
+    small = F.when(~large, F.col("tokens")).otherwise(0)
+    numbered = meta.join(parts, ["conv", "pid"]).select(
+        "conv", "pid", "ord", "tokens", "room", "sys_ord",
+        (F.row_number().over(local) + F.col("rows_before") - 1).cast("long").alias("idx"),
+        F.sum(small).over(local).alias("small_run"),
+        F.sum(large.cast("long")).over(local).alias("large_run"),
+    )
+    numbered = materialize(numbered, "chat-numbers")
 
     # prefix sums of tokens choose the spans
-    small = F.when(~F.col("large"), F.col("tokens")).otherwise(0)
-    numbered = numbered.withColumn("small_run", F.sum(small).over(local)).withColumn("large_run", F.sum(F.col("large").cast("long")).over(local))
-    numbered = materialize(numbered.drop("rows_before"), "chat-numbered")
     sums = numbered.groupBy("conv", "pid").agg(F.max("small_run").alias("s"), F.max("large_run").alias("l"), F.max(small).alias("longest"))
-    whole = Window.partitionBy("conv")
-    sums = sums.select("conv", "pid", F.coalesce(F.sum("s").over(part), F.lit(0)).alias("s0"), F.coalesce(F.sum("l").over(part), F.lit(0)).alias("l0"), F.max("longest").over(whole).alias("longest"))
+    sums = sums.select("conv", "pid", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("s0"), F.coalesce(F.sum("l").over(before), F.lit(0)).alias("l0"), F.max("longest").over(Window.partitionBy("conv")).alias("longest"))
     placed = numbered.join(sums, ["conv", "pid"]).select(
-        "conv", "conv_id", "idx", "role", "text", "tokens", "sys_tokens",
-        ((F.col("large_run") + F.col("l0")) * 2 - F.col("large").cast("int")).alias("run"),
-        F.when(F.col("large"), F.lit(0)).otherwise(F.expr("(small_run + s0 - tokens) div (room - longest)")).cast("long").alias("cell"),
+        "conv", "idx", "ord", "tokens", "sys_ord",
+        ((F.col("large_run") + F.col("l0")) * 2 - large.cast("int")).alias("run"),
+        F.when(large, F.lit(0)).otherwise(F.expr("(small_run + s0 - tokens) div (room - longest)")).cast("long").alias("cell"),
     )
-    spans = placed.groupBy("conv", "run", "cell").agg(F.min("idx").alias("start"))
+    placed = materialize(placed, "chat-places")
+    release(numbered)
+    spans = placed.groupBy("conv", "run", "cell").agg(F.min("idx").alias("start"), F.first("sys_ord").alias("sys_ord")).where("start > 0")
 
     # what windows repeat
-    back = spans.where("start > 0").select("conv", "run", "cell", F.explode(F.sequence(F.lit(1), F.lit(history_turns))).alias("back"), "start") if history_turns else spans.where("false").withColumn("back", F.lit(1))
-    turn = numbered.select("conv", "conv_id", "idx", "role", "text", "tokens")
-    history = back.withColumn("idx", F.col("start") - F.col("back")).where("idx >= 0").join(turn, ["conv", "idx"]).where("not (idx = 0 and role = 'system')")
+    back = spans.withColumn("back", F.explode(F.sequence(F.lit(1), F.lit(history_turns)))) if history_turns else spans.where("false").withColumn("back", F.lit(1))
+    history = back.select("conv", "run", "cell", "sys_ord", (F.col("start") - F.col("back")).alias("idx")).where("idx >= 0").join(placed.select("conv", "idx", "ord", "tokens"), ["conv", "idx"]).where("sys_ord is null or ord <> sys_ord")
     near = Window.partitionBy("conv", "run", "cell").orderBy(F.desc("idx")).rowsBetween(Window.unboundedPreceding, 0)
     history = history.withColumn("so_far", F.sum("tokens").over(near)).where(F.col("so_far") <= history_tokens)
-    system = spans.where("start > 0").join(turn.where("idx = 0 and role = 'system'"), "conv")
-    cols = ["conv", "conv_id", "run", "cell", "idx", "role", "text", "tokens"]
-    members = placed.select(*cols, F.lit(True).alias("new")).unionByName(history.select(*cols, F.lit(False).alias("new"))).unionByName(system.select(*cols, F.lit(False).alias("new")))
+    system = spans.where("sys_ord is not null").select("conv", "run", "cell", F.lit(0).cast("long").alias("idx"), F.col("sys_ord").alias("ord"))
+    key = ["conv", "run", "cell"]
+    members = placed.select(*key, "idx", "ord", F.lit(True).alias("new")).unionByName(history.select(*key, "idx", "ord", F.lit(False).alias("new"))).unionByName(system.withColumn("new", F.lit(False)))
+    members = members.join(rows.select("ord", "conv_id", "role", "text", "tokens"), "ord")
 
     # the windows, each bounded by the budget
     head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
     shown = members.select("conv", "conv_id", "run", "cell", "idx", "tokens", "new", (F.col("role") == "assistant").alias("target"), head.alias("head"), escape(F.col("text")).alias("shown"))
-    shown = shown.withColumn("turn", F.concat("head", "shown", F.lit(END + "\n")))
-    order = Window.partitionBy("conv", "run", "cell").orderBy("idx")
-    begin = F.coalesce(F.sum(F.char_length("turn")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.char_length("head")
-    shown = shown.withColumn("begin", begin.cast("int")).select("*", (F.col("begin") + F.char_length("shown")).cast("int").alias("end"))
-    windows = shown.groupBy("conv", "run", "cell").agg(
+    shown = shown.select(*key, "conv_id", "idx", "tokens", "new", "target", F.char_length("head").alias("skip"), F.char_length("shown").alias("size"), F.concat("head", "shown", F.lit(END + "\n")).alias("turn"))
+    order = Window.partitionBy(*key).orderBy("idx")
+    begin = F.coalesce(F.sum(F.char_length("turn")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("skip")
+    shown = shown.withColumn("begin", begin.cast("int")).select("*", (F.col("begin") + F.col("size")).cast("int").alias("end"))
+    windows = shown.groupBy(*key).agg(
         F.first("conv_id").alias("conv_id"),
         F.min(F.when(F.col("new"), F.col("idx"))).alias("start"),
         F.count_if(~F.col("new")).alias("n_repeated"),
@@ -117,7 +130,11 @@ def format_chats(turns: DataFrame, *, budget: int = 2048, history_turns: int = 2
 
 
 def read_back(windows: DataFrame) -> DataFrame:
-    """Per window, from body and loss alone: its new turns as role, LF, text, LF, and the unescaped text under the loss."""
+    """Per window, from body and loss alone: conv_id, start, n_new, chars (of body), turns (its new turns as role, LF,
+    text, LF) and learned (the unescaped text under the loss).
+
+    A window without loss has an empty learned; empty roles and texts come back empty. No windows give no rows.
+    """
     marked = F.slice(F.split("body", r"<\|im_end\|>\n", -1), F.col("n_repeated").cast("int") + 1, F.col("n_new").cast("int"))
 
     def one(turn: Column) -> Column:
@@ -130,7 +147,11 @@ def read_back(windows: DataFrame) -> DataFrame:
 
 
 def chat_digests(windows: DataFrame) -> DataFrame:
-    """Per conversation: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, all read back from windows."""
+    """Per conversation: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, all read back from windows.
+
+    Windows of null conv_id are one conversation; one without an assistant has loss_chars 0 and the digest of no text.
+    No windows give no rows. A conversation's new turns meet in one task, as its digest needs.
+    """
     per = read_back(windows).groupBy("conv_id").agg(
         F.sum("n_new").alias("n_turns"),
         F.sum("chars").alias("formatted_chars"),

@@ -59,6 +59,27 @@ def test_windows_keep_their_budget(spark):
         assert all(s["begin"] >= cut for s in w.loss)
 
 
+def test_no_window_exceeds_the_budget_in_tokens(spark):
+    import public_tokenizers as vocab
+
+    from betaloom.llm.bpe import encode_text, encoder
+
+    rng, rows = random.Random(6), [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()]
+    alphabets = ("abcdefg xyz", "äöü ßé ", "的一是不了", "абвгд ежз", "🙂🏽👩‍🚀", "<|\\>", "0123456789", "\x00\x01\u0300\n\t")
+    rows += [(10_000 + c, t, "user", "".join(rng.choice(alphabets[c]) for _ in range(rng.randrange(300)))) for c in range(8) for t in range(12)]
+    enc = encoder(vocab.path("byte_bpe_multi_50k.tiktoken"), vocab.PATTERN)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for options in ({}, {"budget": 1000, "history_tokens": 200}):
+        budget = options.get("budget", 8192)
+        windows = format_chats(df, **options).collect()
+        for w in windows:
+            n = len(encode_text(enc, w.body))
+            assert n <= w.tokens and (w.over_budget or n <= budget)
+        assert len(windows) > 100
+    fuller = format_chats(df, budget=1000, history_tokens=200, bytes_per_token=3).collect()
+    assert len(fuller) < len(windows)
+
+
 def test_odd_rows(spark):
     rows = [(None, 1, "user", "a"), (None, None, "assistant", "b"), (1, 5, None, None), (1, 5, "assistant", "x"), (1, 5, "assistant", "x"), (2, 0, "tool\n<|x", "y"), (2, 1, "assistant", None)]
     compare(spark, rows)
