@@ -6,9 +6,12 @@
    with probability 5e-8). There the values are compared 16 at a time; a pair is dropped as soon as the posterior
    probability, under a uniform prior, that its similarity reaches the threshold falls below the tolerance. A bucket
    hands on a spanning set of the pairs left, never all of them.
-3. The components of these pairs are gathered once, with their texts. All their pairs that the same rule does not drop
-   are verified by exact set intersection and counted.
-Buckets and components of many classes are worked on as pairs of blocks.
+3. Components of the pairs left that fit a task are verified whole: all their pairs that the same rule does not drop
+   by exact set intersection. Larger ones are cut into cells: the classes whose smallest neighbour is the same, in
+   slices of bounded size. Two cells meet only if a bucket's pairs connect them, so a chain of many small clusters
+   costs what its own pairs cost, not the square of its length; classes of two cells meet in one task only, so no pair
+   is counted twice.
+Sets go to these tasks as sorted hashes, made once. Buckets of many classes are worked on as pairs of blocks.
 """
 
 from __future__ import annotations
@@ -20,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .buckets import blocked, roots, run_groups
+from .buckets import blocked, roots, run_groups, spread_join
 from .components import connected_components
-from .store import materialize, shuffle_partitions
+from .store import materialize, release, shuffle_partitions
 from .textvec import SPACE, Hasher, freed, mix, shingles, slices, utf8, words
 
 VALUES, BAND, STEP = 128, 4, 16
@@ -100,12 +103,24 @@ def _sign(width: int):
 
 
 def _bands(batches):
-    """(cid, sig) to a row for each band; four values of 16 bits make its key."""
+    """(cid, sig) to a row for each band; its four values of 16 bits and its number make its key."""
     for b in batches:
         if b.num_rows:
-            keys = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<i8").reshape(b.num_rows, -1)
-            bands = keys.shape[1]
-            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(bands, dtype=np.int32), b.num_rows)), pa.array(keys.ravel()), pa.array(np.repeat(b.column("cid").to_numpy(), bands))], names=["band", "key", "cid"])
+            keys = np.frombuffer(b"".join(b.column("sig").to_pylist()), "<u8").reshape(b.num_rows, -1)
+            keys = mix(mix(keys) + np.arange(1, keys.shape[1] + 1, dtype=np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(b.column("cid").to_numpy(), keys.shape[1]))], names=["key", "cid"])
+
+
+def _sets(width: int):
+    """(cid, text) to (cid, sorted 64-bit hashes of its shingles)."""
+
+    def run(batches):
+        for b in freed(batches):
+            for lo, sets, offsets in _text_sets(b.column("text"), width):
+                raw = [sets[i:j].tobytes() for i, j in zip(offsets, offsets[1:])]
+                yield pa.RecordBatch.from_arrays([b.column("cid").slice(lo, len(raw)), pa.array(raw, pa.binary())], names=["cid", "sets"])
+
+    return run
 
 
 def _pairs(group: pa.Table, step: int = 256):
@@ -165,8 +180,8 @@ def _common(sets: np.ndarray, offsets: np.ndarray, left: np.ndarray, right: np.n
     return shared[left, right].astype(np.int64)
 
 
-def _verify(rule, threshold, width):
-    """How many documents each class of a component is linked to within these blocks, and its smallest linked class."""
+def _verify(rule, threshold):
+    """How many documents each class of a component or of two cells is linked to in this task, and its smallest linked class."""
 
     def work(group: pa.Table):
         if group.num_rows < 2:
@@ -181,9 +196,8 @@ def _verify(rule, threshold, width):
         left, right = (np.concatenate(x) for x in zip(*kept))
         if not len(left):
             return
-        parts = list(_text_sets(group.column("text").chunk(0), width))
-        sets = np.concatenate([p[1] for p in parts])
-        sizes = np.concatenate([np.diff(p[2]) for p in parts])
+        raw = group.column("sets").to_pylist()
+        sets, sizes = np.frombuffer(b"".join(raw), "<u8"), np.array([len(x) // 8 for x in raw])
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         common = _common(sets, offsets, left, right)
         linked = common >= threshold * (sizes[left] + sizes[right] - common) - 1e-9
@@ -197,6 +211,31 @@ def _verify(rule, threshold, width):
     return work
 
 
+def _cells(near: DataFrame, edges: DataFrame, block_rows: int, block_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Classes of large components in cells, and which cells meet.
+
+    near: cid, bytes; edges: (a, b), b being the smallest class of a's pairs in a bucket. Returns (cid, cell, slice) and
+    (cell, slice, u1, s1, u2, s2, block): the rows of a cell's slice take part in the task (u1, s1, u2, s2) as its block.
+    """
+    lead = edges.groupBy("a").agg(F.min("b").alias("b")).withColumnRenamed("a", "cid")
+    led = materialize(near.join(lead, "cid", "left").select("cid", "bytes", F.coalesce("b", "cid").alias("cell")), "gram-cells")
+    width = F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.least(F.ceil(F.sum("bytes") / block_bytes), F.count(F.lit(1)))).cast("int")
+    sizes = materialize(led.groupBy("cell").agg(width.alias("slices"), F.count(F.lit(1)).alias("n")), "gram-cell-sizes")
+    cells = spread_join(led, sizes, ["cell"], "n").select("cid", "cell", F.pmod(F.xxhash64("cid", F.lit(7)), F.col("slices")).cast("int").alias("slice"))
+    # the two classes of a pair have the bucket's smallest class in common
+    of = led.select("cid", "cell")
+    ends = edges.select(F.col("a").alias("cid"), "b").join(of, "cid").select("b", "cell").unionByName(edges.select("b").distinct().join(of.withColumnRenamed("cid", "b"), "b"))
+    ends = materialize(ends.distinct(), "gram-cell-ends")
+    across = ends.select("b", F.col("cell").alias("u1")).join(ends.select("b", F.col("cell").alias("u2")), "b").where("u1 < u2").select("u1", "u2").distinct()
+    wide = sizes.select("cell", "slices")
+    across = across.join(wide.toDF("u1", "n1"), "u1").join(wide.toDF("u2", "n2"), "u2")
+    met = across.unionByName(sizes.select(F.col("cell").alias("u1"), F.col("cell").alias("u2"), F.col("slices").alias("n1"), F.col("slices").alias("n2")))
+    met = met.withColumn("s1", F.explode(F.sequence(F.lit(0), F.col("n1") - 1))).withColumn("s2", F.explode(F.sequence(F.lit(0), F.col("n2") - 1))).where("u1 < u2 or s1 <= s2")
+    sides = F.when((F.col("u1") == F.col("u2")) & (F.col("s1") == F.col("s2")), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    met = met.withColumn("block", F.explode(sides))
+    return cells, met.select(F.when(F.col("block") == 0, F.col("u1")).otherwise(F.col("u2")).alias("cell"), F.when(F.col("block") == 0, F.col("s1")).otherwise(F.col("s2")).alias("slice"), "u1", "s1", "u2", "s2", "block")
+
+
 def ngram_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, tolerance: float = 1e-7, block_rows: int = 512, block_bytes: int = 4 << 20, broadcast_rows: int = 1_000_000) -> DataFrame:
     """One row per input row: doc_id, class_id, n_links, kept, text_hash (xxhash64 of the text).
 
@@ -217,34 +256,48 @@ def ngram_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     classes = signed.where("n > 0").groupBy("d1", "d2", "n").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("m"))
     classes = classes.select("d1", "d2", "n", "m", F.col("first.doc_id").alias("low"), F.col("first.row").alias("cid"))
     classes = materialize(classes, "gram-classes")
-    reps = materialize(signed.select(F.col("row").alias("cid"), "doc_id", "t", "sig").join(classes.select("cid", "m"), "cid"), "gram-reps")
+    reps = materialize(signed.select(F.col("row").alias("cid"), "doc_id", "t", "n", "sig").join(classes.select("cid", "m"), "cid"), "gram-reps")
 
     # candidates
-    bands = materialize(reps.select("cid", "sig").mapInArrow(_bands, "band int, key long, cid long"), "gram-bands")
-    met = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    dealt = bands.join(met, ["band", "key"]).join(reps.select("cid", "sig"), "cid")
-    dealt = blocked(dealt, ["band", "key"], "cid", F.ceil(F.col("size") / block_rows).cast("long"))
-    edges = run_groups(dealt, ["band", "key", "lo", "hi"], n, _join(rule), "a long, b long")
+    bands = materialize(reps.select("cid", "sig").mapInArrow(_bands, "key long, cid long"), "gram-bands")
+    met = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    dealt = bands.join(met, "key").join(reps.select("cid", "sig"), "cid")
+    dealt = blocked(dealt, ["key"], "cid", F.ceil(F.col("size") / block_rows).cast("long"))
+    edges = materialize(run_groups(dealt, ["key", "lo", "hi"], n, _join(rule), "a long, b long").distinct(), "gram-edges")
+    release(bands)
     near = materialize(connected_components(edges), "gram-candidates").withColumnRenamed("node", "cid")
 
-    # verification, each class with its text once, or once for each block it meets
+    # each candidate once, with the sorted hashes of its shingles
     wanted = materialize(reps.join(near, "cid"), "gram-members")
-    size = wanted.count()
     keys = wanted.select("cid", F.col("doc_id").alias("d"), F.col("t").alias("h"))
     same = texts["doc_id"].eqNullSafe(F.col("d")) & (texts["t"] == F.col("h"))
-    found = texts.join(F.broadcast(keys) if size <= broadcast_rows else keys, same).select("cid", "text").dropDuplicates(["cid"])
-    members = wanted.select("cid", "m", "sig", "component").join(found, "cid")
-    members = materialize(members, "gram-texts")
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.sum(F.octet_length("text")).alias("bytes"))
-    blocks = F.greatest(F.ceil(F.col("size") / block_rows), F.ceil(F.col("bytes") / block_bytes)).cast("long")
-    dealt = blocked(members.join(sizes, "component"), ["component"], "cid", F.least(blocks, F.col("size")))
-    links = materialize(run_groups(dealt, ["component", "lo", "hi"], n, _verify(rule, threshold, width), "cid long, links long, root long"), "gram-links")
+    found = texts.join(F.broadcast(keys) if wanted.count() <= broadcast_rows else keys, same).select("cid", "text").dropDuplicates(["cid"])
+    members = materialize(wanted.select("cid", "m", "n", "sig", "component").join(found.mapInArrow(_sets(width), "cid long, sets binary"), "cid"), "gram-sets")
+    release(wanted)
+
+    # verification: a component that fits a task there, larger ones cell by cell
+    sizes = materialize(members.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("n") * 8).alias("bytes")), "gram-sizes")
+    fits = (F.col("size") <= block_rows) & (F.col("bytes") <= block_bytes)
+    zero = F.lit(0)
+    held = ["cid", "m", "sig", "sets"]
+    units = members.join(sizes.where(fits).select("component"), "component").select(F.col("component").alias("u1"), zero.alias("s1"), F.col("component").alias("u2"), zero.alias("s2"), zero.alias("block"), *held)
+    large = spread_join(members.select("cid", "component", (F.col("n") * 8).alias("bytes")), sizes.where(~fits).select("component", "size"), ["component"], "size").select("cid", "bytes")
+    if not sizes.where(~fits).isEmpty():
+        cells, meetings = _cells(large, edges, block_rows, block_bytes)
+        placed = members.select(held).join(cells, "cid").join(meetings, ["cell", "slice"])
+        units = units.unionByName(placed.select("u1", "s1", "u2", "s2", "block", *held))
+    units = units.withColumn("lo", zero).withColumn("hi", F.when((F.col("u1") == F.col("u2")) & (F.col("s1") == F.col("s2")), zero).otherwise(1))
+    links = materialize(run_groups(units, ["u1", "s1", "u2", "s2"], n, _verify(rule, threshold), "cid long, links long, root long"), "gram-links")
+    release(members)
+    release(reps)
 
     # classes of linked documents, back to all rows
     linked = connected_components(links.select(F.col("cid").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "cid")
     ends = classes.join(links.groupBy("cid").agg(F.sum("links").alias("links")), "cid", "left").join(linked, "cid", "left")
     ends = materialize(ends.withColumn("component", F.coalesce("component", "cid")), "gram-ends")
-    head = ends.groupBy("component").agg(F.min(F.struct(F.col("low").isNull().alias("no_id"), F.col("low"), F.col("cid"))).alias("head"))
-    ends = ends.join(head, "component").select("d1", "d2", "n", F.col("head.low").alias("class_id"), F.col("head.cid").alias("keep"), (F.col("m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    out = signed.where("n > 0").join(ends, ["d1", "d2", "n"]).select("doc_id", "class_id", "n_links", (F.col("row") == F.col("keep")).alias("kept"), F.col("t").alias("text_hash"))
+    head = F.min(F.struct(F.col("low").isNull().alias("no_id"), F.col("low"), F.col("cid")))
+    heads = materialize(ends.groupBy("component").agg(head.alias("head"), F.count(F.lit(1)).alias("size")), "gram-heads")
+    ends = spread_join(ends, heads, ["component"], "size").select("d1", "d2", "n", "m", F.col("head.low").alias("class_id"), F.col("head.cid").alias("keep"), (F.col("m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    ends = materialize(ends, "gram-classes-of")
+    out = spread_join(signed.where("n > 0").drop("sig"), ends, ["d1", "d2", "n"], "m").select("doc_id", "class_id", "n_links", (F.col("row") == F.col("keep")).alias("kept"), F.col("t").alias("text_hash"))
     return out.unionByName(signed.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"), F.col("t").alias("text_hash")))
