@@ -77,8 +77,8 @@ def overlaps(start1, end1, start2, end2) -> Column:
 
 
 def strip(text: Column | str) -> Column:
-    """text without white space of any kind at its ends."""
-    return F.regexp_replace(F.regexp_replace(col(text), r"^\s+", ""), r"\s+$", "")
+    """text without white space of any kind at its ends: that of Unicode, and the four separator controls."""
+    return F.regexp_replace(col(text), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
 
 
 def normalize_barcode(barcode: Column | str) -> Column:
