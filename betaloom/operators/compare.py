@@ -96,6 +96,14 @@ def compare_groups(matrix: DataFrame, metadata: DataFrame, group1: str, group2:
     return compare(matrix, metadata, [(group1, group2)], test=test, group_col=group_col, **cols).drop("label").orderBy(F.col("p_value").asc_nulls_last(), "feature")
 
 
+def harmonic(n: Column | str) -> Column:
+    """1 + 1/2 + ... + 1/n: summed up to 100, by its asymptotic series beyond (to double precision)."""
+    n = F.col(n) if isinstance(n, str) else n
+    x = n.cast("double")
+    few = F.aggregate(F.sequence(F.lit(1), F.greatest(F.least(n, F.lit(100)), F.lit(1)).cast("int")), F.lit(0.0), lambda acc, i: acc + 1.0 / i)
+    return F.when(n <= 100, few).otherwise(F.ln(x) + 0.57721566490153286 + 1 / (2 * x) - 1 / (12 * x * x) + 1 / (120 * x * x * x * x))
+
+
 def adjust(results: DataFrame, method: str = "fdr_bh", alpha: float = 0.05, *, p_col: str = "p_value", by: list[str] | None = None, tie: str = "feature") -> DataFrame:
     """results with q_value and significant, within each group of `by` columns (none: over all rows).
 
@@ -117,49 +125,63 @@ def adjust(results: DataFrame, method: str = "fdr_bh", alpha: float = 0.05, *, p
             q = F.max(F.col("__p") * (F.col("__n") - F.col("__r") + 1)).over(up)
         else:
             down = Window.partitionBy(*by).orderBy(F.desc("__r")).rowsBetween(Window.unboundedPreceding, 0)
-            scale = F.aggregate(F.sequence(F.lit(1), F.col("__n").cast("int")), F.lit(0.0), lambda acc, i: acc + 1.0 / i) if method == "fdr_by" else F.lit(1.0)
+            scale = harmonic("__n") if method == "fdr_by" else F.lit(1.0)
             frame = frame.withColumn("__s", scale)
             q = F.min(F.col("__p") * F.col("__n") * F.col("__s") / F.col("__r")).over(down)
     out = frame.withColumn("q_value", F.when(present(p_col).isNotNull(), F.least(F.lit(1.0), q)))
     return out.withColumn("significant", F.coalesce(F.col("q_value") <= alpha, F.lit(False))).drop("__p", "__n", "__r", "__s")
 
 
-def adjust_large(results: DataFrame, alpha: float = 0.05, *, p_col: str = "p_value") -> DataFrame:
-    """Benjamini-Hochberg over one family too large for one task: q_value and significant, as adjust() gives them.
+def adjust_large(results: DataFrame, method: str = "fdr_bh", alpha: float = 0.05, *, p_col: str = "p_value", by: list[str] | None = None) -> DataFrame:
+    """q_value and significant as adjust() gives them, for families (groups of `by`, without nulls) too large for one task.
 
-    Rows are range-partitioned by p. A partition's counts give global ranks and its smallest p n / rank, taken from
-    the partitions behind it, finishes the running minimum; the driver sees one row per partition.
+    Equal p are counted first. Each family is cut at quantiles of its p into 256 stretches; counts and extremes of the
+    stretches, a few rows a family, give global ranks and carry the running minimum or maximum from one to the next.
+    """
+    if method not in FDR_METHODS:
+        raise ValueError(f"unknown method {method!r}: one of {FDR_METHODS}")
+    frame = results.withColumn("__p", F.coalesce(present(p_col), F.lit(1.0))).withColumn("__all", F.lit(1))
+    family = [*(by or []), "__all"]
+    ties = frame.groupBy(*family, "__p").agg(F.count(F.lit(1)).alias("__c"))
+    cuts = ties.groupBy(*family).agg(F.percentile_approx("__p", [i / 256 for i in range(1, 256)], 10_000).alias("__cuts"), F.sum("__c").alias("__n"))
+    stretch = F.size(F.filter("__cuts", lambda e: e < F.col("__p")))
+    ties = ties.join(cuts, family).withColumn("__s", stretch).drop("__cuts")
+    order = Window.partitionBy(*family).orderBy("__s")
+    held = ties.groupBy(*family, "__s").agg(F.sum("__c").alias("__held"))
+    held = held.withColumn("__before", F.coalesce(F.sum("__held").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__held")
+    inside = Window.partitionBy(*family, "__s").orderBy("__p")
+    last = F.col("__before") + F.sum("__c").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = ties.join(held, [*family, "__s"]).withColumn("__last", last)
+    if method == "bonferroni":
+        found = ranked.withColumn("__q", F.col("__p") * F.col("__n"))
+    else:
+        if method == "holm":
+            x, best, ahead, way = F.col("__p") * (F.col("__n") - F.col("__last") + F.col("__c")), F.max, order, inside
+        else:
+            x = F.col("__p") * F.col("__n") * (harmonic("__n") if method == "fdr_by" else F.lit(1.0)) / F.col("__last")
+            best, ahead, way = F.min, Window.partitionBy(*family).orderBy(F.desc("__s")), Window.partitionBy(*family, "__s").orderBy(F.desc("__p"))
+        ranked = ranked.withColumn("__x", x)
+        extremes = ranked.groupBy(*family, "__s").agg(best("__x").alias("__e"))
+        extremes = extremes.withColumn("__carried", best("__e").over(ahead.rowsBetween(Window.unboundedPreceding, -1))).drop("__e")
+        within = best("__x").over(way.rowsBetween(Window.unboundedPreceding, 0))
+        carry = F.greatest if method == "holm" else F.least
+        found = ranked.join(extremes, [*family, "__s"]).withColumn("__q", carry(within, F.col("__carried")))  # both skip nulls
+    out = frame.join(found.select(*family, "__p", "__q"), [*family, "__p"])
+    out = out.withColumn("q_value", F.when(present(p_col).isNotNull(), F.least(F.lit(1.0), "__q"))).withColumn("significant", F.coalesce(F.col("q_value") <= alpha, F.lit(False)))
+    return out.select(*[c for c in results.columns if c not in ("q_value", "significant")], "q_value", "significant")
+
+
+def run_all_comparisons(matrix: DataFrame, metadata: DataFrame, contrasts: list[tuple[str, str]] | None = None, *, test: str = "mannwhitneyu", fdr_method: str = "fdr_bh", alpha: float = 0.05, group_col: str = "clinical_category", large: bool = False, **cols) -> DataFrame:
+    """Every contrast whose groups exist, each adjusted on its own: the columns of compare(), q_value, significant.
+
+    large: a contrast has more features than one task should sort (some 100,000), see adjust_large; results are equal.
     """
-    spark = results.sparkSession
-    p = F.coalesce(present(p_col), F.lit(1.0))
-    dealt = results.withColumn("__p", p).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "__p").withColumn("__part", F.spark_partition_id()).persist()
-    totals = sorted(tuple(r) for r in dealt.groupBy("__part").count().collect())  # a row per partition
-    before, n = [], 0
-    for part, count in totals:
-        before.append((part, n))
-        n += count
-    offsets = spark.createDataFrame(before, "__part int, __before long")
-    order = Window.partitionBy("__part").orderBy("__p")
-    ranked = dealt.join(F.broadcast(offsets), "__part").withColumn("__x", F.col("__p") * n / (F.col("__before") + F.row_number().over(order)))
-    lows = sorted(tuple(r) for r in ranked.groupBy("__part").agg(F.min("__x")).collect())  # a row per partition
-    after, low = [], float("inf")
-    for part, x in reversed(lows):
-        after.append((part, low))
-        low = min(low, x)
-    behind = spark.createDataFrame(after, "__part int, __after double")
-    down = Window.partitionBy("__part").orderBy(F.desc("__p"), F.desc("__x")).rowsBetween(Window.unboundedPreceding, 0)
-    out = ranked.join(F.broadcast(behind), "__part").withColumn("__q", F.least(F.lit(1.0), F.min("__x").over(down), F.col("__after")))
-    out = out.withColumn("q_value", F.when(present(p_col).isNotNull(), F.col("__q"))).withColumn("significant", F.coalesce(F.col("q_value") <= alpha, F.lit(False)))
-    return out.drop("__p", "__part", "__before", "__x", "__after", "__q")
-
-
-def run_all_comparisons(matrix: DataFrame, metadata: DataFrame, contrasts: list[tuple[str, str]] | None = None, *, test: str = "mannwhitneyu", fdr_method: str = "fdr_bh", alpha: float = 0.05, group_col: str = "clinical_category", **cols) -> DataFrame:
-    """Every contrast whose groups exist, each adjusted on its own: the columns of compare(), q_value, significant."""
     contrasts = contrasts or DEFAULT_CONTRASTS
     wanted = sorted({g for c in contrasts for g in c})
     here = {r[0] for r in metadata.where(F.col(group_col).cast("string").isin(wanted)).select(F.col(group_col).cast("string")).distinct().collect()}  # names of groups
     usable = [c for c in contrasts if set(c) <= here]
-    return adjust(compare(matrix, metadata, usable, test=test, group_col=group_col, **cols), fdr_method, alpha, by=["label"])
+    found = compare(matrix, metadata, usable, test=test, group_col=group_col, **cols)
+    return (adjust_large if large else adjust)(found, fdr_method, alpha, by=["label"])
 
 
 def z_scores(cells: DataFrame, by: list[str], value: Column, clip: float = 3.0) -> Column:

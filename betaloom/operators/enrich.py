@@ -24,17 +24,24 @@ def signed_rank(effect: Column | str, p: Column | str, *, zero_p_is_one: bool =
     return F.when(present(effect) < 0, -size).otherwise(size)
 
 
-def fisher_tail(a: Column, set_size: Column, hits: Column, total: Column, logs: Column) -> Column:
-    """P(overlap >= a) when `hits` of `total` are drawn and `set_size` are marked. logs[i] = log(i!)."""
+def log_factorial(n: Column) -> Column:
+    """ln n!, exact to double precision: from n! up to 20, by Stirling's series beyond."""
+    x = n.cast("double")
+    series = (x + 0.5) * F.ln(x) - x + 0.91893853320467274 + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * F.pow(x, F.lit(5.0))) - 1 / (1680 * F.pow(x, F.lit(7.0)))
+    return F.when(n <= 20, F.ln(F.factorial(F.least(n, F.lit(20)).cast("int")).cast("double"))).otherwise(series)
 
-    def lf(x: Column) -> Column:
-        return F.element_at(logs, (x + 1).cast("int"))
 
-    ways = lf(set_size) + lf(total - set_size) + lf(hits) + lf(total - hits) - lf(total)
-    ks = F.sequence(a, F.least(hits, set_size))
-    term = lambda k: F.exp(ways - lf(k) - lf(set_size - k) - lf(hits - k) - lf(total - set_size - hits + k))
-    feasible = F.filter(ks, lambda k: total - set_size - hits + k >= 0)
-    return F.least(F.lit(1.0), F.aggregate(feasible, F.lit(0.0), lambda acc, k: acc + term(k)))
+def fisher_tail(a: Column, set_size: Column, hits: Column, total: Column) -> Column:
+    """P(overlap >= a) when `hits` of `total` are drawn and `set_size` are marked; each term follows from the one before, in logs."""
+    lf, rest = log_factorial, total - set_size - hits
+    first = lf(set_size) + lf(total - set_size) + lf(hits) + lf(total - hits) - lf(total) - lf(a) - lf(set_size - a) - lf(hits - a) - lf(rest + a)
+
+    def add(state: Column, k: Column) -> Column:
+        ratio = ((set_size - k) * (hits - k)).cast("double") / ((k + 1) * (rest + k + 1))
+        return F.struct((state["l"] + F.ln(ratio)).alias("l"), (state["s"] + F.exp(state["l"])).alias("s"))
+
+    start = F.struct(first.alias("l"), F.lit(0.0).alias("s"))
+    return F.least(F.lit(1.0), F.aggregate(F.sequence(a, F.least(hits, set_size)), start, add)["s"])
 
 
 def fisher_enrichment(significant: DataFrame, membership: DataFrame, background: DataFrame, *, set_col: str = "pathway", gene_col: str = "gene") -> DataFrame:
@@ -48,14 +55,11 @@ def fisher_enrichment(significant: DataFrame, membership: DataFrame, background:
     members = membership.select(set_col, gene_col).distinct().join(bg.withColumn("bg", F.lit(True)), gene_col, "left")
     sets = members.groupBy(set_col).agg(F.count("bg").alias("n_pathway"), F.count("sig").alias("n_overlap"), F.array_sort(F.collect_list(F.when(F.col("sig"), F.col(gene_col)))).alias("overlap_genes"))
     one = sets.withColumn("k", F.lit(1)).join(F.broadcast(totals.withColumn("k", F.lit(1))), "k").drop("k")  # totals: one row
-    logs = F.concat(F.array(F.lit(0.0)), F.expr("transform(sequence(1, cast(greatest(n_background, 1) as int)), i -> ln(i))"))
-    prefix = totals.select(logs.alias("l")).select(F.posexplode("l").alias("i", "v")).withColumn("v", F.sum("v").over(Window.orderBy("i"))).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("logs"))
-    one = one.withColumn("k", F.lit(1)).join(F.broadcast(prefix.withColumn("k", F.lit(1))), "k").drop("k")  # log-factorials up to the background's size
     a, b = F.col("n_overlap"), F.col("n_significant") - F.col("n_overlap")
     c, d = F.col("n_pathway") - F.col("n_overlap"), F.col("n_background") - F.col("n_significant") - F.col("n_pathway") + F.col("n_overlap")
     empty = (a + b == 0) | (c + d == 0) | (a + c == 0) | (b + d == 0)
     odds = F.when(empty, F.lit(None).cast("double")).when(b * c == 0, F.lit(float("inf"))).otherwise(F.try_divide((a * d).cast("double"), b * c))
-    p = F.when(empty, F.lit(1.0)).otherwise(fisher_tail(a, F.col("n_pathway"), F.col("n_significant"), F.col("n_background"), F.col("logs")))
+    p = F.when(empty, F.lit(1.0)).otherwise(fisher_tail(a, F.col("n_pathway"), F.col("n_significant"), F.col("n_background")))
     return one.select(set_col, odds.alias("odds_ratio"), p.alias("p_value"), "n_overlap", "n_significant", "n_pathway", "n_background", "overlap_genes")
 
 
@@ -97,28 +101,47 @@ def _score(metric: np.ndarray, hit: np.ndarray) -> float:
     return top if abs(top) >= abs(bottom) else bottom
 
 
+def _score_hits(at: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """The signed extremes of running sums, one per row: at holds the hits' places in ascending order, weight their |metric|."""
+    k = at.shape[1]
+    up = np.cumsum(weight, axis=1)
+    total = np.where(up[:, -1:] > 0, up[:, -1:], 1.0)
+    misses = (at - np.arange(k)) / (n - k)
+    top = np.maximum((up / total - misses).max(axis=1), 0.0)
+    bottom = np.minimum(((up - weight) / total - misses).min(axis=1), 0.0)
+    return np.where(top >= -bottom, top, bottom)
+
+
 def gsea_preranked(ranked: DataFrame, membership: DataFrame, n_permutations: int = 1000, *, seed: int = 42, exact_rng: bool = False, set_col: str = "pathway", gene_col: str = "gene", metric_col: str = "metric") -> DataFrame:
     """Per set with some but not all genes hit: es, nes, p_value, n_genes, n_hits.
 
-    The ranked vector goes to every task (one number per gene); each set is a task of its own with a seed of its own.
-    exact_rng draws all sets in name order from one generator instead, in a single task.
+    A permutation draws places for the set's hits, and only hits are visited, so its work does not grow with the
+    ranking. The ranking, one number per gene, is broadcast; each set is a task of its own with a seed of its own.
+    exact_rng shuffles whole rankings for all sets in name order from one generator instead, in a single task.
     """
     rows = ranked.select(gene_col, F.col(metric_col).cast("double").alias("m")).orderBy(F.desc("m"), gene_col).collect()  # genes, not samples
-    metric = np.array([r[1] for r in rows])
-    place = {r[0]: i for i, r in enumerate(rows)}
+    shared = ranked.sparkSession.sparkContext.broadcast((np.array([r[1] for r in rows], float), {r[0]: i for i, r in enumerate(rows)}))
 
     def one(name, genes, rng):
-        hit = np.zeros(len(metric), bool)
-        hit[[place[g] for g in genes if g in place]] = True
-        n = int(hit.sum())
-        if n == 0 or n == len(metric):
+        metric, place = shared.value
+        total, size = len(metric), np.abs(metric)
+        at = np.array(sorted(place[g] for g in genes if g in place), int)
+        n = len(at)
+        if n == 0 or n == total:
             return None
-        es = _score(metric, hit)
-        null = np.empty(n_permutations)
-        mask = hit.copy()
-        for i in range(n_permutations):
-            rng.shuffle(mask)
-            null[i] = _score(metric, mask)
+        if exact_rng:
+            mask = np.zeros(total, bool)
+            mask[at] = True
+            es, null = _score(metric, mask), np.empty(n_permutations)
+            for i in range(n_permutations):
+                rng.shuffle(mask)
+                null[i] = _score(metric, mask)
+        else:
+            es, null = float(_score_hits(at[None], size[at][None], total)[0]), []
+            for lo in range(0, n_permutations, step := max(1, (1 << 20) // n)):
+                drawn = np.sort(np.stack([rng.choice(total, n, replace=False, shuffle=False) for _ in range(min(step, n_permutations - lo))]), axis=1)
+                null.append(_score_hits(drawn, size[drawn], total))
+            null = np.concatenate(null) if null else np.empty(0)
         mean = float(np.abs(null).mean()) if n_permutations else 0.0
         p = float((null >= es).mean() if es >= 0 else (null <= es).mean()) if n_permutations else 0.0
         return name, es, es / mean if mean else 0.0, p or 1 / (n_permutations + 1), len(genes), n

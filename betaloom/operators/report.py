@@ -80,11 +80,12 @@ def heatmap(features: DataFrame, metadata: DataFrame, n: int = 50, *, genes: Dat
 
 
 def render_markdown(title: str, sections: list[tuple[str, DataFrame]], max_rows: int = 50) -> str:
-    """A Markdown report; each section shows at most max_rows rows."""
+    """A Markdown report; a section shows at most max_rows rows and says so if there are more."""
     out = [f"# {title}", ""]
     for name, df in sections:
-        rows = df.limit(max_rows).collect()
+        rows = df.limit(max_rows + 1).collect()
+        more, rows = len(rows) > max_rows, rows[:max_rows]
         out += [f"## {name}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
         out += ["| " + " | ".join("" if v is None else f"{v:.4g}" if isinstance(v, float) else str(v).replace("|", "\\|") for v in r) + " |" for r in rows]
-        out.append("")
+        out += ["", f"The first {max_rows} rows; the table has more.", ""] if more else [""]
     return "\n".join(out)

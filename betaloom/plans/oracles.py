@@ -105,12 +105,18 @@ sql("coverage_kept_cells", f"SELECT chrom, count(*) AS n, {r('sum(beta)', 'total
 sql("cpg_stats", f"SELECT cpg_id, chromosome, position, {rs('mean_beta variance missingness')}, n_samples FROM stats", "stats")
 sql("variance_filter", f"SELECT cpg_id, chromosome, position, {rs('mean_beta variance missingness')}, n_samples FROM stats WHERE variance >= 0.0155 AND missingness <= 1 - 0.909", "stats")
 sql("dataset_stats", "SELECT count(*) AS n_sites, sum(n_total - n_present)::BIGINT AS total_nulls, " + r("sum(n_total - n_present) / sum(n_total)", "null_fraction") + ", " + ", ".join(f"count(*) FILTER (coverage >= {c / 100}) AS n_cov_{c}" for c in (95, 90, 80, 50)) + ", (SELECT count(DISTINCT sample_id) FROM cells) AS n_samples FROM cov", "cov")
-sql("value_stats", f"SELECT {r('avg(beta)', 'mean')}, {r('median(beta)', 'median')}, {r('stddev_pop(beta)', 'std')} FROM cells WHERE cpg_id IN (SELECT DISTINCT cpg_id FROM cells QUALIFY dense_rank() OVER (ORDER BY chrom, pos) <= 20)", "cells")
+sql("value_stats", f"SELECT {r('avg(beta)', 'mean')}, {r('median(beta)', 'median')}, {r('stddev_pop(beta)', 'std')} FROM cells WHERE cpg_id IN (SELECT DISTINCT cpg_id FROM cells QUALIFY dense_rank() OVER (ORDER BY chrom, pos) <= 100)", "cells")
 sql("site_select", "SELECT cpg_id, count(beta) AS n FROM cells WHERE cpg_id IN ('chr1_1000', 'chr2_2000', 'chr4_64000') GROUP BY cpg_id", "cells")
 sql("gene_overlap", "SELECT * FROM hits", "hits")
 sql("gene_overlap_intergenic", "SELECT * FROM mapped", "mapped")
 sql("island_context", "SELECT * FROM ctx", "ctx")
 sql("region_overlap", "SELECT cpg_id, arg_min(g.chrom || ':' || s || '-' || e, (s, g.chrom || ':' || s || '-' || e)) AS region_id FROM points p JOIN genes g ON p.chrom = g.chrom AND pos - 1 >= s AND pos - 1 < e GROUP BY cpg_id", "points", "genes")
+sql("region_overlap_one_based", "SELECT cpg_id, arg_min(g.chrom || ':' || s || '-' || e, (s, g.chrom || ':' || s || '-' || e)) AS region_id FROM points p JOIN genes g ON p.chrom = g.chrom AND pos >= s AND pos < e GROUP BY cpg_id", "points", "genes")
+CELL = "(vec_id * 31 + d) % 11"
+sql("csv_header", "SELECT (d + 2)::INTEGER AS idx, 'chr' || (d % 4 + 1) || '_' || ((d + 1) * 1000) AS cpg_id, 'chr' || (d % 4 + 1) AS chrom, ((d + 1) * 1000)::BIGINT AS pos FROM (SELECT unnest(range(64)) AS d)")
+sql("csv_parse", f"""SELECT 's' || vec_id AS sample_id, (vec_id + 1)::BIGINT AS sample_ord, 'chr' || (d % 4 + 1) AS chrom, ((d + 1) * 1000)::BIGINT AS pos, 'chr' || (d % 4 + 1) || '_' || ((d + 1) * 1000) AS cpg_id,
+  CASE {CELL} WHEN 0 THEN '' WHEN 1 THEN 'NA' WHEN 2 THEN 'NaN' WHEN 3 THEN 'x' || d WHEN 4 THEN ' 12 ' ELSE round(v * 1000)::INTEGER::VARCHAR END AS raw,
+  CASE WHEN {CELL} = 4 THEN 12 WHEN {CELL} > 4 THEN round(v * 1000) + 0.0 END::DOUBLE AS beta FROM (SELECT vec_id, d, embedding[d + 1]::DOUBLE AS v FROM (SELECT vec_id, embedding, unnest(range(CASE WHEN vec_id % 7 = 0 THEN 60 ELSE 64 END)) AS d FROM embeddings))""")
 sql("point_lookup", "SELECT gene_id, s AS start, e AS \"end\" FROM genes WHERE chrom = 'chr2' AND s < 800501 AND e > 800500", "genes")
 sql("rollup_mean", f"SELECT gene, sample_id, {r('value')}, n_cpgs FROM gf", "gf")
 sql("rollup_median", f"SELECT gene, sample_id, {r('median(beta)', 'value')}, count(beta) AS n_cpgs FROM cells JOIN site_genes USING (cpg_id) GROUP BY ALL", "gf")
@@ -133,7 +139,29 @@ sql("mwu_ties", f"SELECT label, feature, {r('u', 'statistic')}, {Z} FROM ({MWU.r
 sql("welch_stat", f"SELECT label, feature, {r('delta_mean / sqrt(v1 / n1 + v2 / n2)', 'statistic', 5)}, {r('power(v1 / n1 + v2 / n2, 2) / (power(v1 / n1, 2) / (n1 - 1) + power(v2 / n2, 2) / (n2 - 1))', 'df', 5)} FROM eff", "eff")
 sql("ks_stat", f"""SELECT label, feature, {r('max(abs(a / n1 - b / n2))', 'statistic')} FROM (SELECT label, feature, count(*) FILTER (first) OVER w AS a, count(*) FILTER (NOT first) OVER w AS b, count(*) FILTER (first) OVER t AS n1, count(*) FILTER (NOT first) OVER t AS n2
   FROM lab WINDOW w AS (PARTITION BY label, feature ORDER BY value RANGE UNBOUNDED PRECEDING), t AS (PARTITION BY label, feature)) GROUP BY ALL""", "lab")
-sql("all_contrasts", f"SELECT label, feature, {rs('mean_group1 mean_group2 delta_mean cohens_d')}, {r('u', 'statistic')} FROM eff JOIN ({MWU.replace('LAB', 'lab')}) USING (label, feature)", "eff")
+SIMPSON = "list_sum(list_transform(range(4001), lambda k: (CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END) * {f}))"
+NORMAL_P = "least(1, 1 - 2 * z / 12000 * " + SIMPSON.format(f="exp(-power(k * z / 4000, 2) / 2)") + " / sqrt(2 * pi()))"
+STUDENT_P = "1 - 2 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi()) * th / 12000 * " + SIMPSON.format(f="power(cos(k * th / 4000), df - 1)")
+TESTED = """SELECT label, feature, {cols}, {p}, {q}, coalesce(q <= 0.05, false) AS significant FROM (
+  SELECT *, least(1, min(p * n / k) OVER (PARTITION BY label ORDER BY k DESC)) AS q FROM (SELECT *, count(*) OVER (PARTITION BY label) AS n, row_number() OVER (PARTITION BY label ORDER BY p, feature) AS k FROM ({found})))"""
+
+
+def tested(found: str) -> str:
+    return TESTED.format(cols=rs("mean_group1 mean_group2 delta_mean cohens_d statistic"), p=r("p", "p_value", 8), q=r("q", "q_value", 8), found=found)
+
+
+sql("all_contrasts", tested(f"SELECT *, {NORMAL_P} AS p FROM (SELECT *, u AS statistic, (greatest(u, nn - u) - nn / 2 - 0.5) / s AS z FROM eff JOIN ({MWU.replace('LAB', 'lab')}) USING (label, feature))"), "eff")
+sql("compare_pvalues", tested(f"SELECT *, {STUDENT_P} AS p FROM (SELECT *, atan(abs(statistic) / sqrt(df)) AS th FROM (SELECT *, delta_mean / sqrt(v1 / n1 + v2 / n2) AS statistic, power(v1 / n1 + v2 / n2, 2) / (power(v1 / n1, 2) / (n1 - 1) + power(v2 / n2, 2) / (n2 - 1)) AS df FROM eff))"), "eff")
+EXACT = """SELECT feature, n1, n2, {stat}, {p} FROM (
+  SELECT feature, o.n1, o.n2, any_value(o.x) AS x, count(*) FILTER (w.x >= o.least) / count(*) AS share FROM ({observed}) o JOIN (
+    SELECT n1, n2, {of_mask} AS x FROM (SELECT n1, n2, unnest(range(1 << (n1 + n2)::INTEGER)) AS m FROM (SELECT DISTINCT n1, n2 FROM ({observed})))  WHERE bit_count(m) = n1
+  ) w ON o.n1 = w.n1 AND o.n2 = w.n2 GROUP BY ALL)"""
+SMALL = "(SELECT cpg_id AS feature, sample_id < 7 AS first, beta AS value FROM cells WHERE sample_id < 16 AND beta IS NOT NULL)"
+U = f"SELECT *, greatest(x, n1 * n2 - x) AS least FROM (SELECT feature, count(*) FILTER (first) AS n1, count(*) FILTER (NOT first) AS n2, sum(rk) FILTER (first) - n1 * (n1 + 1) / 2 AS x FROM (SELECT *, rank() OVER (PARTITION BY feature ORDER BY value) AS rk FROM {SMALL}) GROUP BY feature)"
+sql("mwu_exact", EXACT.format(stat=r("x", "statistic", 8), p=r("least(1, 2 * share)", "p_value", 8), observed=U, of_mask="list_sum(list_transform(range(n1 + n2), lambda i: ((m >> i::INTEGER) & 1) * (i + 1))) - n1 * (n1 + 1) / 2"), "cells")
+D = f"""SELECT feature, any_value(n1) AS n1, any_value(n2) AS n2, max(abs(a * n2 - b * n1)) / any_value(n1 * n2) AS x, max(abs(a * n2 - b * n1)) AS least FROM (SELECT feature, count(*) FILTER (first) OVER w AS a, count(*) FILTER (NOT first) OVER w AS b, count(*) FILTER (first) OVER t AS n1, count(*) FILTER (NOT first) OVER t AS n2
+  FROM {SMALL} WINDOW w AS (PARTITION BY feature ORDER BY value RANGE UNBOUNDED PRECEDING), t AS (PARTITION BY feature)) GROUP BY feature"""
+sql("ks_exact", EXACT.format(stat=r("x", "statistic", 8), p=r("share", "p_value", 8), observed=D, of_mask="list_max(list_transform(range(1, n1 + n2 + 1), lambda i: abs(bit_count(m & ((1 << i::INTEGER) - 1)) * n2 - (i - bit_count(m & ((1 << i::INTEGER) - 1))) * n1)))"), "cells")
 
 FDR = {
     "fdr_bh": "min(p * n / k) OVER (ORDER BY k DESC)",
@@ -143,6 +171,8 @@ FDR = {
 }
 for _name, _q in FDR.items():
     sql(_name, f"SELECT feature, {rs('p_value cohens_d delta_mean q_value', 8)}, coalesce(q_value <= 0.05, false) AS significant FROM (SELECT *, CASE WHEN p_value IS NOT NULL THEN least(1, {_q}) END AS q_value FROM ranked)", "ranked")
+for _m in ("by", "holm", "bonferroni"):
+    ORACLES[f"fdr_large_{_m}"] = ORACLES[f"fdr_{_m}"]
 sql("fdr_large", f"SELECT feature, {rs('q_value', 8)}, coalesce(q_value <= 0.05, false) AS significant FROM adj", "adj")
 sql("fisher_enrich", f"SELECT pathway, {rs('odds_ratio p_value')}, n_overlap, n_significant, n_pathway, n_background FROM fis", "fis")
 sql("rank_metric", f"SELECT gene, {r('metric')} FROM metric", "metric")
@@ -203,6 +233,18 @@ sql("graph_import", """SELECT 'v_gene' AS part, count(*) AS n FROM part UNION AL
   UNION ALL SELECT 'e_gene_pathway', count(*) FROM part WHERE p_partkey * 3 IN (SELECT p_partkey FROM part) UNION ALL SELECT 'e_gene_term', count(*) FROM part WHERE p_partkey * 2 IN (SELECT p_partkey FROM part)
   UNION ALL SELECT 'v_sample', count(*) FROM embeddings UNION ALL SELECT 'v_cpg', count(*) FROM points WHERE pos % 3 <> 0 UNION ALL SELECT 'e_cpg_gene', count(*) FROM hits WHERE position % 3 <> 0
   UNION ALL SELECT 'e_cpg_region', count(DISTINCT cpg_id) FROM points p JOIN islands i ON p.chrom = i.chrom AND pos - 1 >= s AND pos - 1 < e WHERE pos % 3 <> 0""", "hits", "islands")
+sql("graph_contents", """SELECT 'v_gene' AS part, concat_ws('|', p_type, chrom, e, gene_id, gene_symbol, s, strand) AS row FROM genes JOIN part ON gene_id = 'ENSG' || p_partkey
+  UNION ALL SELECT DISTINCT 'v_pathway', concat_ws('|', p_brand, p_brand, 'Reactome') FROM part
+  UNION ALL SELECT DISTINCT 'v_term', concat_ws('|', 'biological_process', 'GO:' || p_size, 'GO:' || p_size) FROM part
+  UNION ALL SELECT 'v_region', concat_ws('|', chrom, e, chrom || ':' || s || '-' || e, 'cpg_island', s) FROM islands
+  UNION ALL SELECT 'e_gene_pathway', concat_ws('|', 'ENSG' || (p_partkey * 3), p_brand) FROM part WHERE p_partkey * 3 IN (SELECT p_partkey FROM part)
+  UNION ALL SELECT 'e_gene_term', concat_ws('|', 'IEA', 'ENSG' || (p_partkey * 2), 'GO:' || p_size) FROM part WHERE p_partkey * 2 IN (SELECT p_partkey FROM part)
+  UNION ALL SELECT 'v_sample', concat_ws('|', vec_id, coalesce(label::VARCHAR, '-')) FROM embeddings
+  UNION ALL SELECT 'v_cpg', concat_ws('|', chrom, cpg_id, 'false', '0.5', '0.125', '9', pos, '0.25') FROM points WHERE pos % 3 <> 0
+  UNION ALL SELECT 'e_cpg_gene', concat_ws('|', cpg_id, gene_id, overlap_type) FROM hits WHERE position % 3 <> 0
+  UNION ALL SELECT 'e_cpg_region', concat_ws('|', cpg_id, arg_min(i.chrom || ':' || s || '-' || e, (s, i.chrom || ':' || s || '-' || e))) FROM points p JOIN islands i ON p.chrom = i.chrom AND pos - 1 >= s AND pos - 1 < e WHERE pos % 3 <> 0 GROUP BY cpg_id""", "hits", "islands")
+OWN = "(SELECT p_partkey FROM part WHERE p_name = (SELECT p_name FROM part WHERE p_partkey = 5))"
+sql("graph_spot_check", " UNION ALL ".join(f"SELECT 'spot_{a}' AS name, count(*) > 0 AS passed, '> 0' AS expected, count(*)::VARCHAR AS actual, CASE WHEN count(*) > 0 THEN 'ok' ELSE 'unexpected count' END AS message FROM {b} IN {OWN}" for a, b in (("e_gene_pathway", "lineitem WHERE l_partkey"), ("e_gene_term", "part WHERE p_partkey"), ("e_cpg_gene", "lineitem WHERE l_partkey"))))
 VALID = [("v_sample", "customer"), ("v_cpg", "orders"), ("v_gene", "part"), ("v_pathway", "supplier"), ("v_term", "nation"), ("v_region", "region"), ("e_cpg_gene", "lineitem"), ("e_gene_pathway", "lineitem"), ("e_gene_term", "part"), ("e_cpg_region", "orders")]
 sql("graph_validation", " UNION ALL ".join(f"SELECT '{a}' AS name, count(*) > 0 AS passed, '> 0' AS expected, count(*)::VARCHAR AS actual, CASE WHEN count(*) > 0 THEN 'ok' ELSE 'unexpected count' END AS message FROM {b}" for a, b in VALID) + " UNION ALL SELECT 'samples_match_clinical', true, count(*)::VARCHAR, count(*)::VARCHAR, 'ok' FROM customer" + "".join(f" UNION ALL SELECT 'spot_{x}', false, '> 0', '0', 'unexpected count'" for x in ("e_gene_pathway", "e_gene_term", "e_cpg_gene")))
 STRATA = """SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {s} ORDER BY md5({k} || ':42'), {k0}) AS n, count(*) OVER (PARTITION BY {s}) AS size, count(*) OVER () AS total FROM {t}) WHERE n <= least(size, greatest({least}, round_even(size * {want}.0::DOUBLE / total, 0)))"""

@@ -46,6 +46,7 @@ class Config:
     test: str = "mannwhitneyu"
     fdr: str = "fdr_bh"
     alpha: float = 0.05
+    gene_bonus: bool = False  # add the enrichment of a gene's pathways to its score in the report
 
     @property
     def min_sites(self) -> int:
@@ -95,11 +96,26 @@ class State:
         os.replace(f"{self.path}.part", self.path)
 
 
-def output_exists(path: str) -> bool:
-    """A finished Spark table, a folder with such tables, or a file."""
-    if os.path.isdir(path):
-        return os.path.exists(f"{path}/_SUCCESS") or any(os.path.exists(f"{path}/{d}/_SUCCESS") for d in os.listdir(path))
-    return os.path.exists(path)
+def _files(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder of any file system Spark reads, sorted; none if it is no folder."""
+    fs, target = _files(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) and fs.getFileStatus(target).isDirectory() else []
+
+
+def output_exists(spark: SparkSession, path: str) -> bool:
+    """A finished Spark table, a folder with such tables, or a file, in any file system Spark reads."""
+    fs, target = _files(spark, path)
+    if not fs.exists(target):
+        return False
+    if not fs.getFileStatus(target).isDirectory():
+        return True
+    done = lambda p: fs.exists(_files(spark, f"{p}/_SUCCESS")[1])
+    return done(path) or any(done(f"{path}/{d}") for d in _folders(spark, path))
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
@@ -179,7 +195,9 @@ def step_hypermethylation(spark: SparkSession, c: Config) -> None:
 
 def step_compare(spark: SparkSession, c: Config) -> None:
     """All contrasts in one job, then a folder for each."""
-    found = compare.run_all_comparisons(_read(spark, c.path("features")), _metadata(spark, c), c.contrasts, test=c.test, fdr_method=c.fdr, alpha=c.alpha, feature_col="gene").persist()
+    features = _read(spark, c.path("features"))
+    large = features.select(F.approx_count_distinct("gene")).head()[0] > 100_000
+    found = compare.run_all_comparisons(features, _metadata(spark, c), c.contrasts, test=c.test, fdr_method=c.fdr, alpha=c.alpha, feature_col="gene", large=large).persist()
     for a, b in c.contrasts:
         part = found.where(F.col("label") == f"{a}_vs_{b}").drop("label")
         if not part.isEmpty():
@@ -187,15 +205,15 @@ def step_compare(spark: SparkSession, c: Config) -> None:
     found.unpersist()
 
 
-def _labels(folder: str) -> list[str]:
-    return sorted(f.removesuffix(".parquet") for f in os.listdir(folder) if f.endswith(".parquet")) if os.path.isdir(folder) else []
+def _labels(spark: SparkSession, folder: str) -> list[str]:
+    return [f.removesuffix(".parquet") for f in _folders(spark, folder) if f.endswith(".parquet")]
 
 
 def step_enrichment(spark: SparkSession, c: Config) -> None:
     ext, comparisons = c.path("external"), c.path("comparisons")
-    sets = {"reactome": (f"{ext}/reactome_symbol_pathway.parquet", "pathway_id", _labels(comparisons)), "go": (f"{ext}/go_symbol_term.parquet", "term_id", [x for x in _labels(comparisons) if x == "CRC_vs_Control"])}
+    sets = {"reactome": (f"{ext}/reactome_symbol_pathway.parquet", "pathway_id", _labels(spark, comparisons)), "go": (f"{ext}/go_symbol_term.parquet", "term_id", [x for x in _labels(spark, comparisons) if x == "CRC_vs_Control"])}
     for name, (path, set_id, labels) in sets.items():
-        if not output_exists(path):
+        if not output_exists(spark, path):
             continue
         members = _read(spark, path).select(F.col(set_id).alias("pathway"), F.col("gene_symbol").alias("gene"))
         for label in labels:
@@ -205,13 +223,13 @@ def step_enrichment(spark: SparkSession, c: Config) -> None:
 def _scores(spark: SparkSession, c: Config) -> DataFrame | None:
     """The scores of the first quantile there is of 0.99, 0.95, 0.999."""
     for q in (0.99, 0.95, 0.999):
-        if output_exists(path := f"{c.path('hms')}/hms_scores_q{file_label(q)}.parquet"):
+        if output_exists(spark, path := f"{c.path('hms')}/hms_scores_q{file_label(q)}.parquet"):
             return _read(spark, path).withColumn("quantile", F.lit(q))
     return None
 
 
 def _optional(spark: SparkSession, path: str) -> DataFrame | None:
-    return _read(spark, path) if output_exists(path) else None
+    return _read(spark, path) if output_exists(spark, path) else None
 
 
 def step_report(spark: SparkSession, c: Config) -> None:
@@ -220,7 +238,8 @@ def step_report(spark: SparkSession, c: Config) -> None:
     mapping, context, scores = _optional(spark, c.path("mapping")), _optional(spark, c.path("islands")), _scores(spark, c)
     pairs = rank.gene_island_context(mapping, context) if mapping is not None and context is not None else None
     line = hms.digest(scores).head() if scores is not None else None
-    out = rank.report(None, rank.rank_genes(main, enriched), rank.rank_pathways(enriched) if enriched is not None else None, enrichment=enriched, island_pairs=pairs, hms_summary=line["hms_summary"] if line else None)
+    genes = rank.rank_genes(main.where("significant"), enriched if c.gene_bonus else None, 100)
+    out = rank.report(None, genes, rank.rank_pathways(enriched) if enriched is not None else None, enrichment=enriched, island_pairs=pairs, hms_summary=line["hms_summary"] if line else None)
     tables.write_parquet(out, f"{c.path('reports')}/biomarker_report.parquet")
     tables.write_csv(_read(spark, f"{c.path('reports')}/biomarker_report.parquet").coalesce(1), f"{c.path('reports')}/biomarker_report.csv")
     with open(f"{c.path('reports')}/report.md", "w") as f:
@@ -236,11 +255,11 @@ def build_report(spark: SparkSession, c: Config) -> str:
         sections += [("Gene overlap", report.shares(df, "overlap_type")), ("Mapping", report.distinct_counts(df))]
     if (df := _optional(spark, c.path("islands"))) is not None:
         sections.append(("Island context", report.shares(df, "context")))
-    for label in _labels(c.path("comparisons")):
+    for label in _labels(spark, c.path("comparisons")):
         df = _read(spark, f"{c.path('comparisons')}/{label}.parquet")
         sections += [(f"Comparison {label}", report.comparison_summary(df)), (f"Top features {label}", report.top_significant(df).select("feature", "delta_mean", "cohens_d", "p_value", "q_value"))]
     names = _optional(spark, f"{c.path('external')}/reactome_pathways.parquet")
-    for label in _labels(c.path("enrichment")):
+    for label in _labels(spark, c.path("enrichment")):
         df = _read(spark, f"{c.path('enrichment')}/{label}.parquet")
         best = df.orderBy(F.col("p_value").asc_nulls_last(), "pathway").limit(15)
         best = report.named(best, names) if names is not None else best.withColumn("display_name", F.col("pathway"))
@@ -253,7 +272,7 @@ def build_report(spark: SparkSession, c: Config) -> str:
 def step_visualise(spark: SparkSession, c: Config) -> None:
     """The data of the figures, as tables."""
     out, comparisons = c.path("plots"), c.path("comparisons")
-    for label in _labels(comparisons):
+    for label in _labels(spark, comparisons):
         points = report.volcano_points(_read(spark, f"{comparisons}/{label}.parquet"))
         tables.write_parquet(points, f"{out}/volcano_{label}.parquet")
         tables.write_parquet(report.volcano_labels(points), f"{out}/volcano_{label}_labels.parquet")
@@ -318,7 +337,7 @@ def run(spark: SparkSession, c: Config, steps: list[str] | None = None, *, force
     state, ran = State(c.path("state"), c.mode), []
     for name in chosen:
         work, output = STEPS[name]
-        if not force and (output_exists(c.path(output)) if output else state.completed(name)):
+        if not force and (output_exists(spark, c.path(output)) if output else state.completed(name)):
             log.info("%s: done before", name)
             continue
         began = time.time()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from betaloom.functions import ids
 from betaloom.operators import clinical, compare, enrich, graph, hms, intervals, matrix, rank, report, rollup, sampling
 from betaloom.sources import annotations as ann
+from betaloom.sources import beta_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -188,7 +189,7 @@ def dataset_stats(spark, sf):
 
 @query
 def value_stats(spark, sf):
-    return rounded(matrix.value_stats(cells(spark, sf), 20), "mean", "median", "std")
+    return rounded(matrix.value_stats(cells(spark, sf)), "mean", "median", "std")
 
 
 @query
@@ -214,6 +215,11 @@ def island_context(spark, sf):
     return intervals.island_context(points(spark, sf), islands(spark, sf))
 
 
+@query
+def region_overlap_one_based(spark, sf):
+    return intervals.region_overlap(points(spark, sf), graph.regions(genes(spark, sf)), one_based=True)
+
+
 @query
 def region_overlap(spark, sf):
     return intervals.region_overlap(points(spark, sf), graph.regions(genes(spark, sf)))
@@ -325,12 +331,29 @@ def ks_stat(spark, sf):
 
 @query
 def all_contrasts(spark, sf):
-    return rounded(compare.run_all_comparisons(cells(spark, sf), meta(spark, sf), [*CONTRASTS, ("0", "none")], **AS_CELLS), "mean_group1", "mean_group2", "delta_mean", "cohens_d", "statistic").drop("p_value", "q_value", "significant")
+    return rounded(compare.run_all_comparisons(cells(spark, sf), meta(spark, sf), [*CONTRASTS, ("0", "none")], **AS_CELLS), "mean_group1", "mean_group2", "delta_mean", "cohens_d", "statistic").withColumns({c: r(c, 8) for c in ("p_value", "q_value")})
 
 
 @query
 def compare_pvalues(spark, sf):
-    return compare.run_all_comparisons(cells(spark, sf), meta(spark, sf), CONTRASTS, test="ttest", **AS_CELLS)
+    found = compare.run_all_comparisons(cells(spark, sf), meta(spark, sf), CONTRASTS, test="ttest", large=True, **AS_CELLS)
+    return rounded(found, "mean_group1", "mean_group2", "delta_mean", "cohens_d", "statistic").withColumns({c: r(c, 8) for c in ("p_value", "q_value")})
+
+
+def _few(spark, sf):
+    """Cells of seven samples against nine, few enough for exact tests; all others are in neither group."""
+    groups = table(spark, sf, "embeddings").selectExpr("vec_id as sample_id", "case when vec_id < 7 then 'a' when vec_id < 16 then 'b' else 'rest' end clinical_category")
+    return compare.labelled(cells(spark, sf), groups, [("a", "b")], **AS_CELLS)
+
+
+@query
+def mwu_exact(spark, sf):
+    return rounded(compare.mann_whitney(_few(spark, sf)).select("feature", "n1", "n2", "statistic", "p_value"), "statistic", "p_value", digits=8)
+
+
+@query
+def ks_exact(spark, sf):
+    return rounded(compare.kolmogorov_smirnov(_few(spark, sf)).select("feature", "n1", "n2", "statistic", "p_value"), "statistic", "p_value", digits=8)
 
 
 def _fdr(method):
@@ -345,6 +368,18 @@ for _m in compare.FDR_METHODS:
     _fdr(_m)
 
 
+def _fdr_large(method):
+    def f(spark, sf):
+        return rounded(compare.adjust_large(results(spark, sf), method), "p_value", "cohens_d", "delta_mean", "q_value", digits=8)
+
+    f.__name__ = f"fdr_large_{method.removeprefix('fdr_')}"
+    return query(f)
+
+
+for _m in ("fdr_by", "holm", "bonferroni"):
+    _fdr_large(_m)
+
+
 @query
 def fdr_large(spark, sf):
     return rounded(compare.adjust_large(results(spark, sf)).select("feature", "q_value", "significant"), "q_value", digits=8)
@@ -513,13 +548,13 @@ def _sheets(spark, sf):
 
 @query
 def barcode_norm(spark, sf):
-    c = table(spark, sf, "customer").selectExpr("c_custkey", "concat('\\t ', c_name, case when c_custkey % 7 = 0 then '!' else '' end, ' \\n') raw")
+    c = table(spark, sf, "customer").selectExpr("c_custkey", "concat('\\t\u00a0 \u3000', c_name, case when c_custkey % 7 = 0 then '!' else '' end, ' \u00a0\u2003\\n') raw")
     return c.select("c_custkey", ids.normalize_barcode("raw").alias("barcode"), ids.is_barcode(ids.normalize_barcode("raw")).alias("valid"))
 
 
 @query
 def category_norm(spark, sf):
-    c = table(spark, sf, "customer").selectExpr("c_custkey", "case c_custkey % 6 when 0 then ' CRC' when 1 then 'adenoma' when 2 then 'Ctrl ' when 3 then 'PENDING' when 4 then 'hgd' else concat(' ', c_mktsegment, ' ') end raw")
+    c = table(spark, sf, "customer").selectExpr("c_custkey", "case c_custkey % 6 when 0 then '\u00a0CRC' when 1 then 'adenoma\u2009' when 2 then 'Ctrl ' when 3 then 'PENDING' when 4 then 'hgd' else concat(' ', c_mktsegment, ' ') end raw")
     return c.select("c_custkey", ids.normalize_category("raw").alias("category"))
 
 
@@ -551,6 +586,24 @@ def symbol_map(spark, sf):
 # text sources, rebuilt from tables as lines
 
 
+CSV_HEADER = ",".join(["", " note", *[f" chr{d % 4 + 1}_{(d + 1) * 1000} " for d in range(DIMS)], "cg99", "chr30_5"]) + "\r"
+
+
+@query
+def csv_header(spark, sf):
+    """The site index of a header with a blank first name, spaces, and names that are no sites."""
+    return beta_csv.header_index(spark, beta_csv.parse_header(CSV_HEADER))
+
+
+@query
+def csv_parse(spark, sf):
+    """Lines of a beta CSV with missing tokens, cells that are no numbers, short rows and carriage returns."""
+    cell = "case (vec_id * 31 + d) % 11 when 0 then '' when 1 then 'NA' when 2 then 'NaN' when 3 then concat('x', d) when 4 then ' 12 ' else cast(cast(round(cast(v as double) * 1000) as int) as string) end"
+    line = f"concat(case when vec_id % 3 = 0 then ' ' else '' end, 's', vec_id, ',n,', array_join(slice(transform(embedding, (v, d) -> {cell}), 1, case when vec_id % 7 = 0 then 60 else 64 end), ','), case when vec_id % 2 = 0 then '\\r' else '' end) value"
+    lines = table(spark, sf, "embeddings").selectExpr(line, "vec_id + 1 as sample_ord")
+    return beta_csv.parse_lines(lines, beta_csv.parse_header(CSV_HEADER)).withColumn("beta", F.col("beta").cast("double"))
+
+
 def _lines(df: DataFrame, expr: str, order: str) -> DataFrame:
     return df.selectExpr(f"{expr} value", f"cast({order} as bigint) n")
 
@@ -636,9 +689,8 @@ _lookup("biomarker_cpgs", graph.biomarker_cpgs)
 _lookup("gene_methylation_for_sample", lambda g: rounded(graph.gene_methylation_for_sample(g, 3), "value"))
 
 
-@query
-def graph_import(spark, sf):
-    """All importers over parsed shapes; the sizes of what they made."""
+def _imported(spark, sf, region_base: bool = False):
+    """All importers over parsed shapes."""
     p = table(spark, sf, "part")
     g0, pts = genes(spark, sf), points(spark, sf)
     inputs = {
@@ -648,20 +700,46 @@ def graph_import(spark, sf):
         "islands": islands(spark, sf),
         "gene_pathway": p.selectExpr("concat('ENSG', cast(p_partkey * 3 as string)) gene_id", "p_brand pathway_id"),
         "clinical": meta(spark, sf).select(F.col("sample_id").alias("barcode"), "clinical_category"),
-        "cpg_stats": pts.select("cpg_id", F.col("chrom").alias("chromosome"), F.col("pos").alias("position"), F.lit(0.5).alias("mean_beta"), F.expr("case when pos % 3 = 0 then 0.001D else 0.02D end").alias("variance"), F.lit(0.1).alias("missingness"), F.lit(9).alias("n_samples")),
+        "cpg_stats": pts.select("cpg_id", F.col("chrom").alias("chromosome"), F.col("pos").alias("position"), F.lit(0.5).alias("mean_beta"), F.expr("case when pos % 3 = 0 then 0.001D else 0.25D end").alias("variance"), F.lit(0.125).alias("missingness"), F.lit(9).alias("n_samples")),
         "mapping": intervals.gene_overlap(pts, g0, include_intergenic=True),
     }
-    g = graph.build(inputs)
-    out = None
-    for name in ("v_gene", "v_pathway", "v_term", "v_region", "e_gene_pathway", "e_gene_term", "v_sample", "v_cpg", "e_cpg_gene", "e_cpg_region"):
+    return graph.build(inputs)
+
+
+PARTS = ("v_gene", "v_pathway", "v_term", "v_region", "e_gene_pathway", "e_gene_term", "v_sample", "v_cpg", "e_cpg_gene", "e_cpg_region")
+
+
+@query
+def graph_import(spark, sf):
+    """The sizes of what the importers made."""
+    g, out = _imported(spark, sf), None
+    for name in PARTS:
         row = getattr(g, name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
         out = row if out is None else out.unionByName(row)
     return out
 
 
+@query
+def graph_contents(spark, sf):
+    """Every vertex and edge that the importers made, its columns in order of name."""
+    g, out = _imported(spark, sf), None
+    for name in PARTS:
+        df = getattr(g, name)
+        row = df.select(F.lit(name).alias("part"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in sorted(df.columns)]).alias("row"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query
 def graph_validation(spark, sf):
-    return graph.validate(_graph(spark, sf), clinical=table(spark, sf, "customer"), spot_gene="nothing")
+    return graph.validate(_graph(spark, sf), clinical=table(spark, sf, "customer"), spot_gene="none of that name")
+
+
+@query
+def graph_spot_check(spark, sf):
+    """A gene that exists, by the name of part 5."""
+    name = table(spark, sf, "part").where("p_partkey = 5").head()["p_name"]
+    return graph.validate(_graph(spark, sf), spot_gene=name).where("name like 'spot%'")
 
 
 # sampling

@@ -13,11 +13,15 @@ from betaloom.functions.ids import CHROMOSOMES, SITE_ID, strip
 MISSING = ["", "NA", "NaN"]
 
 
+def parse_header(line: str) -> list[str]:
+    """The column names of a header line; a blank first one is sample_id."""
+    names = line.rstrip("\r\n").split(",")
+    return ["sample_id" if i == 0 and not n.strip() else n.strip() for i, n in enumerate(names)]
+
+
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    """The column names; a blank first one is sample_id."""
     first = spark.read.text(path).head(1)
-    names = first[0][0].rstrip("\r\n").split(",") if first else []
-    return ["sample_id" if i == 0 and not n.strip() else n.strip() for i, n in enumerate(names)]
+    return parse_header(first[0][0]) if first else []
 
 
 def header_index(spark: SparkSession, header: list[str], chromosomes: list[str] | None = None) -> DataFrame:
@@ -33,14 +37,18 @@ def sample_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_beta_csv(spark: SparkSession, path: str, chromosomes: list[str] | None = None) -> DataFrame:
-    """The long relation with a raw column: sample_id, sample_ord, chrom, pos, cpg_id, raw, beta.
+    """The long relation of a CSV file, see parse_lines."""
+    lines = spark.read.text(path).withColumn("sample_ord", F.monotonically_increasing_id()).where("sample_ord > 0")
+    return parse_lines(lines, read_header(spark, path), chromosomes)
+
+
+def parse_lines(lines: DataFrame, header: list[str], chromosomes: list[str] | None = None) -> DataFrame:
+    """lines (value, sample_ord) to the long relation with a raw column: sample_id, sample_ord, chrom, pos, cpg_id, raw, beta.
 
     Missing tokens and cells that are no numbers give a null beta; a short row simply has fewer cells. A line is split
     once and its cells find their site by position, so the plan does not grow with the number of columns.
     """
-    header = read_header(spark, path)
-    index = header_index(spark, header, chromosomes)
-    lines = spark.read.text(path).withColumn("sample_ord", F.monotonically_increasing_id()).where("sample_ord > 0")
+    index = header_index(lines.sparkSession, header, chromosomes)
     cells = F.split(F.regexp_replace("value", r"\r$", ""), ",", -1)
     rows = lines.where(strip("value") != "").select("sample_ord", strip(cells[0]).alias("sample_id"), F.posexplode(cells).alias("idx", "raw")).where("idx > 0")
     value = F.when(~strip("raw").isin(MISSING), strip("raw").try_cast("float"))

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -160,11 +161,37 @@ def test_large_fdr_equals_small(spark):
     rng = np.random.default_rng(2)
     rows = [(f"f{i}", float(p) if i % 9 else None) for i, p in enumerate(rng.uniform(size=3000) ** 4)]
     df = spark.createDataFrame(rows, "feature string, p_value double")
-    a = {r.feature: (r.q_value, r.significant) for r in compare.adjust(df).collect()}
-    b = {r.feature: (r.q_value, r.significant) for r in compare.adjust_large(df).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert a[k][1] == b[k][1] and (a[k][0] is None) == (b[k][0] is None) and (a[k][0] is None or a[k][0] == pytest.approx(b[k][0], rel=1e-12))
+    tied = spark.createDataFrame([(f"f{i}", 1.0 if i % 3 else round(float(p), 2), "ab"[i % 2]) for i, p in enumerate(rng.uniform(size=2000) ** 4)], "feature string, p_value double, label string")
+    for rows, by in ((df, None), (tied, None), (tied, ["label"])):
+        for method in compare.FDR_METHODS:
+            a = {r.feature: (r.q_value, r.significant) for r in compare.adjust(rows, method, by=by).collect()}
+            b = {r.feature: (r.q_value, r.significant) for r in compare.adjust_large(rows, method, by=by).collect()}
+            assert a.keys() == b.keys()
+            for k in a:
+                assert a[k][1] == b[k][1] and (a[k][0] is None) == (b[k][0] is None) and (a[k][0] is None or a[k][0] == pytest.approx(b[k][0], rel=1e-12))
+    assert compare.adjust_large(df.limit(0)).collect() == []
+
+
+def test_closed_forms_equal_sums(spark):
+    import math
+
+    rows = spark.createDataFrame([(n,) for n in (0, 1, 2, 19, 20, 21, 22, 50, 100, 101, 1000, 20_000)], "n long")
+    for r in rows.select("n", enrich.log_factorial(F.col("n")).alias("l"), compare.harmonic("n").alias("h")).collect():
+        assert r.l == pytest.approx(math.lgamma(r.n + 1), rel=1e-13, abs=1e-13)
+        assert r.n == 0 or r.h == pytest.approx(math.fsum(1 / i for i in range(1, r.n + 1)), rel=1e-14)
+    # a tail whose first term is far below the smallest double
+    big = spark.createDataFrame([(0, 3000, 4000, 8000)], "a long, s long, h long, t long")
+    assert big.select(enrich.fisher_tail(*(F.col(c) for c in "asht"))).head()[0] == pytest.approx(1.0, abs=1e-9)
+
+
+def test_hits_alone_give_the_running_sum():
+    rng = np.random.default_rng(4)
+    metric = np.sort(rng.normal(size=60))[::-1]
+    for _ in range(200):
+        hit = rng.random(60) < rng.choice([0.05, 0.3, 0.9])
+        if 0 < hit.sum() < 60:
+            at = np.flatnonzero(hit)
+            assert enrich._score_hits(at[None], np.abs(metric[at])[None], 60)[0] == pytest.approx(enrich._score(metric, hit), abs=1e-12)
 
 
 def test_weighted_needs_weights(spark):
