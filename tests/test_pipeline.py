@@ -73,6 +73,7 @@ def test_all_steps(spark, project, cfg):
     assert found["HIGH"].significant and found["HIGH"].delta_mean > 0.4 and not found["FLAT"].significant
     rep = spark.read.parquet(f"{cfg.path('reports')}/biomarker_report.parquet").collect()
     assert any(r.level == "gene" and r.identifier == "HIGH" and r["rank"] == 1 and "R-1" in r.pathways for r in rep)
+    assert {r.identifier for r in rep if r.level == "gene"} == {f for f, r in found.items() if r.significant}
     assert "Comparison CRC_vs_Control" in open(f"{cfg.path('reports')}/report.md").read()
     state = pipeline.State(cfg.path("state"), "production")
     assert state.completed("report") and not pipeline.State(cfg.path("state"), "dev").completed("report")
