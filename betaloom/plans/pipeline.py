@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import logging
 import os
 import sys
 import time
@@ -19,11 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from betaloom.functions.ids import file_label, site_chrom, site_pos
+from betaloom.logs import configure, get_logger
 from betaloom.operators import clinical, compare, enrich, graph, hms, intervals, matrix, rank, report, rollup, sampling
 from betaloom.session import session
 from betaloom.sources import annotations, beta_csv, tables
 
-log = logging.getLogger("betaloom")
+log = get_logger("betaloom")
 
 
 @dataclass
@@ -157,7 +157,7 @@ def step_annotations(spark: SparkSession, c: Config) -> None:
 
 def step_convert(spark: SparkSession, c: Config) -> None:
     counts, bad = beta_csv.convert(spark, c.beta_csv, c.path("beta"), c.chromosomes)
-    log.info("sites per chromosome: %s; unparsable cells: %d", counts, bad)
+    log.info("converted", sites_per_chromosome=counts, unparsable_cells=bad)
 
 
 def step_coverage(spark: SparkSession, c: Config) -> None:
@@ -328,7 +328,7 @@ def run(spark: SparkSession, c: Config, steps: list[str] | None = None, *, force
     """Run the steps in order and return those that ran. Unknown names are logged and skipped; a failure is raised."""
     for s in steps or []:
         if s not in STEPS:
-            log.warning("unknown step %s", s)
+            log.warning("unknown_step", step=s)
     chosen = [s for s in STEPS if steps is None or s in steps]
     if start_from:
         if start_from not in STEPS:
@@ -338,7 +338,7 @@ def run(spark: SparkSession, c: Config, steps: list[str] | None = None, *, force
     for name in chosen:
         work, output = STEPS[name]
         if not force and (output_exists(spark, c.path(output)) if output else state.completed(name)):
-            log.info("%s: done before", name)
+            log.info("step_skipped", step=name)
             continue
         began = time.time()
         try:
@@ -347,6 +347,7 @@ def run(spark: SparkSession, c: Config, steps: list[str] | None = None, *, force
             state.record(name, "failed", time.time() - began)
             raise
         state.record(name, "completed", time.time() - began)
+        log.info("step_completed", step=name, seconds=round(time.time() - began, 2))
         ran.append(name)
     return ran
 
@@ -419,7 +420,7 @@ def _commands() -> dict:
 
 
 def main(argv: list[str] | None = None) -> None:
-    logging.basicConfig(level=os.environ.get("LOG_LEVEL", "INFO"), format="%(asctime)s %(levelname)s %(name)s %(message)s")
+    configure()
     commands = _commands()
     top = argparse.ArgumentParser(prog="betaloom", description=__doc__)
     subs = top.add_subparsers(dest="command", required=True)

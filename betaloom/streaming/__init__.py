@@ -20,9 +20,7 @@ def append_to_store(cells: DataFrame, store: str, checkpoint: str):
 
 
 def moments(cells: DataFrame) -> DataFrame:
-    """Per site n_samples, mean_beta and variance so far, from counts and sums that merge across batches."""
+    """Per site n_samples, n_total, mean_beta and variance so far, from central moments that merge across batches without cancelling."""
     v = present("beta")
-    agg = cells.groupBy("cpg_id").agg(F.count(v).alias("n_samples"), F.count(F.lit(1)).alias("n_total"), F.sum(v).alias("s"), F.sum(v * v).alias("ss"))
-    mean = F.try_divide(F.col("s"), F.col("n_samples"))
-    var = F.when(F.col("n_samples") == 1, F.lit(0.0)).otherwise(F.try_divide(F.col("ss") - F.col("s") * mean, F.col("n_samples") - 1))
-    return agg.select("cpg_id", "n_samples", "n_total", mean.alias("mean_beta"), var.alias("variance"))
+    agg = cells.groupBy("cpg_id").agg(F.count(v).alias("n_samples"), F.count(F.lit(1)).alias("n_total"), F.avg(v).alias("mean_beta"), F.var_samp(v).alias("variance"))
+    return agg.withColumn("variance", F.when(F.col("n_samples") == 1, F.lit(0.0)).otherwise(F.col("variance")))

@@ -197,3 +197,31 @@ def test_missing_inputs_of_steps(spark, tmp_path):
         pipeline.run(spark, empty, ["coverage"])
     assert pipeline.State(empty.path("state"), "production").value["steps"]["coverage"]["status"] == "failed"
     assert pipeline.run(spark, empty, ["annotations"]) == ["annotations"]
+
+
+def test_events_carry_their_fields():
+    import io
+    import json
+    import logging
+
+    from betaloom.logs import Formatter, get_logger
+
+    for as_json in (True, False):
+        out = io.StringIO()
+        handler = logging.StreamHandler(out)
+        handler.setFormatter(Formatter(as_json))
+        log = get_logger("betaloom.test")
+        log.logger.addHandler(handler)
+        log.logger.setLevel("INFO")
+        log.bind(step="a").info("done", rows=3)
+        try:
+            1 / 0
+        except ZeroDivisionError:
+            log.exception("failed", step="b")
+        log.logger.removeHandler(handler)
+        first, rest = out.getvalue().split("\n", 1)
+        if as_json:
+            got = json.loads(first)
+            assert (got["event"], got["level"], got["step"], got["rows"]) == ("done", "info", "a", 3) and "ZeroDivisionError" in json.loads(rest)["exception"]
+        else:
+            assert first.endswith("betaloom.test done step=a rows=3")
