@@ -21,16 +21,32 @@ def labelled(matrix: DataFrame, metadata: DataFrame, contrasts: list[tuple[str,
     return matrix.select(F.col(feature_col).alias("feature"), sample_col, present(value_col).alias("value")).join(meta, sample_col).where("value is not null").select("label", "feature", "first", "value")
 
 
-def effect_sizes(cells: DataFrame) -> DataFrame:
-    """Per (label, feature): n1, n2, mean_group1, mean_group2, delta_mean, cohens_d and the variances."""
-    one, two = F.when(F.col("first"), F.col("value")), F.when(~F.col("first"), F.col("value"))
-    agg = cells.groupBy("label", "feature").agg(F.count(one).alias("n1"), F.count(two).alias("n2"), F.avg(one).alias("mean_group1"), F.avg(two).alias("mean_group2"), F.var_samp(one).alias("var1"), F.var_samp(two).alias("var2"))
+def _effects(agg: DataFrame) -> DataFrame:
     pooled = F.sqrt(F.try_divide((F.col("n1") - 1) * F.col("var1") + (F.col("n2") - 1) * F.col("var2"), F.col("n1") + F.col("n2") - 2))
     delta = F.col("mean_group1") - F.col("mean_group2")
     d = F.when((F.col("n1") < 2) | (F.col("n2") < 2) | (pooled == 0), F.lit(0.0)).otherwise(F.try_divide(delta, pooled))
     return agg.select("*", delta.alias("delta_mean"), d.alias("cohens_d"))
 
 
+def effect_sizes(cells: DataFrame) -> DataFrame:
+    """Per (label, feature): n1, n2, mean_group1, mean_group2, delta_mean, cohens_d and the variances."""
+    one, two = F.when(F.col("first"), F.col("value")), F.when(~F.col("first"), F.col("value"))
+    return _effects(cells.groupBy("label", "feature").agg(F.count(one).alias("n1"), F.count(two).alias("n2"), F.avg(one).alias("mean_group1"), F.avg(two).alias("mean_group2"), F.var_samp(one).alias("var1"), F.var_samp(two).alias("var2")))
+
+
+def contrast_effects(matrix: DataFrame, metadata: DataFrame, contrasts: list[tuple[str, str]], *, feature_col: str = "feature", sample_col: str = "sample_id", group_col: str = "clinical_category", value_col: str = "value", meta_sample_col: str | None = None) -> DataFrame:
+    """effect_sizes() of all contrasts from the moments of each (group, feature): a cell is read once, in however many contrasts its group is."""
+    spark = matrix.sparkSession
+    sides = spark.createDataFrame([(f"{a}_vs_{b}", g, g == a) for a, b in contrasts for g in (a, b)], "label string, grp string, first boolean")
+    wanted = [g for c in contrasts for g in c]
+    meta = metadata.select(F.col(meta_sample_col or sample_col).alias(sample_col), F.col(group_col).cast("string").alias("grp")).where(F.col("grp").isin(wanted))
+    cells = matrix.select(F.col(feature_col).alias("feature"), sample_col, present(value_col).alias("value")).join(meta, sample_col).where("value is not null")
+    moments = cells.groupBy("grp", "feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.var_samp("value").alias("var"))
+    of = lambda side, c: F.max(F.when(F.col("first") if side == 1 else ~F.col("first"), F.col(c)))
+    rows = moments.join(F.broadcast(sides), "grp").groupBy("label", "feature")  # sides: two rows a contrast
+    return _effects(rows.agg(F.coalesce(of(1, "n"), F.lit(0)).alias("n1"), F.coalesce(of(2, "n"), F.lit(0)).alias("n2"), *[of(k, c).alias(f"{name}{k}") for c, name in (("mean", "mean_group"), ("var", "var")) for k in (1, 2)]))
+
+
 def mann_whitney(cells: DataFrame) -> DataFrame:
     """Per (label, feature): statistic (U of the first group), z and p_value of the two-sided test.
 
@@ -84,7 +100,7 @@ def compare(matrix: DataFrame, metadata: DataFrame, contrasts: list[tuple[str, s
         raise ValueError(f"unknown test {test!r}: one of {TESTS}")
     cells = labelled(matrix, metadata, contrasts, **cols)
     tested = _RUN[test](cells).select("label", "feature", "statistic", "p_value")
-    return effect_sizes(cells).join(tested, ["label", "feature"]).select("label", "feature", "mean_group1", "mean_group2", "delta_mean", "cohens_d", "statistic", "p_value")
+    return contrast_effects(matrix, metadata, contrasts, **cols).join(tested, ["label", "feature"]).select("label", "feature", "mean_group1", "mean_group2", "delta_mean", "cohens_d", "statistic", "p_value")
 
 
 def compare_groups(matrix: DataFrame, metadata: DataFrame, group1: str, group2: str, *, test: str = "mannwhitneyu", group_col: str = "clinical_category", **cols) -> DataFrame:

@@ -52,10 +52,9 @@ def rollup_by_chromosome(beta: DataFrame, mapping: DataFrame, method: str = "mea
     edges = mapping.select(feature_col, site_col).distinct()
     v = present(value_col)
     cells = beta.join(edges, site_col)
-    # sites differ between samples only in their values, so the largest count of any sample counts the sites present
     per = cells.groupBy(feature_col, sample_col, chrom_col).agg(agg(v, F.lit(1.0)).alias("value"))
     out = per.groupBy(feature_col, sample_col).agg(F.avg("value").alias("value"))
-    if min_sites > 1:
+    if min_sites > 1:  # rows may be short, so the sites that are there are read from all samples: one column, folded in each task
         enough = beta.select(site_col).distinct().join(edges, site_col).groupBy(feature_col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_sites)
         out = out.join(enough.select(feature_col), feature_col, "left_semi")
     return out
