@@ -18,7 +18,7 @@ from betaloom.llm.line_dedup import dedup_lines
 from betaloom.llm.ngram_join import ngram_join
 from betaloom.llm.packing import pack_documents
 from betaloom.llm.quality_fm import fit_quality, score_quality
-from betaloom.llm.store import materialize
+from betaloom.llm.store import materialize, release, temporary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIN_CERTAINTY, EVIDENCE = 0.6, 10  # a text of n words needs a certainty of MIN_CERTAINTY * n / (n + EVIDENCE): few words prove little
@@ -67,8 +67,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents in sf_dir; each stage's result is written and read again."""
+    """All stages over the documents in sf_dir; each stage's result is written and read again, and its own tables go."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before = docs
+        with temporary(spark) as keep:
+            docs = keep(stage(spark, before, sf_dir), f"pipeline-{name}")
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)

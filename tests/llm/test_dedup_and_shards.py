@@ -138,3 +138,56 @@ def test_components(spark):
 
 def test_shard_query_equals_sql(same):
     same(queries.QUERIES["op8_sharding"], queries.ORACLES["op8_sharding"])
+
+
+def test_a_hot_text_moves_once_a_salt_and_ids_flush(spark, monkeypatch):
+    import pyarrow as pa
+
+    from betaloom.llm import exact_dedup as ed
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(lo, lo + 10_000)), pa.array([""] * 10_000)], names=["doc_id", "text"]) for lo in range(0, 1_000_000, 10_000)]
+    monkeypatch.setattr(ed.TaskContext, "get", staticmethod(lambda: type("T", (), {"partitionId": staticmethod(lambda: 0)})))
+    sizes = [n for b in ed._fold(64, 4 << 20)(batches) for n in b.column("n").to_pylist()]
+    assert sum(sizes) == 1_000_000 and len(sizes) > 3
+    monkeypatch.undo()
+    # one text in every task: its entries meet by salt, and the owner gets one of each salt
+    moved = []
+    was = ed.run_groups
+
+    def seen(rows, key, n, work, schema):
+        out = was(rows, key, n, work, schema)
+        moved.append(out)
+        return out
+
+    monkeypatch.setattr(ed, "run_groups", seen)
+    rows = [(i, "one hot text " * 50 if i % 2 else f"text {i}") for i in range(3_000)]
+    got = exact_dedup(frame(spark, rows).repartition(40), fold_over=8, flush_bytes=20_000)
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got.collect()), key=str) == brute_dedup(rows)
+    folded = moved[0].collect()
+    assert len(folded) > 30 and 0 < sum(r.text is not None for r in folded) <= len(folded) ** 0.5 + 1
+
+
+@pytest.mark.parametrize("options", [{}, {"key_bits": 2, "capacity_rows": 1, "max_depth": 3}, {"broadcast_keys": 0, "fold_over": 1}])
+def test_other_tables_are_looked_up_in_the_index(spark, tmp_path, options):
+    from betaloom.llm.exact_dedup import lookup
+
+    path = str(tmp_path / "index")
+    first = exact_dedup(frame(spark, ODD).repartition(3), index_path=path, **options).collect()
+    keep = {r.text_sha256: r.keep_id for r in first}
+    later = [(100, "a  b"), (101, None), (102, "new"), (103, "x" * 200_000), (103, "x" * 200_000), (None, "é b"), (104, "only null ids")]
+    got = lookup(frame(spark, later), path).collect()
+    assert len(got) == len(later)
+    for r in got:
+        assert r.known == (r.text_sha256 in keep) and r.keep_id == keep.get(r.text_sha256)
+    assert {r.doc_id for r in got if not r.known} == {102}
+    assert lookup(frame(spark, []), path).collect() == []
+
+
+def test_tables_go_at_the_end_of_a_block(spark):
+    from betaloom.llm.store import _target, materialize, temporary
+
+    with temporary(spark) as keep:
+        a = materialize(spark.range(3), "gone")
+        b = keep(a.selectExpr("id + 1 as id"), "kept")
+    there = lambda df: _target(spark, df._betaloom_path)[1].exists(_target(spark, df._betaloom_path)[0])
+    assert not there(a) and there(b) and b.count() == 3
