@@ -72,6 +72,19 @@ def test_both_tokenizers_agree_on_plain_characters():
         assert token_ids(t, JSON, RANKS, vocab.PATTERN).tolist() == e.ids
 
 
+def test_both_tokenizers_agree_on_plain_strings():
+    """Random strings of plain characters, words and runs of white space and marks."""
+    import random
+
+    rng, json = random.Random(3), Tokenizer.from_file(JSON)
+    plain = [chr(c) for c in [*range(0x250), *range(0x2010, 0x2028), 0x20AC]]
+    pools = (plain, [chr(c) for c in range(32, 127)], list(" \t\n\r\x0b\x0c\x85\xa0\u2028") + ["a", "1", "."], ["the", "it's", "I'LL", "Ünïcode", " ", "  ", "\n\n", "123456", "...", "€", "—", "\xad", "ǅ"])
+    texts = [t for t in ("".join(rng.choices(rng.choice(pools), k=rng.randrange(1, 60))) for _ in range(8_000)) if "<|" not in t and _PLAIN.fullmatch(t)]
+    assert len(texts) > 5_000
+    for t, e in zip(texts, json.encode_batch(texts, add_special_tokens=False)):
+        assert token_ids(t, JSON, RANKS, vocab.PATTERN).tolist() == e.ids
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 50), max_size=30))
 def test_plan_places_every_piece_once(histogram):
