@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .buckets import blocked, roots, run_groups, spread_join
+from .buckets import blocked, run_chunks, run_groups, spanning, spread_join
 from .components import connected_components
 from .store import materialize, shuffle_partitions
 from .textvec import freed, mix
@@ -295,21 +295,28 @@ def _links(group: pa.Table, kind: str, threshold: float, step: int = 512):
 
 
 def _join(kind, threshold):
-    """Links of a bucket as (cid, smallest cid it is linked to), a row per class at most."""
+    """Links of buckets as (cid, smallest cid it is linked to), a row per class and bucket at most."""
 
-    def work(group: pa.Table):
-        if group.num_rows > 1:
-            group = group.take(pa.array(np.argsort(group.column("cid").to_numpy(), kind="stable")))
-            root = np.arange(group.num_rows)
-            for left, right in _links(group, kind, threshold):
-                if len(left):
-                    every = np.arange(len(root))
-                    root = roots(len(root), np.concatenate([left, every]), np.concatenate([right, root]))
-            cid, got = group.column("cid").to_numpy(), np.flatnonzero(root != np.arange(len(root)))
-            if len(got):
-                yield pa.RecordBatch.from_arrays([pa.array(cid[got]), pa.array(cid[root[got]])], names=["a", "b"])
+    def alive(rows: pa.Table):
+        lh, vecs = rows.column("lh").to_numpy(), rows.column("vec").to_pylist()
+        length = np.array([len(v) for v in vecs])
+        units = {n: _units([v for v in vecs if len(v) == n], kind) for n in np.unique(length).tolist()}
+        place = np.empty(len(vecs), int)
+        for n in units:
+            place[length == n] = np.arange((length == n).sum())
 
-    return work
+        def test(left, right):
+            good = lh[left] == lh[right]  # one label and length, but where two hashed filters are equal by chance
+            for n, x in units.items():
+                at = np.flatnonzero(good & (length[left] == n))
+                for lo in range(0, len(at), 8192):
+                    k = at[lo : lo + 8192]
+                    good[k] = np.einsum("ij,ij->i", x[place[left[k]]], x[place[right[k]]]) >= threshold
+            return good
+
+        return test
+
+    return lambda chunk, bounds: spanning(chunk, bounds, alive, lambda group, _: _links(group, kind, threshold))
 
 
 def _count(kind, threshold):
@@ -327,7 +334,7 @@ def _count(kind, threshold):
     return work
 
 
-def embedding_near_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", threshold: float = 0.93, codes: int = 8, miss: float = 1e-3, per_vector: float = 2, least: int = 2, most_words: int = 256, spread: int = 64, block_rows: int = 512, seed: int = 11) -> DataFrame:
+def embedding_near_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", threshold: float = 0.93, codes: int = 8, miss: float = 1e-3, per_vector: float = 2, least: int = 2, most_words: int = 1024, spread: int = 64, block_rows: int = 512, seed: int = 11) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
     Vectors with equal, non-null labels and equal length are compared by cosine in double precision. Null, empty or
@@ -366,7 +373,7 @@ def embedding_near_dedup(vectors: DataFrame, *, id_col: str = "vec_id", vec_col:
     # links in buckets, a spanning set of each
     met = filters.groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     dealt = blocked(filters.join(met, "f"), ["f"], "cid", F.ceil(F.col("n") / block_rows).cast("long")).join(classes.select("cid", "lh", "vec"), "cid")
-    edges = run_groups(dealt, ["f", "lo", "hi"], n, _join(kind, threshold), "a long, b long")
+    edges = run_chunks(dealt, ["f", "lo", "hi"], n, _join(kind, threshold), "a long, b long")
 
     # all links inside the components
     linked = materialize(connected_components(edges), "vec-components").withColumnRenamed("node", "cid")

@@ -23,7 +23,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from .sample import training_sample
 from .textvec import LETTER, Hasher, freed, mix, slices, utf8, words
 
-BITS, SEGMENT = 19, 64
+BITS, SEGMENT = 18, 64
 UNDETERMINED = "und"
 
 
@@ -194,11 +194,16 @@ def chains(texts: list[str], labels: list[int], length: int) -> Corpus:
         gold.append(np.array(of[lo:hi])[text])
         n += len(h)
     vocabulary, first = np.unique(np.concatenate(known), return_index=True)
-    data, offsets = utf8(pa.array([names[i] for i in first.tolist()], pa.binary()).cast(pa.large_binary()).view(pa.large_string()))
-    owner, index = (np.concatenate(x) for x in zip(*((h.astype(np.int32), i.astype(np.int32)) for h, i in word_features(Hasher(data), offsets[:-1], offsets[1:]))))
-    order = np.argsort(owner, kind="stable")
     word = np.searchsorted(vocabulary, np.concatenate(hashes)).astype(np.int32)
-    return Corpus(word, np.concatenate(begin), np.concatenate(end), np.concatenate(gold), index[order], np.searchsorted(owner[order], np.arange(len(vocabulary) + 1)))
+    del hashes, known
+    index, count = [], []
+    for lo in range(0, len(first), 8192):  # features of some words at a time
+        data, offsets = utf8(pa.array([names[i] for i in first[lo : lo + 8192].tolist()], pa.binary()).cast(pa.large_binary()).view(pa.large_string()))
+        owner, at = (np.concatenate(x) for x in zip(*((h.astype(np.int32), i.astype(np.int32)) for h, i in word_features(Hasher(data), offsets[:-1], offsets[1:]))))
+        index.append(at[np.argsort(owner, kind="stable")])
+        count.append(np.bincount(owner, minlength=len(offsets) - 1))
+    at = np.concatenate([[0], np.cumsum(np.concatenate([np.empty(0, np.int64), *count]))])
+    return Corpus(word, np.concatenate(begin), np.concatenate(end), np.concatenate(gold), np.concatenate([np.empty(0, np.int32), *index]), at)
 
 
 def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -268,13 +273,27 @@ def fit_langid(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
     They are those whose hashed rows are smallest in each language, as many of each as there are (see training_sample),
     so a rare language is learned too. Null ids, languages and texts are left out; repeated rows count once. With fewer
-    than two languages, all text gets the one there is; with an empty table it is "und".
+    than two languages, all text gets the one there is; with an empty table it is "und". The model is trained in one
+    task, whose memory those bounds bound, and only the model reaches the driver.
     """
     marked = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(~held_out("doc_id"))
     rows = marked.select("doc_id", F.xxhash64("text", "lang").alias("t"), "text")
     keys = marked.select("doc_id", F.xxhash64("text", "lang").alias("t"), F.octet_length("text").alias("size"), "lang")
-    got = sorted((r.lang, r.text) for r in training_sample(rows, keys, "lang", max_rows, max_bytes).select("lang", "text").collect())
-    return train([t for _, t in got], [x for x, _ in got], **training)
+    chosen = training_sample(rows, keys, "lang", max_rows, max_bytes).select("lang", "text").repartition(1).sortWithinPartitions("lang", "text")
+
+    def run(batches):
+        langs, texts = [], []
+        for b in batches:
+            langs += b.column("lang").to_pylist()
+            texts += b.column("text").to_pylist()
+        t = train(texts, langs, **training)
+        yield pa.RecordBatch.from_arrays([pa.array([t.labels]), *(pa.array([np.asarray(x, kind).tobytes()]) for x, kind in ((t.weights, "<f4"), (t.start, "<f8"), (t.change, "<f8")))], names=["labels", "weights", "start", "change"])
+
+    model = chosen.mapInArrow(run, "labels array<string>, weights binary, start binary, change binary").head()
+    if model is None:
+        return train([], [])
+    n = len(model.labels)
+    return Tagger(list(model.labels), np.frombuffer(model.weights, "<f4").reshape(-1, n), np.frombuffer(model.start), np.frombuffer(model.change).reshape(n, n))
 
 
 def identify_language(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = (), certainty: bool = False) -> DataFrame:

@@ -15,14 +15,15 @@ from .store import materialize
 NEAR = 0.25  # estimates within this share of the threshold are counted exactly: over ten standard errors at lg_k 12
 
 
-def dedup_lines(docs: DataFrame, *, site_col: str = "source", id_col: str = "doc_id", text_col: str = "text", min_sites: int = 10, lg_k: int = 12, keep_first: bool = True, counts: tuple[str, str] | None = ("n_lines", "n_removed")) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, site_col: str = "source", id_col: str = "doc_id", text_col: str = "text", min_sites: int = 10, lg_k: int = 12, keep_first: bool = True, counts: tuple[str, str] | None = ("n_lines", "n_removed"), broadcast_bytes: int = 64 << 20) -> DataFrame:
     """docs with text_col freed of lines that at least min_sites distinct sites show, and how many lines it had and lost.
 
     Lines end at LF and are compared without leading and trailing spaces; blank lines stay. With keep_first, the
-    occurrence with the smallest id (null ids first), then the smallest line number, stays, so no content leaves the corpus. A null
-    site counts as one site. Null text stays null, with 0 lines; a text that loses all lines becomes empty. Rows
-    with equal id and text are treated alike. Other columns pass unchanged; of clashing names the count columns win.
-    An empty table gives no rows.
+    occurrence with the smallest id (null ids first), then the smallest line number, stays, so no content leaves the corpus. Null
+    and empty sites together count as one site. Null text stays null, with 0 lines; a text that loses all lines becomes
+    empty. Rows with equal id and text are treated alike. Other columns pass unchanged; of names that clash, in any
+    case, the count columns win. An empty table gives no rows. Which lines go from which text is broadcast up to
+    broadcast_bytes, so no text is shuffled; beyond that the join shuffles.
     """
     digest = F.xxhash64(F.col(text_col))
     line = F.trim(F.col("line"))
@@ -30,7 +31,8 @@ def dedup_lines(docs: DataFrame, *, site_col: str = "source", id_col: str = "doc
     lines = lines.where(line != "").select("d", "t", "site", "pos", F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("second"), line, F.char_length(line)).alias("h2"))
     lines = materialize(lines, "line-hashes")
 
-    spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"), F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "t", "pos")).alias("first"))
+    # by a hash of the site: a sketch passes empty strings over
+    spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_agg(F.xxhash64("site"), F.lit(lg_k)).alias("sketch"), F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "t", "pos")).alias("first"))
     spread = spread.where(F.col("n") >= min_sites).withColumn("sites", F.hll_sketch_estimate("sketch")).where(F.col("sites") >= min_sites * (1 - NEAR))
     spread = materialize(spread.select("h1", "h2", "sites", "first"), "line-spread")
     near = spread.where(F.col("sites") <= min_sites * (1 + NEAR))
@@ -41,6 +43,10 @@ def dedup_lines(docs: DataFrame, *, site_col: str = "source", id_col: str = "doc
     if keep_first:
         hits = hits.where(~(F.struct("d", "t", "pos").eqNullSafe(F.col("first"))))
     gone = hits.groupBy(F.col("d").alias("__line_d"), F.col("t").alias("__line_t")).agg(F.array_sort(F.collect_set("pos")).alias("__line_gone"))
+    gone = materialize(gone, "line-gone")
+    size = gone.agg(F.sum(F.size("__line_gone") * 8 + 256)).head()[0] or 0  # as a hashed relation
+    if size <= broadcast_bytes:
+        gone = F.broadcast(gone)
 
     # kept lines are the stretches between removed ones
     parts = F.split(F.col(text_col), "\n", -1)
@@ -48,7 +54,9 @@ def dedup_lines(docs: DataFrame, *, site_col: str = "source", id_col: str = "doc
     joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col("__line_d")) & (digest == F.col("__line_t")), "left").withColumn("__line_parts", parts).withColumn("__line_cuts", cuts)
     stretches = F.transform(F.sequence(F.lit(1), F.size("__line_gone") + 1), lambda j: F.slice(F.col("__line_parts"), F.get("__line_cuts", j - 1) + 2, F.get("__line_cuts", j) - F.get("__line_cuts", j - 1) - 1))
     text = F.when(F.col("__line_gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.flatten(stretches), "\n"))
-    out = {c: F.col(c) for c in docs.columns} | {text_col: text}
+    number = {}
     if counts:
-        out |= {counts[0]: F.coalesce(F.size("__line_parts"), F.lit(0)), counts[1]: F.coalesce(F.size("__line_gone"), F.lit(0))}
+        number = {counts[0]: F.coalesce(F.size("__line_parts"), F.lit(0)), counts[1]: F.coalesce(F.size("__line_gone"), F.lit(0))}
+    taken = {c.lower(): c for c in number}
+    out = {taken.get(c.lower(), c): F.col(c) for c in docs.columns} | {text_col: text} | number
     return joined.select(*(v.alias(k) for k, v in out.items()))

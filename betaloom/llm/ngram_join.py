@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .buckets import blocked, roots, run_groups, spread_join
+from .buckets import blocked, roots, run_chunks, run_groups, spanning, spread_join
 from .components import connected_components
 from .store import materialize, release, shuffle_partitions
 from .textvec import SPACE, Hasher, freed, mix, shingles, slices, utf8, words
@@ -137,25 +137,32 @@ def _pairs(group: pa.Table, step: int = 256):
         yield left + lo, right
 
 
+def _values(group: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(group.num_rows, -1)
+
+
 def _join(rule):
-    def work(group: pa.Table):
-        if group.num_rows < 2:
-            return
-        group = group.take(pa.array(np.argsort(group.column("cid").to_numpy(), kind="stable")))
-        values = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(group.num_rows, -1)
-        root = np.arange(group.num_rows)
+    """Pairs of buckets that outlast the pruning as (cid, smallest cid of a pair), a spanning set of each bucket."""
+
+    def alive(rows: pa.Table):
+        values = _values(rows)
+
+        def test(left, right):
+            good = np.zeros(len(left), bool)
+            good[unpruned(values, left, right, rule)] = True
+            return good
+
+        return test
+
+    def of_large(group: pa.Table, root):
+        values = _values(group)
         for left, right in _pairs(group):
-            apart = root[left] != root[right]
+            apart = root()[left] != root()[right]  # what is connected already need not be compared
             left, right = left[apart], right[apart]
-            alive = unpruned(values, left, right, rule)
-            if len(alive):
-                root = roots(len(root), np.concatenate([left[alive], np.arange(len(root))]), np.concatenate([right[alive], root]))
-        cid = group.column("cid").to_numpy()
-        got = np.flatnonzero(root != np.arange(len(root)))
-        if len(got):
-            yield pa.RecordBatch.from_arrays([pa.array(cid[got]), pa.array(cid[root[got]])], names=["a", "b"])
+            kept = unpruned(values, left, right, rule)
+            yield left[kept], right[kept]
 
-    return work
+    return lambda chunk, bounds: spanning(chunk, bounds, alive, of_large)
 
 
 def _common(sets: np.ndarray, offsets: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -188,8 +195,7 @@ def _verify(rule, threshold):
             return
         group = group.take(pa.array(np.argsort(group.column("cid").to_numpy(), kind="stable"))).combine_chunks()
         cid, m = group.column("cid").to_numpy(), group.column("m").to_numpy()
-        values = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(group.num_rows, -1)
-        kept = []
+        values, kept = _values(group), []
         for left, right in _pairs(group):
             alive = unpruned(values, left, right, rule)
             kept.append((left[alive], right[alive]))
@@ -263,7 +269,7 @@ def ngram_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     met = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     dealt = bands.join(met, "key").join(reps.select("cid", "sig"), "cid")
     dealt = blocked(dealt, ["key"], "cid", F.ceil(F.col("size") / block_rows).cast("long"))
-    edges = materialize(run_groups(dealt, ["key", "lo", "hi"], n, _join(rule), "a long, b long").distinct(), "gram-edges")
+    edges = materialize(run_chunks(dealt, ["key", "lo", "hi"], n, _join(rule), "a long, b long").distinct(), "gram-edges")
     release(bands)
     near = materialize(connected_components(edges), "gram-candidates").withColumnRenamed("node", "cid")
 

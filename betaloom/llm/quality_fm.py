@@ -175,18 +175,27 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
 
     They are those whose hashed rows are smallest (see training_sample). Ids without a document, null labels and null
     ids are left out; repeated rows and labels count once, an id with both labels counts as both. Without any row,
-    every score is 0.5.
+    every score is 0.5. The model is trained in one task, whose memory those bounds bound; only it reaches the driver.
     """
     marked = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("quality")).where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id")).distinct()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(length_col).cast("long").alias("n_chars"))
     texts = texts.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")).withColumn("t", F.xxhash64("text", "n_chars"))
     keys = texts.select("doc_id", "t", F.octet_length("text").alias("size")).join(marked, "doc_id")  # without texts
     rows = training_sample(texts, keys, None, max_rows, max_bytes).select("text", "n_chars", "quality")
-    got = rows.mapInArrow(_training_rows, "quality int, i binary, x binary, stats binary").collect()
-    got.sort(key=lambda r: (bytes(r.stats), bytes(r.i), r.quality))  # the order of rows must not depend on the cluster
-    words_ = [(np.frombuffer(r.i, "<u2").astype(np.int64), np.frombuffer(r.x, "<f4").astype(float)) for r in got]
-    stats = np.array([np.frombuffer(r.stats) for r in got]).reshape(-1, N_STATS + 1)
-    return train(words_, stats, np.array([r.quality for r in got], float), **training)
+    featured = rows.mapInArrow(_training_rows, "quality int, i binary, x binary, stats binary").repartition(1)
+
+    def run(batches):
+        got = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("stats", "i", "quality", "x")))]
+        got.sort()  # the order of rows must not depend on the cluster
+        words_ = [(np.frombuffer(i, "<u2").astype(np.int64), np.frombuffer(x, "<f4").astype(float)) for _, i, _, x in got]
+        stats = np.array([np.frombuffer(s) for s, *_ in got]).reshape(-1, N_STATS + 1)
+        m = train(words_, stats, np.array([q for _, _, q, _ in got], float), **training)
+        yield pa.RecordBatch.from_arrays([pa.array([m.bias]), *(pa.array([x.astype("<f8").tobytes()]) for x in (m.w, m.v, m.edges))], names=["bias", "w", "v", "edges"])
+
+    model = featured.mapInArrow(run, "bias double, w binary, v binary, edges binary").head()
+    if model is None:
+        return train([], np.zeros((0, N_STATS + 1)), np.zeros(0), **training)
+    return Model(model.bias, np.frombuffer(model.w), np.frombuffer(model.v).reshape(SIZE, -1), np.frombuffer(model.edges).reshape(N_STATS, -1))
 
 
 def score_quality(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", keep: list[str] = ()) -> DataFrame:

@@ -1,4 +1,5 @@
 import itertools
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -112,31 +113,25 @@ def test_training_rows_are_bounded_however_often_a_row_repeats(spark):
     rows = [(i, f"text number {i}", ("en", "de", "rare")[0 if i > 40 else i > 5], 10) for i in range(1, 400)]
     docs = spark.createDataFrame([(i, t, lang if i > 5 else "rare", n) for i, t, lang, n in rows] + [(2, "one text of one id", "en", 18)] * 5_000, "doc_id long, text string, lang string, n_chars long")
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 400)] + [(2, 1)] * 5_000 + [(2, 0)], "doc_id long, quality int")
-    got = {}
-
-    def seen(module, name):
-        was = getattr(module, name)
-
-        def train(*args, **kw):
-            got[module] = args
-            return was(*args, **kw)
-
-        return was, train
-
-    for module, fit in ((langid_crf, lambda **k: langid_crf.fit_langid(docs, **k)), (quality_fm, lambda **k: quality_fm.fit_quality(docs, labels, **k))):
-        was, module.train = seen(module, "train")
+    def chosen(module, fit):
+        """The rows that are trained on."""
+        got, was = [], module.training_sample
+        module.training_sample = lambda *a: got.append(was(*a)) or got[0]
         try:
-            for bound in (3, 60, 10_000):
-                fit(max_rows=bound)
-                assert 0 < len(got[module][0]) <= min(bound, 405)
-            if module is langid_crf:
-                langid_crf.fit_langid(docs, max_rows=60)
-                assert {x: got[module][1].count(x) for x in set(got[module][1])}["rare"] == len([i for i in range(1, 6) if __import__("zlib").crc32(str(i).encode()) % 4 != 2])
-                langid_crf.fit_langid(docs, max_bytes=100)
-                assert 0 < sum(map(len, got[module][0])) <= 100
-            assert len(got[module][0]) == len(set(map(str, got[module][0]))) or module is quality_fm
+            fit()
         finally:
-            module.train = was
+            module.training_sample = was
+        return got[0].collect()
+
+    for bound in (3, 60, 10_000):
+        rows = chosen(langid_crf, lambda: langid_crf.fit_langid(docs, max_rows=bound, steps=1))
+        assert 0 < len(rows) <= min(bound, 400) and len(rows) == len(set(rows))
+        if bound == 60:
+            assert sum(r.lang == "rare" for r in rows) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(1, 6))
+        rows = chosen(quality_fm, lambda: quality_fm.fit_quality(docs, labels, max_rows=bound, steps=1))
+        assert 0 < len(rows) <= min(bound, 402) and len(rows) == len(set(rows))
+    rows = chosen(langid_crf, lambda: langid_crf.fit_langid(docs, max_bytes=100, steps=1))
+    assert 0 < sum(len(r.text) for r in rows) <= 100
 
 
 def test_clashing_names_give_way(spark):

@@ -208,6 +208,26 @@ def test_lines_against_brute_force(spark):
         assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text) for r in got.collect()) == brute_lines(rows, least)
 
 
+def test_clashing_count_columns_in_any_case(spark):
+    df = spark.createDataFrame([(1, "a", "x\ny", "p", "q"), (2, "b", "x\n" + "z" * 3_000_000, "p", "q"), (3, "", "x", "p", "q"), (4, None, "x", "p", "q")], "doc_id long, source string, text string, N_LINES string, N_Removed string")
+    for room in (64 << 20, 0):
+        out = dedup_lines(df, min_sites=3, broadcast_bytes=room)
+        assert out.columns == ["doc_id", "source", "text", "n_lines", "n_removed"]
+        assert sorted((r.doc_id, r.n_lines, r.n_removed, len(r.text)) for r in out.collect()) == [(1, 2, 0, 3), (2, 2, 1, 3_000_000), (3, 1, 1, 0), (4, 1, 1, 0)]
+
+
+def test_chains_of_clusters_are_verified_cell_by_cell(spark):
+    """One candidate component in a chain: each text shares most of its words with the next, few with those farther on."""
+    rng = random.Random(12)
+    words = ["w%d" % rng.randrange(10**6) for _ in range(1_200)]
+    texts = [" ".join(words[i * 9 : i * 9 + 120]) for i in range(110)] + [" ".join(words[i * 9 : i * 9 + 119] + ["end"]) for i in range(0, 110, 3)]
+    ids = list(range(len(texts)))
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(3)
+    want = brute_join(ids, texts)
+    for options in ({"block_rows": 4}, {"block_rows": 16, "block_bytes": 3_000}, {}):
+        assert sorted((r.doc_id, r.class_id, r.n_links) for r in ngram_join(df, **options).collect()) == want
+
+
 def test_odd_lines(spark):
     rows = [(1, "a", "x\nx\n\n y"), (2, "b", "x"), (2, "b", "x"), (None, "c", " x "), (3, "d", None), (4, "e", "")]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string")
