@@ -144,14 +144,14 @@ def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, id_col: str
 
 
 def decode_documents(encoded: DataFrame, vocab_path: str) -> DataFrame:
-    """encoded (doc_id, ids) with the column decoded: the ids' bytes, concatenated."""
+    """encoded (doc_id, ids) with the column decoded: the ids' bytes, concatenated; null or empty ids give no bytes. Repeated rows are decoded each; an empty table gives no rows."""
 
     def run(batches):
         table = [b""] * (max(ranks(vocab_path).values()) + 1)
         for token, rank in ranks(vocab_path).items():
             table[rank] = token
         for b in batches:
-            texts = [b"".join(map(table.__getitem__, np.frombuffer(ids.as_py(), "<u4").tolist())) for ids in b.column("ids")]
+            texts = [b"".join(map(table.__getitem__, np.frombuffer(ids.as_py() or b"", "<u4").tolist())) for ids in b.column("ids")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), pa.array(texts, pa.binary())], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")

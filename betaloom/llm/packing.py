@@ -136,6 +136,6 @@ def pack_documents(docs: DataFrame, json_path: str, *, ranks_path: str | None =
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """One row per sequence of packed documents (with keep_ids): sequence_id, length and ids in order of offset."""
+    """One row per sequence of packed documents (with keep_ids): sequence_id, length and ids in order of offset. An empty table gives no rows."""
     parts = packed.groupBy("sequence_id").agg(F.sum("length").alias("length"), F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("p"))
     return parts.select("sequence_id", "length", F.aggregate("p", F.lit(b""), lambda done, x: F.concat(done, x["ids"])).alias("ids"))

@@ -67,7 +67,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the rows of docs as shard=N folders below path, each in slot order within its files."""
+    """Write the rows of docs as shard=N folders below path, each in slot order within its files; null texts and repeated rows are written each."""
     kept = materialize(docs.withColumn("__seq", F.monotonically_increasing_id()), "shard-input")
     plan = shard_by_bytes(kept, n_shards, id_col, text_col, seq_col="__seq").select(F.col("seq").alias("__seq"), F.col("shard").alias("__shard"), "slot")
     rows = kept.join(plan.withColumnRenamed("slot", "__slot"), "__seq").drop("__seq").withColumnRenamed("__shard", "shard")

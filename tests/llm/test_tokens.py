@@ -139,3 +139,13 @@ def test_packing_odd_rows(spark):
     want = Tokenizer.from_file(JSON).encode("<|endoftext|>語", add_special_tokens=False).ids + [2]
     assert [np.frombuffer(r.ids, "<u4").tolist() for r in got if r.doc_id == 3] == [want]
     assert all(zlib.crc32(r.ids) == r.ids_crc32 for r in got)
+
+
+def test_null_and_empty_ids_decode_to_nothing(spark):
+    import public_tokenizers
+
+    from betaloom.llm.bpe import decode_documents
+
+    rows = spark.createDataFrame([(1, None), (2, bytearray())], "doc_id long, ids binary")
+    got = decode_documents(rows, public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).orderBy("doc_id").collect()
+    assert [bytes(r.decoded) for r in got] == [b"", b""]
