@@ -178,6 +178,16 @@ WITH t0 AS (
 SELECT conv_id, n_turns, turns_sha256, length(learned)::BIGINT AS loss_chars, sha256(learned) AS loss_sha256, (d.chars + coalesce(repeated.chars, 0))::BIGINT AS formatted_chars FROM d LEFT JOIN repeated USING (conv_id)
 """
 
+def op13_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as vocab
+
+    from .rank_bpe import decode_ranked, encode_ranked
+
+    path = vocab.path("byte_bpe_50k.json")
+    coded = decode_ranked(encode_ranked(_table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -189,6 +199,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
+    "op13_rank_array_bpe": op13_rank_array_bpe,
 }
 
 ORACLES = {
