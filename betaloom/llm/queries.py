@@ -178,6 +178,37 @@ WITH t0 AS (
 SELECT conv_id, n_turns, turns_sha256, length(learned)::BIGINT AS loss_chars, sha256(learned) AS loss_sha256, (d.chars + coalesce(repeated.chars, 0))::BIGINT AS formatted_chars FROM d LEFT JOIN repeated USING (conv_id)
 """
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .importance import importance_resample
+
+    drawn = importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), max_n=1, buckets=10_000, percent=10, min_words=20, seed=2024)
+    return drawn.select(F.col("doc_id").cast("long"), "n_features", "weight", "score", "rank")
+
+
+OP11_SQL = r"""
+WITH tab AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)
+), x AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), y AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark
+), d AS (SELECT doc_id, unnest(w) AS w FROM x
+), c AS (
+  SELECT w, xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(w)), '..'), lambda x: instr('0123456789ABCDEF', x[1]) * 16 + instr('0123456789ABCDEF', x[2]) - 17)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM (SELECT w FROM d UNION SELECT w FROM y), tab
+), s AS (SELECT bucket, count(*) AS s FROM d JOIN c USING (w) GROUP BY bucket
+), t AS (SELECT bucket, count(*) AS t FROM y JOIN c USING (w) GROUP BY bucket
+), g AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM d) + 10000)::DOUBLE / ((s + 1)::DOUBLE * ((SELECT count(*) FROM y) + 10000)::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)
+), e AS (SELECT d.doc_id, sum(gain)::BIGINT AS weight FROM d JOIN c USING (w) JOIN g USING (bucket) GROUP BY d.doc_id
+), h AS (
+  SELECT x.doc_id, len(x.w)::BIGINT AS n_features, coalesce(e.weight, 0) AS weight,
+    coalesce(e.weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || x.doc_id)[1:8])::BIGINT + 0.5) / 4294967296)))::BIGINT AS score FROM x LEFT JOIN e USING (doc_id)
+), r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM h WHERE n_features >= 20)
+SELECT h.doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) FROM r) * 10 // 100 THEN rank END AS rank FROM h LEFT JOIN r USING (doc_id)
+"""
+
+
 def op13_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as vocab
 
@@ -199,6 +230,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_importance_resampling": op11_importance_resampling,
     "op13_rank_array_bpe": op13_rank_array_bpe,
 }
 
@@ -209,4 +241,5 @@ ORACLES = {
     "op7_exact_dedup": OP7_SQL,
     "op8_sharding": OP8_SQL,
     "op10_chat_formatting": OP10_SQL,
+    "op11_importance_resampling": OP11_SQL,
 }
