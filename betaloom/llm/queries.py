@@ -209,6 +209,66 @@ SELECT h.doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) F
 """
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repair import damage_turns, repair_conversations
+
+    turns = _table(spark, sf_dir, "conversations")
+    found = repair_conversations(damage_turns(turns))
+    shown = F.array_join(F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
+    found = found.select(F.col("conv_id").alias("id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", F.sha2(shown, 256).alias("repaired_sha256"))
+    every = turns.select("conv_id").distinct()
+    joined = every.join(found, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    counts = [F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)
+), c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+), f AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(k)), '..'), lambda x: instr('0123456789ABCDEF', x[1]) * 16 + instr('0123456789ABCDEF', x[2]) - 17)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS fault FROM c, tab
+), d AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role, CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy FROM f WHERE fault <> 0
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, role[1] AS h FROM d
+), m AS (
+  SELECT *, lag(h) OVER (PARTITION BY conv_id ORDER BY i) || h AS pair, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup,
+    NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, coalesce(regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1), '') NOT IN ('.', '!', '?') AS cut FROM o
+), p AS (
+  SELECT *, CASE WHEN blank THEN 1 WHEN dup THEN 2 WHEN cut THEN 3 ELSE 0 END AS fault, cut::INT AS t, NOT blank AND NOT dup AS stays FROM m
+), z AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM p GROUP BY conv_id
+), r(conv_id, i, q, cost, audit, body) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, unnest([0, 2, 3]), unnest([0, 2, 4]), unnest(['', 'I', 'II']), unnest([[], ['user:'], ['user:', 'assistant:']]::VARCHAR[][]) FROM p
+  UNION ALL
+  SELECT conv_id, i, q, cost, audit, body FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) AS best FROM (
+      WITH e AS (
+        SELECT r.conv_id, p.i, r.q, r.cost + 3 AS cost, r.audit || 'D' AS audit, r.body FROM r JOIN p ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND p.i = r.i + 1
+        UNION ALL SELECT r.conv_id, p.i, CASE h WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, r.cost + t, r.audit || 'K', list_append(r.body, p.role || ':' || p.text)
+          FROM r JOIN p ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND p.i = r.i + 1 WHERE stays AND (h = 's' AND r.q = 0 OR h = 'u' AND r.q <> 2 OR h = 'a' AND r.q = 2)
+        UNION ALL SELECT r.conv_id, p.i, CASE r.q WHEN 2 THEN 3 ELSE 2 END, r.cost + 2 + t, r.audit || 'R', list_append(r.body, CASE r.q WHEN 2 THEN 'assistant' ELSE 'user' END || ':' || p.text)
+          FROM r JOIN p ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND p.i = r.i + 1 WHERE stays
+      )
+      SELECT * FROM e
+      UNION ALL SELECT conv_id, i, CASE q WHEN 2 THEN 3 ELSE 2 END, cost + 2, audit || 'I', list_append(body, CASE q WHEN 2 THEN 'assistant:' ELSE 'user:' END) FROM e
+      UNION ALL SELECT conv_id, i, 3, cost + 4, audit || 'II', list_concat(body, ['user:', 'assistant:']) FROM e WHERE q <> 2
+    )
+  ) WHERE best = 1
+), w AS (
+  SELECT r.conv_id, cost, audit, body, row_number() OVER (PARTITION BY r.conv_id ORDER BY cost, audit) AS best FROM r JOIN z ON z.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = z.n WHERE q IN (0, 3)
+)
+SELECT a.conv_id, coalesce(z.gaps, 0)::BIGINT AS gaps, coalesce(z.blank, 0)::BIGINT AS blank, coalesce(z.duplicate, 0)::BIGINT AS duplicate, coalesce(z.truncated, 0)::BIGINT AS truncated, coalesce(z.illegal, 0)::BIGINT AS illegal,
+  coalesce(w.cost, 0)::BIGINT AS cost, coalesce(w.audit, '') AS audit, sha256(coalesce(array_to_string(w.body, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM a.conv_id AND w.best = 1
+"""
+
+
 def op13_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as vocab
 
@@ -231,6 +291,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_rank_array_bpe": op13_rank_array_bpe,
 }
 
@@ -242,4 +303,5 @@ ORACLES = {
     "op8_sharding": OP8_SQL,
     "op10_chat_formatting": OP10_SQL,
     "op11_importance_resampling": OP11_SQL,
+    "op12_conversation_repair": OP12_SQL,
 }
