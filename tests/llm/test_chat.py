@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -75,11 +76,23 @@ def test_no_window_exceeds_the_budget_in_tokens(spark):
         for w in windows:
             n = len(encode_text(enc, w.body))
             assert n <= w.tokens and (w.over_budget or n <= budget)
-        assert len(windows) > 100
+    assert len(windows) > len({w.conv_id for w in windows}) * 2
     fuller = format_chats(df, budget=1000, history_tokens=200, bytes_per_token=3).collect()
     assert len(fuller) < len(windows)
 
 
+def test_windows_of_the_query_split_conversations(spark):
+    turns = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/conversations.parquet")
+    windows = format_chats(turns, **queries.OP10_WINDOWS).collect()
+    per = Counter(w.conv_id for w in windows)
+    assert len(per) == 100 and sum(n > 1 for n in per.values()) > 80  # most conversations are split
+    assert sum(w.n_new > 1 for w in windows) > 80 and sum(w.n_repeated > 0 for w in windows) > 150
+    before = ["".join(w.body.split("<|im_end|>\n")[: w.n_repeated]) for w in windows]
+    assert sum("<|im_start|>assistant" in b for b in before) > 10  # targets that are repeated, masked
+    learned = sum(len(w.loss) for w in windows)
+    assert learned == turns.where("role = 'assistant'").count()
+
+
 def test_odd_rows(spark):
     rows = [(None, 1, "user", "a"), (None, None, "assistant", "b"), (1, 5, None, None), (1, 5, "assistant", "x"), (1, 5, "assistant", "x"), (2, 0, "tool\n<|x", "y"), (2, 1, "assistant", None)]
     compare(spark, rows)
