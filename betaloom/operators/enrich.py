@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from betaloom.functions.ids import present
 from betaloom.operators.compare import adjust
+from betaloom.operators.order import numbered
 
 
 def signed_rank(effect: Column | str, p: Column | str, *, zero_p_is_one: bool = False) -> Column:
@@ -69,8 +70,8 @@ def running_sum(ranked: DataFrame, membership: DataFrame, *, set_col: str = "pat
     Only hits are visited: between two hits the sum falls evenly, so its extremes lie just at or before a hit.
     Genes are ranked by metric descending, then name; a repeated gene counts with its last metric in that order.
     """
-    order = Window.orderBy(F.desc(metric_col), gene_col)
-    places = ranked.select(gene_col, F.col(metric_col).cast("double").alias(metric_col)).withColumn("at", F.row_number().over(order).cast("long"))
+    ranked = ranked.select(gene_col, F.col(metric_col).cast("double").alias(metric_col))
+    places = numbered(ranked, [F.desc(metric_col), F.col(gene_col)], name="at")
     places = places.groupBy(gene_col).agg(F.max(F.struct("at", metric_col)).alias("last")).select(gene_col, F.col("last.at").alias("at"), F.col(f"last.{metric_col}").alias("metric"))
     n = ranked.agg(F.count(F.lit(1)).alias("n"))
     members = membership.select(set_col, gene_col).distinct()

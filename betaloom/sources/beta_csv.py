@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from betaloom.functions.ids import CHROMOSOMES, SITE_ID, strip
+from betaloom.operators.order import chunked
 
 MISSING = ["", "NA", "NaN"]
 
@@ -79,8 +80,8 @@ def column_chunks(df: DataFrame, size: int = 10_000, key: str = "sample_id", pro
 
 
 def row_chunks(df: DataFrame, size: int = 100, order: str = "sample_id") -> DataFrame:
-    """df with a chunk number: rows in order, `size` in each chunk but the last."""
-    return df.withColumn("chunk", F.floor((F.row_number().over(Window.orderBy(order)) - 1) / size))
+    """df with a chunk number: rows in order (nulls first), `size` in each chunk but the last; no task holds the table."""
+    return chunked(df, [F.col(order)], size)
 
 
 def to_parquet(spark: SparkSession, path: str, out: str, compression: str = "zstd") -> None:
