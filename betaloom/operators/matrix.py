@@ -77,7 +77,7 @@ def value_stats(beta: DataFrame, n_sites: int = 100, site_col: str = "cpg_id", v
 
 
 def select_sites(beta: DataFrame, sites: DataFrame | list[str], site_col: str = "cpg_id") -> DataFrame:
-    """Cells of the listed sites; unknown and malformed ids are dropped."""
+    """Cells of the listed sites; unknown and malformed ids are dropped. For a few sites of a store see site_store.read_sites."""
     if isinstance(sites, list):
         sites = beta.sparkSession.createDataFrame([(s,) for s in sites], f"{site_col} string")
     return beta.join(sites.where(is_site_id(site_col)).select(site_col).distinct(), site_col, "left_semi")

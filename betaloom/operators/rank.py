@@ -25,7 +25,11 @@ def rank_sites(results: DataFrame, n: int = 100, *, id_col: str = "feature", eff
     """cpg_id, effect_size, q_value and score = |effect| * -log10 q of the n best, left-joined to annotations."""
     out = results.select(F.col(id_col).alias("cpg_id"), present(effect_col).alias("effect_size"), present(q_col).alias("q_value"), (F.abs(present(effect_col)) * strength(q_col)).alias("score"))
     out = top(out, "score", n, "cpg_id")
-    return out if annotations is None else F.broadcast(out).join(annotations.withColumnRenamed(annotation_id, "cpg_id"), "cpg_id", "left")  # n rows
+    if annotations is None:
+        return out
+    # the annotations of n sites are picked first, so the table is read but not shuffled
+    notes = annotations.withColumnRenamed(annotation_id, "cpg_id").join(F.broadcast(out.select("cpg_id")), "cpg_id", "left_semi")
+    return out.join(notes, "cpg_id", "left")
 
 
 def enrichment_bonus(enrichment: DataFrame, q_col: str = "q_value", genes_col: str = "overlap_genes") -> DataFrame:

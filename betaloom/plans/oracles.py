@@ -107,6 +107,15 @@ sql("variance_filter", f"SELECT cpg_id, chromosome, position, {rs('mean_beta var
 sql("dataset_stats", "SELECT count(*) AS n_sites, sum(n_total - n_present)::BIGINT AS total_nulls, " + r("sum(n_total - n_present) / sum(n_total)", "null_fraction") + ", " + ", ".join(f"count(*) FILTER (coverage >= {c / 100}) AS n_cov_{c}" for c in (95, 90, 80, 50)) + ", (SELECT count(DISTINCT sample_id) FROM cells) AS n_samples FROM cov", "cov")
 sql("value_stats", f"SELECT {r('avg(beta)', 'mean')}, {r('median(beta)', 'median')}, {r('stddev_pop(beta)', 'std')} FROM cells WHERE cpg_id IN (SELECT DISTINCT cpg_id FROM cells QUALIFY dense_rank() OVER (ORDER BY chrom, pos) <= 100)", "cells")
 sql("site_select", "SELECT cpg_id, count(beta) AS n FROM cells WHERE cpg_id IN ('chr1_1000', 'chr2_2000', 'chr4_64000') GROUP BY cpg_id", "cells")
+sql("store_sites", f"SELECT chrom, pos, cpg_id, count(beta) AS n, {r('sum(beta)', 'total', 4)} FROM cells WHERE cpg_id IN ('chr1_1000', 'chr2_2000', 'chr4_64000') GROUP BY ALL", "cells")
+sql("store_sites_joined", f"SELECT cpg_id, count(beta) AS n, {r('sum(beta)', 'total', 4)} FROM cells WHERE cpg_id IN (SELECT cpg_id FROM site_genes WHERE gene IN ('g1', 'g5')) GROUP BY cpg_id", "cells", "site_genes")
+sql("store_value_stats", f"SELECT {r('avg(beta)', 'mean')}, {r('median(beta)', 'median')}, {r('stddev_pop(beta)', 'std')} FROM cells WHERE cpg_id IN (SELECT cpg_id FROM cov ORDER BY split_part(cpg_id, '_', 1), split_part(cpg_id, '_', 2)::INTEGER LIMIT 20)", "cells", "cov")
+sql("store_dictionary", "SELECT row_number() OVER (ORDER BY chrom, pos) AS ord, cpg_id, chrom, pos, count(*) AS n_cells FROM cells GROUP BY cpg_id, chrom, pos", "cells")
+sql("store_counts", "SELECT chrom, count(DISTINCT pos) AS n_sites, count(*) AS n_cells FROM cells GROUP BY chrom", "cells")
+sql("row_chunks", "SELECT (n - 1) // 100 AS chunk, count(*) AS n, min(o_orderkey) AS first, max(o_orderkey) AS last FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) GROUP BY ALL")
+sql("running_totals", """SELECT o_orderkey, row_number() OVER w AS n, (sum(price) OVER w)::DOUBLE AS total, min(o_custkey) OVER w AS least_customer FROM (SELECT *, o_totalprice::DECIMAL(18, 2) AS price FROM orders)
+  WINDOW w AS (ORDER BY price DESC, o_orderkey ROWS UNBOUNDED PRECEDING)""")
+sql("tied_ranks", "SELECT l_orderkey, l_linenumber, l_quantity, rank() OVER (ORDER BY l_quantity DESC) AS rank FROM lineitem")
 sql("gene_overlap", "SELECT * FROM hits", "hits")
 sql("gene_overlap_intergenic", "SELECT * FROM mapped", "mapped")
 sql("island_context", "SELECT * FROM ctx", "ctx")

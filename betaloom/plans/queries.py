@@ -6,15 +6,16 @@ their dimensions sites; parts are genes, features and sets; orders are points on
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from betaloom.functions import ids
-from betaloom.operators import clinical, compare, enrich, graph, hms, intervals, matrix, rank, report, rollup, sampling
+from betaloom.operators import clinical, compare, enrich, graph, hms, intervals, matrix, order, rank, report, rollup, sampling
 from betaloom.sources import annotations as ann
-from betaloom.sources import beta_csv
+from betaloom.sources import beta_csv, scratch, site_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -197,6 +198,66 @@ def site_select(spark, sf):
     return matrix.select_sites(cells(spark, sf), ["chr1_1000", "chr2_2000", "chr9_1", "drop table", "chr4_64000"]).groupBy("cpg_id").agg(F.count("beta").alias("n"))
 
 
+# the store
+
+
+def _store(spark, sf):
+    """The cells of the tables as a store in the shared folder; its files go when the driver ends."""
+    out = f"{scratch.shared_dir(spark)}/betaloom/{spark.sparkContext.applicationId}/store-{uuid.uuid4().hex}"
+    at, files = scratch.target(spark, out)
+    files.deleteOnExit(at)
+    site_store.write_store(cells(spark, sf).drop("d"), out)
+    return out
+
+
+@query
+def store_sites(spark, sf):
+    asked = ["chr1_1000", "chr2_2000", "chr9_1", "drop table", "chr4_64000", "chr1_1000"]
+    found = site_store.read_sites(spark, _store(spark, sf), asked)
+    return found.groupBy("chrom", "pos", "cpg_id").agg(F.count("beta").alias("n"), r(F.sum("beta"), 4).alias("total"))
+
+
+@query
+def store_sites_joined(spark, sf):
+    asked = site_genes(spark).where("gene in ('g1', 'g5')").select("cpg_id")
+    return site_store.read_sites(spark, _store(spark, sf), asked).groupBy("cpg_id").agg(F.count("beta").alias("n"), r(F.sum("beta"), 4).alias("total"))
+
+
+@query
+def store_value_stats(spark, sf):
+    return rounded(site_store.store_value_stats(spark, _store(spark, sf), 20), "mean", "median", "std")
+
+
+@query
+def store_dictionary(spark, sf):
+    return site_store.site_dictionary(spark, _store(spark, sf)).select("ord", "cpg_id", "chrom", "pos", "n_cells")
+
+
+@query
+def store_counts(spark, sf):
+    return site_store.chromosome_counts(spark, _store(spark, sf))
+
+
+@query
+def row_chunks(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    chunks = beta_csv.row_chunks(o, 100, "o_orderkey")
+    return chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"))
+
+
+@query
+def running_totals(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    run = order.running(o, [F.desc("price"), F.col("o_orderkey")], {"total": ("price", "sum"), "least_customer": ("o_custkey", "min")})
+    return run.select("o_orderkey", "n", F.col("total").cast("double").alias("total"), "least_customer")
+
+
+@query
+def tied_ranks(spark, sf):
+    o = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return order.numbered(o, [F.desc("l_quantity"), F.col("l_orderkey"), F.col("l_linenumber")], tie=["l_quantity"], name="rank")
+
+
 # intervals
 
 

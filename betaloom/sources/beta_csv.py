@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from betaloom.functions.ids import CHROMOSOMES, SITE_ID, strip
 from betaloom.operators.order import chunked
+from betaloom.sources.scratch import target
+from betaloom.sources.site_store import cells_of, write_store
 
 MISSING = ["", "NA", "NaN"]
+SPANS = 800  # stretches of 4 million positions in a genome, about
 
 
 def parse_header(line: str) -> list[str]:
@@ -59,15 +62,19 @@ def parse_lines(lines: DataFrame, header: list[str], chromosomes: list[str] | No
 
 
 def convert(spark: SparkSession, path: str, out: str, chromosomes: list[str] | None = None) -> tuple[dict[str, int], int]:
-    """Write the long store below out, a folder per chromosome, and return ({chromosome: sites}, unparsable cells)."""
+    """Write the long store below out, a folder per chromosome, and its dictionary of sites; returns ({chromosome: sites}, unparsable cells).
+
+    A task takes some 4 million positions of a chromosome, and of the samples a block: so many blocks that a task gets
+    about 128 MB of the file, however many samples there are.
+    """
     if chromosomes is not None and (bad := set(chromosomes) - set(CHROMOSOMES)):
         raise ValueError(f"unknown chromosomes: {sorted(bad)}")
     cells = read_beta_csv(spark, path, chromosomes)
     store = cells.select("sample_id", "sample_ord", "pos", "cpg_id", "beta", "chrom", (F.col("beta").isNull() & ~strip("raw").isin(MISSING)).alias("bad"))
-    store.repartition("chrom", F.floor(F.col("pos") / 4_000_000)).sortWithinPartitions("chrom", "pos", "sample_ord").write.mode("overwrite").partitionBy("chrom").option("compression", "zstd").parquet(out)
-    back = spark.read.parquet(out)
+    at, files = target(spark, path)
+    write_store(store, out, sample_blocks=max(1, files.getContentSummary(at).getLength() // (SPANS * 128 << 20)))
     counts = {r[0]: r[1] for r in header_index(spark, read_header(spark, path), chromosomes).groupBy("chrom").count().collect()}  # a row per chromosome
-    return counts, back.where("bad").count()
+    return counts, cells_of(spark, out).where("bad").count()
 
 
 def column_chunks(df: DataFrame, size: int = 10_000, key: str = "sample_id", progress=None) -> Iterator[DataFrame]:
