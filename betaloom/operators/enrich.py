@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +10,11 @@ from pyspark.sql import functions as F
 from betaloom.functions.ids import present
 from betaloom.operators.compare import adjust
 from betaloom.operators.order import numbered
+from betaloom.sources.scratch import materialize, shuffle_partitions
+
+DIGITS = 10  # of scores that are compared with those of permutations
+TIE = 1e-12  # extremes that differ by no more, as sums in another order may, count as equal
+EXACT_GENES = 200_000
 
 
 def signed_rank(effect: Column | str, p: Column | str, *, zero_p_is_one: bool = False) -> Column:
@@ -67,7 +70,8 @@ def fisher_enrichment(significant: DataFrame, membership: DataFrame, background:
 def running_sum(ranked: DataFrame, membership: DataFrame, *, set_col: str = "pathway", gene_col: str = "gene", metric_col: str = "metric") -> DataFrame:
     """Per set: es (the signed extreme of the running sum, ties to the maximum), n_genes and n_hits.
 
-    Only hits are visited: between two hits the sum falls evenly, so its extremes lie just at or before a hit.
+    Only hits are visited: between two hits the sum falls evenly, so its extremes lie just at or before a hit, or, where
+    all hits have metric 0, at the end (-1).
     Genes are ranked by metric descending, then name; a repeated gene counts with its last metric in that order.
     """
     ranked = ranked.select(gene_col, F.col(metric_col).cast("double").alias(metric_col))
@@ -85,9 +89,9 @@ def running_sum(ranked: DataFrame, membership: DataFrame, *, set_col: str = "pat
     misses = F.try_divide(F.col("at") - F.row_number().over(up.rowsBetween(Window.unboundedPreceding, 0)), F.col("n") - F.col("n_hits"))
     prior = F.abs("metric") / F.when(F.coalesce(F.col("norm"), F.lit(0.0)) == 0, F.lit(1.0)).otherwise(F.col("norm"))
     steps = hits.withColumn("high", F.when(F.col("at").isNotNull(), gain - misses)).withColumn("low", F.when(F.col("at").isNotNull(), gain - prior - misses))
-    agg = steps.groupBy(set_col).agg(F.max("n_genes").alias("n_genes"), F.max("n_hits").alias("n_hits"), F.max("n").alias("n"), F.greatest(F.max("high"), F.lit(0.0)).alias("top"), F.least(F.min("low"), F.lit(0.0)).alias("bottom"))
+    agg = steps.groupBy(set_col).agg(F.max("n_genes").alias("n_genes"), F.max("n_hits").alias("n_hits"), F.max("n").alias("n"), F.greatest(F.max("high"), F.lit(0.0)).alias("top"), F.least(F.min("low"), F.when(F.max("norm") == 0, F.lit(-1.0)).otherwise(F.lit(0.0))).alias("bottom"))
     blank = (F.col("n_hits") == 0) | (F.col("n_hits") == F.col("n"))
-    es = F.when(blank, F.lit(0.0)).when(F.col("top") >= -F.col("bottom"), F.col("top")).otherwise(F.col("bottom"))
+    es = F.when(blank, F.lit(0.0)).when(F.col("top") + TIE >= -F.col("bottom"), F.col("top")).otherwise(F.col("bottom"))
     return agg.select(set_col, es.alias("es"), "n_genes", "n_hits")
 
 
@@ -109,59 +113,94 @@ def _score_hits(at: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
     total = np.where(up[:, -1:] > 0, up[:, -1:], 1.0)
     misses = (at - np.arange(k)) / (n - k)
     top = np.maximum((up / total - misses).max(axis=1), 0.0)
-    bottom = np.minimum(((up - weight) / total - misses).min(axis=1), 0.0)
-    return np.where(top >= -bottom, top, bottom)
+    bottom = np.minimum(((up - weight) / total - misses).min(axis=1), np.where(up[:, -1] > 0, 0.0, -1.0))  # without any gain the walk ends at -1
+    return np.where(top + TIE >= -bottom, top, bottom)
+
+
+def permutation_null(ranked: DataFrame, sizes: DataFrame, n_permutations: int = 1000, *, seed: int = 42, gene_col: str = "gene", metric_col: str = "metric") -> DataFrame:
+    """(n_hits, permutation, es): the score of a random set of each size in `sizes` (n_hits), for each permutation from 1.
+
+    Permutation p puts the places of the ranking in the order of md5("seed/p/place"); a random set of n hits is the
+    first n of them. So a size is drawn once for all sets that have it, every engine draws the same, and the ranking
+    meets a permutation only in the few places that can be among the first: those whose hash is below a bound that the
+    largest size exceeds by ten standard deviations. A task scores a permutation; its rows grow with the largest set.
+    """
+    spark = ranked.sparkSession
+    wanted = sorted(r[0] for r in sizes.select(F.col("n_hits").cast("long")).distinct().collect())  # distinct sizes of sets
+    places = materialize(numbered(ranked.select(gene_col, F.col(metric_col).cast("double").alias("m")), [F.desc("m"), F.col(gene_col)], name="at").select("at", F.abs("m").alias("w")), "ranking")
+    total = places.count()
+    wanted = [n for n in wanted if 0 < n < total]
+    schema = "n_hits long, permutation int, es double"
+    if not wanted or n_permutations < 1:
+        return spark.createDataFrame([], schema)
+    most = wanted[-1]
+    share = min(1.0, (most + 10 * most**0.5 + 50) / total)
+    bound = f"{min(0xFFFFFFFF, int(share * 2**32)):08x}"
+    drawn = places.repartition(max(1, min(shuffle_partitions(spark) * 4, total // 1000))).withColumn("p", F.explode(F.sequence(F.lit(1), F.lit(n_permutations))))
+    drawn = drawn.withColumn("h", F.md5(F.concat_ws("/", F.lit(str(seed)), F.col("p").cast("string"), F.col("at").cast("string")))).where(F.left("h", F.lit(8)) <= bound)
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["h", "at"], kind="stable")
+        if len(pdf) < most:
+            raise ValueError(f"permutation {pdf.p.iloc[0]} has {len(pdf)} places below the bound, fewer than {most}")
+        at, w, es = pdf["at"].to_numpy() - 1, pdf.w.to_numpy(), []
+        for n in wanted:
+            up = np.argsort(at[:n], kind="stable")
+            es.append(float(_score_hits(at[:n][up][None], w[:n][up][None], total)[0]))
+        return pd.DataFrame({"n_hits": wanted, "permutation": pdf.p.iloc[0], "es": es})
+
+    return drawn.groupBy("p").applyInPandas(score, schema)
 
 
 def gsea_preranked(ranked: DataFrame, membership: DataFrame, n_permutations: int = 1000, *, seed: int = 42, exact_rng: bool = False, set_col: str = "pathway", gene_col: str = "gene", metric_col: str = "metric") -> DataFrame:
     """Per set with some but not all genes hit: es, nes, p_value, n_genes, n_hits.
 
-    A permutation draws places for the set's hits, and only hits are visited, so its work does not grow with the
-    ranking. The ranking, one number per gene, is broadcast; each set is a task of its own with a seed of its own.
-    exact_rng shuffles whole rankings for all sets in name order from one generator instead, in a single task.
+    es comes from running_sum, its null from permutation_null, both held to ten digits: nes is es over the null's mean
+    size, p_value the share of the null at least as extreme on es's side, never below 1 / (n_permutations + 1). Nothing
+    but set sizes and counts reaches the driver. exact_rng shuffles whole rankings for all sets in name order from one
+    generator instead, in a single task, for rankings of at most EXACT_GENES genes.
     """
-    rows = ranked.select(gene_col, F.col(metric_col).cast("double").alias("m")).orderBy(F.desc("m"), gene_col).collect()  # genes, not samples
-    shared = ranked.sparkSession.sparkContext.broadcast((np.array([r[1] for r in rows], float), {r[0]: i for i, r in enumerate(rows)}))
-
-    def one(name, genes, rng):
-        metric, place = shared.value
-        total, size = len(metric), np.abs(metric)
-        at = np.array(sorted(place[g] for g in genes if g in place), int)
-        n = len(at)
-        if n == 0 or n == total:
-            return None
-        if exact_rng:
-            mask = np.zeros(total, bool)
+    if exact_rng:
+        return _gsea_one_generator(ranked, membership, n_permutations, seed, set_col, gene_col, metric_col)
+    members = membership.select(F.col(set_col).cast("string").alias(set_col), gene_col).distinct()
+    genes = ranked.count()
+    found = running_sum(ranked, members, set_col=set_col, gene_col=gene_col, metric_col=metric_col).where((F.col("n_hits") > 0) & (F.col("n_hits") < genes))
+    found = materialize(found.withColumn("es", F.round("es", DIGITS)), "gsea-scores")
+    null = permutation_null(ranked, found, n_permutations, seed=seed, gene_col=gene_col, metric_col=metric_col).select("n_hits", F.round("es", DIGITS).alias("null"))
+    both = found.join(null, "n_hits", "left").groupBy(set_col, "es", "n_genes", "n_hits").agg(
+        F.avg(F.abs("null")).alias("size"),
+        F.count_if(F.when(F.col("es") >= 0, F.col("null") >= F.col("es")).otherwise(F.col("null") <= F.col("es"))).alias("beyond"),
+    )
+    nes = F.when(F.col("size") > 0, F.col("es") / F.col("size")).otherwise(F.lit(0.0))
+    p = F.greatest(F.col("beyond") / F.lit(float(max(1, n_permutations))), F.lit(1 / (n_permutations + 1)))
+    return both.select(set_col, "es", nes.alias("nes"), p.alias("p_value"), "n_genes", "n_hits")
+
+
+def _gsea_one_generator(ranked: DataFrame, membership: DataFrame, n_permutations: int, seed: int, set_col: str, gene_col: str, metric_col: str) -> DataFrame:
+    rows = ranked.select(gene_col, F.col(metric_col).cast("double").alias("m")).orderBy(F.desc("m"), gene_col).limit(EXACT_GENES + 1).collect()
+    if len(rows) > EXACT_GENES:
+        raise ValueError(f"exact_rng takes rankings of at most {EXACT_GENES} genes")
+    metric, place = np.array([r[1] for r in rows], float), {r[0]: i for i, r in enumerate(rows)}
+
+    def all_sets(pdf: pd.DataFrame) -> pd.DataFrame:
+        rng, got = np.random.default_rng(seed), []
+        for name, g in pdf.groupby(set_col, sort=True):
+            at = [place[x] for x in set(g[gene_col]) if x in place]
+            if not 0 < len(at) < len(metric):
+                continue
+            mask = np.zeros(len(metric), bool)
             mask[at] = True
             es, null = _score(metric, mask), np.empty(n_permutations)
             for i in range(n_permutations):
                 rng.shuffle(mask)
                 null[i] = _score(metric, mask)
-        else:
-            es, null = float(_score_hits(at[None], size[at][None], total)[0]), []
-            for lo in range(0, n_permutations, step := max(1, (1 << 20) // n)):
-                drawn = np.sort(np.stack([rng.choice(total, n, replace=False, shuffle=False) for _ in range(min(step, n_permutations - lo))]), axis=1)
-                null.append(_score_hits(drawn, size[drawn], total))
-            null = np.concatenate(null) if null else np.empty(0)
-        mean = float(np.abs(null).mean()) if n_permutations else 0.0
-        p = float((null >= es).mean() if es >= 0 else (null <= es).mean()) if n_permutations else 0.0
-        return name, es, es / mean if mean else 0.0, p or 1 / (n_permutations + 1), len(genes), n
-
-    columns = [set_col, "es", "nes", "p_value", "n_genes", "n_hits"]
-
-    def per_set(pdf: pd.DataFrame) -> pd.DataFrame:
-        if exact_rng:
-            rng = np.random.default_rng(seed)
-            got = [one(name, set(g[gene_col]), rng) for name, g in pdf.groupby(set_col, sort=True)]
-        else:
-            name = pdf[set_col].iloc[0]
-            own = int.from_bytes(hashlib.sha256(f"{seed}/{name}".encode()).digest()[:8], "big")
-            got = [one(name, set(pdf[gene_col]), np.random.default_rng(own))]
-        return pd.DataFrame([g for g in got if g], columns=columns)
+            mean = float(np.abs(null).mean()) if n_permutations else 0.0
+            p = float((null >= es).mean() if es >= 0 else (null <= es).mean()) if n_permutations else 0.0
+            got.append((name, es, es / mean if mean else 0.0, p or 1 / (n_permutations + 1), g[gene_col].nunique(), len(at)))
+        return pd.DataFrame(got, columns=[set_col, "es", "nes", "p_value", "n_genes", "n_hits"])
 
     members = membership.select(F.col(set_col).cast("string").alias(set_col), gene_col).distinct()
-    groups = members.groupBy() if exact_rng else members.groupBy(set_col)
-    return groups.applyInPandas(per_set, f"{set_col} string, es double, nes double, p_value double, n_genes long, n_hits long")
+    return members.groupBy().applyInPandas(all_sets, f"{set_col} string, es double, nes double, p_value double, n_genes long, n_hits long")
 
 
 def run_enrichment(results: DataFrame, membership: DataFrame, *, method: str = "fisher", q_threshold: float = 0.05, n_permutations: int = 1000, seed: int = 42, fdr_method: str = "fdr_bh", alpha: float = 0.05, set_col: str = "pathway", gene_col: str = "gene", feature_col: str = "feature", effect_col: str = "cohens_d") -> DataFrame:

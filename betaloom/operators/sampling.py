@@ -1,21 +1,12 @@
-"""Stratified subsets of sites and samples: in distributed form, and reproducible from a seed on the driver."""
+"""Stratified subsets of sites and samples, reproducible from a seed: about n rows by rounded shares, or exactly n."""
 
 from __future__ import annotations
 
-import random
-import re
-from collections import defaultdict
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from betaloom.functions.ids import SITE_ID
-
-
-def _allocate(sizes: dict[str, int], n: int, least: int) -> dict[str, int]:
-    """max(least, share of n rounded half to even), at most the stratum's size."""
-    total = sum(sizes.values())
-    return {k: min(size, max(least, round(size / total * n))) for k, size in sizes.items()} if total else {}
+from betaloom.operators.order import numbered
+from betaloom.sources.scratch import materialize
 
 
 def stratified(rows: DataFrame, n: int, *, stratum_col: str, key_col: str, least: int = 1, seed: int = 42) -> DataFrame:
@@ -36,40 +27,77 @@ def stratified(rows: DataFrame, n: int, *, stratum_col: str, key_col: str, least
     return ranked.where("__rank <= __want").drop("__rank", "__want", "__hash", "__most")
 
 
-def select_sites(header: list[str], n: int, seed: int = 42, chromosomes: list[str] | None = None) -> list[str]:
-    """Exactly min(n, all) site ids of a header by share of chromosome: short sides are filled from the rest, long ones cut."""
-    rng, groups = random.Random(seed), defaultdict(list)
-    for site in header:
-        m = re.match(SITE_ID, site)
-        if m and (chromosomes is None or m[1] in chromosomes):
-            groups[m[1]].append(site)
-    everything = [s for g in groups.values() for s in g]
-    n = min(n, len(everything))
-    picked = [s for k, quota in _allocate({k: len(groups[k]) for k in sorted(groups)}, n, 1).items() for s in rng.sample(groups[k], quota)]
-    if len(picked) > n:
-        picked = rng.sample(picked, n)
-    elif len(picked) < n:
-        have = set(picked)
-        picked += rng.sample([s for s in everything if s not in have], n - len(picked))
-    return sorted(picked)
-
-
-def select_samples(samples: list[str], n: int, categories: dict[str, str] | None = None, *, least: int = 1, seed: int = 42) -> list[str]:
-    """Exactly min(n, all) samples by share of category; plain random choice when no sample has one."""
-    rng, n = random.Random(seed), min(n, len(samples))
-    groups = defaultdict(list)
-    for s in samples:
-        if categories and s in categories:
-            groups[categories[s]].append(s)
-    if not groups:
-        return sorted(rng.sample(samples, n))
-    picked = [s for k, quota in _allocate({k: len(groups[k]) for k in sorted(groups)}, n, least).items() for s in rng.sample(groups[k], quota)]
-    if len(picked) > n:
-        picked = rng.sample(picked, n)
-    elif len(picked) < n:
-        have = set(picked)
-        picked += rng.sample([s for s in samples if s not in have], n - len(picked))
-    return sorted(picked)
+def _all() -> WindowSpec:
+    """All strata, one row each."""
+    return Window.partitionBy()
+
+
+def _dealt(strata: DataFrame, amount: Column, weight: Column, name: str) -> DataFrame:
+    """strata with `amount`, the same for all rows and at most the sum of weights, dealt by weight in whole parts.
+
+    What rounding down leaves goes, one each, to the largest remainders, ties by stratum; none gets more than its weight.
+    """
+    rows = strata.withColumn("__amount", amount).withColumn("__weight", weight).withColumn("__whole", F.sum("__weight").over(_all()))
+    rows = rows.withColumn(name, F.coalesce(F.expr("case when __whole > 0 then __amount * __weight div __whole end"), F.lit(0).cast("long")))
+    rows = rows.withColumn("__rest", F.expr("case when __whole > 0 then __amount * __weight % __whole else 0 end")).withColumn("__left", F.col("__amount") - F.sum(name).over(_all()))
+    nth = F.row_number().over(_all().orderBy(F.desc("__rest"), F.col("stratum").asc_nulls_last()))
+    return rows.withColumn(name, F.col(name) + (nth <= F.col("__left")).cast("long")).drop("__amount", "__weight", "__whole", "__rest", "__left")
+
+
+def quotas(sizes: DataFrame, n: int, least: int = 1) -> DataFrame:
+    """(stratum, size, quota) from (stratum, size): whole numbers that sum to min(n, all rows).
+
+    A stratum's quota is its share of n, rounded half to even, but no less than min(least, size). Where these sum to more
+    than n, strata give back by what they have above that floor, and only if n is below all floors together do the floors
+    give way; where they sum to less, the rest is dealt by how many rows strata have left. The null stratum has no share:
+    it only fills. Decided on the strata alone, whose number bounds the work.
+    """
+    rows = sizes.select("stratum", F.col("size").cast("long").alias("size")).withColumn("want", F.least(F.lit(n).cast("long"), F.sum("size").over(_all())))
+    named, known = F.sum(F.when(F.col("stratum").isNotNull(), F.col("size"))).over(_all()), F.col("stratum").isNotNull()
+    share = F.bround(F.col("size") * F.col("want").cast("double") / named).cast("long")
+    rows = rows.withColumn("floor", F.when(known, F.least("size", F.lit(least).cast("long"))).otherwise(F.lit(0).cast("long"))).withColumn("base", F.when(known, F.least("size", F.greatest("floor", share))).otherwise(F.lit(0).cast("long")))
+    rows = rows.withColumn("over", F.sum("base").over(_all()) - F.col("want")).withColumn("above", F.sum(F.col("base") - F.col("floor")).over(_all()))
+    back = F.greatest("over", F.lit(0))
+    rows = _dealt(rows, F.least(back, F.col("above")), F.col("base") - F.col("floor"), "back")
+    rows = _dealt(rows, F.greatest(F.col("over") - F.col("above"), F.lit(0)), F.col("floor"), "more_back")
+    rows = _dealt(rows, F.greatest(-F.col("over"), F.lit(0)), F.col("size") - F.col("base"), "filled")
+    return rows.select("stratum", "size", (F.col("base") - F.col("back") - F.col("more_back") + F.col("filled")).alias("quota"))
+
+
+def stratified_exact(rows: DataFrame, n: int, *, stratum_col: str, key_col: str, least: int = 1, seed: int = 42) -> DataFrame:
+    """Exactly min(n, all) rows: from each stratum as many as quotas() says, those with the smallest md5("key:seed").
+
+    Rows are numbered over the whole table by stratum and hash (see order.numbered), so a stratum that holds most rows is
+    no task of its own; rows whose hash is too large to be taken, by ten standard deviations, are left out before that.
+    Rows of equal keys are rows of their own, taken in any order among themselves. Null strata only fill, see quotas().
+    """
+    sizes = rows.groupBy(F.col(stratum_col).alias("stratum")).agg(F.count(F.lit(1)).alias("size"))
+    wanted = materialize(quotas(sizes, n, least), "quotas")
+    share = F.least(F.lit(1.0), (F.col("quota") + 10 * F.sqrt("quota") + 50) / F.col("size"))
+    bounds = wanted.where("quota > 0").select(F.col("stratum").alias("__stratum"), F.col("quota").alias("__quota"), F.lower(F.lpad(F.hex(F.least(F.floor(share * 4294967296.0), F.lit(4294967295)).cast("long")), 8, "0")).alias("__most"))
+    hashed = rows.withColumn("__hash", F.md5(F.concat_ws(":", F.col(key_col).cast("string"), F.lit(str(seed)))))
+    near = hashed.join(bounds, F.col(stratum_col).eqNullSafe(F.col("__stratum"))).where(F.left("__hash", F.lit(8)) <= F.col("__most")).drop("__most", "__stratum")
+    ranked = numbered(near, [F.col(stratum_col), F.col("__hash"), F.col(key_col)], name="__n")
+    first = ranked.groupBy(F.col(stratum_col).alias("__stratum")).agg(F.min("__n").alias("__first"))
+    taken = ranked.join(first, F.col(stratum_col).eqNullSafe(F.col("__stratum"))).where(F.col("__n") - F.col("__first") < F.col("__quota"))
+    return taken.select(*rows.columns)
+
+
+def select_sites(sites: DataFrame, n: int, seed: int = 42, chromosomes: list[str] | None = None) -> DataFrame:
+    """Exactly min(n, all) of the sites (cpg_id, chrom), distinct, by share of chromosome, at least one of each."""
+    every = sites.select("cpg_id", "chrom").distinct()
+    return stratified_exact(every.where(F.col("chrom").isin(chromosomes)) if chromosomes is not None else every, n, stratum_col="chrom", key_col="cpg_id", seed=seed)
+
+
+def select_samples(samples: DataFrame, n: int, categories: DataFrame | None = None, *, least: int = 1, seed: int = 42) -> DataFrame:
+    """Exactly min(n, all) of the samples (sample_id), distinct, with clinical_category: by share of category where they have one.
+
+    categories: barcode, clinical_category; samples without one fill up, and are chosen alike when no sample has one.
+    """
+    every = samples.select("sample_id").distinct()
+    known = categories.select(F.col("barcode").alias("sample_id"), "clinical_category").dropDuplicates(["sample_id"]) if categories is not None else None
+    named = every.join(known, "sample_id", "left") if known is not None else every.withColumn("clinical_category", F.lit(None).cast("string"))
+    return stratified_exact(named, n, stratum_col="clinical_category", key_col="sample_id", least=least, seed=seed)
 
 
 def subset(beta: DataFrame, sites: DataFrame, samples: DataFrame) -> DataFrame:

@@ -185,10 +185,36 @@ for _m in ("by", "holm", "bonferroni"):
 sql("fdr_large", f"SELECT feature, {rs('q_value', 8)}, coalesce(q_value <= 0.05, false) AS significant FROM adj", "adj")
 sql("fisher_enrich", f"SELECT pathway, {rs('odds_ratio p_value')}, n_overlap, n_significant, n_pathway, n_background FROM fis", "fis")
 sql("rank_metric", f"SELECT gene, {r('metric')} FROM metric", "metric")
-sql("gsea_es", f"""SELECT pathway, {r('CASE WHEN n_hits IN (0, n) THEN 0 WHEN abs(hi) >= abs(lo) THEN hi ELSE lo END', 'es')}, n_genes, n_hits FROM (SELECT pathway, max(es) AS hi, min(es) AS lo, any_value(n_genes) AS n_genes, any_value(n_hits) AS n_hits, any_value(n) AS n FROM (
+sql("gsea_es", f"""SELECT pathway, {r('CASE WHEN n_hits IN (0, n) THEN 0 WHEN abs(hi) + 1e-12 >= abs(lo) THEN hi ELSE lo END', 'es')}, n_genes, n_hits FROM (SELECT pathway, max(es) AS hi, min(es) AS lo, any_value(n_genes) AS n_genes, any_value(n_hits) AS n_hits, any_value(n) AS n FROM (
   SELECT pathway, n_genes, n_hits, n, sum(CASE WHEN hit THEN abs(metric) / norm ELSE -1.0::DOUBLE / (n - n_hits) END) OVER (PARTITION BY pathway ORDER BY metric DESC, gene ROWS UNBOUNDED PRECEDING) AS es FROM (
     SELECT s.pathway, m.gene, m.metric, f.gene IS NOT NULL AS hit, s.n_genes, sum(CASE WHEN f.gene IS NOT NULL THEN abs(m.metric) END) OVER p AS norm, count(f.gene) OVER p AS n_hits, count(*) OVER p AS n
     FROM (SELECT pathway, count(*) AS n_genes FROM fsets GROUP BY pathway) s CROSS JOIN metric m LEFT JOIN fsets f ON f.pathway = s.pathway AND f.gene = m.gene WINDOW p AS (PARTITION BY s.pathway))) GROUP BY pathway)""", "metric", "fsets")
+
+
+def gsea(permutations: int, seed: int) -> str:
+    """CTEs that end in gsea (pathway, es, nes, p_value, n_genes, n_hits): random sets are the first places by md5 of seed, permutation and place."""
+    return f"""places AS (SELECT gene, abs(metric) AS w, row_number() OVER (ORDER BY metric DESC, gene) AS place, count(*) OVER () AS n FROM metric),
+hit AS (SELECT pathway, place, w, n, count(*) OVER s AS n_genes, count(place) OVER s AS n_hits, sum(w) OVER s AS norm FROM fsets LEFT JOIN places USING (gene) WINDOW s AS (PARTITION BY pathway)),
+observed AS (SELECT pathway, n_genes, n_hits, round(CASE WHEN greatest(max(up), 0) + 1e-12 >= -least(min(up - step), CASE WHEN sum(step) = 0 THEN -1 ELSE 0 END) THEN greatest(max(up), 0) ELSE least(min(up - step), CASE WHEN sum(step) = 0 THEN -1 ELSE 0 END) END, 10) AS es FROM (
+  SELECT pathway, n_genes, n_hits, w / coalesce(nullif(norm, 0), 1) AS step, sum(w) OVER r / coalesce(nullif(norm, 0), 1) - (place - row_number() OVER r) / (n - n_hits)::DOUBLE AS up
+  FROM hit WHERE place IS NOT NULL AND n_hits < n WINDOW r AS (PARTITION BY pathway ORDER BY place ROWS UNBOUNDED PRECEDING)) GROUP BY ALL),
+sizes AS (SELECT DISTINCT n_hits FROM observed),
+drawn AS (SELECT p, place, w, n, row_number() OVER (PARTITION BY p ORDER BY h, place) AS k FROM (SELECT p, place, w, n, md5('{seed}/' || p || '/' || place) AS h FROM places, (SELECT unnest(range(1, {permutations} + 1)) AS p))),
+walk AS (SELECT n_hits, p, w / coalesce(nullif(sum(w) OVER (PARTITION BY n_hits, p), 0), 1) AS step,
+  sum(w) OVER r / coalesce(nullif(sum(w) OVER (PARTITION BY n_hits, p), 0), 1) - (place - row_number() OVER r) / (n - n_hits)::DOUBLE AS up
+  FROM drawn JOIN sizes ON k <= n_hits WINDOW r AS (PARTITION BY n_hits, p ORDER BY place ROWS UNBOUNDED PRECEDING)),
+nulls AS (SELECT n_hits, p, round(CASE WHEN greatest(max(up), 0) + 1e-12 >= -least(min(up - step), CASE WHEN sum(step) = 0 THEN -1 ELSE 0 END) THEN greatest(max(up), 0) ELSE least(min(up - step), CASE WHEN sum(step) = 0 THEN -1 ELSE 0 END) END, 10) AS v FROM walk GROUP BY n_hits, p),
+gsea AS (SELECT pathway, es, n_genes, n_hits, coalesce(es / nullif(avg(abs(v)), 0), 0) AS nes, greatest(count(*) FILTER (CASE WHEN es >= 0 THEN v >= es ELSE v <= es END) / {permutations}::DOUBLE, 1 / ({permutations} + 1)::DOUBLE) AS p_value
+  FROM observed JOIN nulls USING (n_hits) GROUP BY pathway, es, n_genes, n_hits)"""
+
+
+CTES["gsea1000"], CTES["gsea200"] = gsea(1000, 42), gsea(200, 7)
+CTES["gadj"] = """gadj AS (SELECT pathway, round(es, 8) + 0.0 AS es, round(nes, 8) + 0.0 AS nes, round(p_value, 8) + 0.0 AS p_value, n_genes, n_hits, round(q, 8) + 0.0 AS q_value, q <= 0.05 AS significant FROM (
+  SELECT *, least(1, min(p_value * m / k) OVER (ORDER BY k DESC)) AS q FROM (SELECT *, count(*) OVER () AS m, row_number() OVER (ORDER BY p_value, pathway) AS k FROM gsea)))"""
+NEEDS |= {"gsea1000": ["metric", "fsets"], "gsea200": ["metric", "fsets"], "gadj": ["gsea200"]}
+sql("gsea_perm", f"SELECT pathway, n_genes, n_hits, p_value, {rs('es nes')} FROM gsea", "gsea1000")
+sql("gsea_enrichment", "SELECT * FROM gadj", "gadj")
+sql("rank_pathway_nes", f"SELECT pathway, n_hits, {rs('q_value p_value nes es score', 5)} FROM (SELECT *, abs(nes) * -log10(greatest(q_value, 1e-300)) AS score FROM gadj ORDER BY score DESC, pathway LIMIT 20)", "gadj")
 sql("rank_cpg", f"SELECT cpg_id, {rs('effect_size q_value score')}, length(cpg_id)::INTEGER AS width FROM rc", "rc")
 sql("rank_gene", f"SELECT gene, {rs('effect_size q_value delta_mean diff_score')}, significant, 0.0::DOUBLE AS enrichment_bonus, {r('diff_score', 'score')} FROM (SELECT feature AS gene, cohens_d AS effect_size, q_value, delta_mean, coalesce(q_value <= 0.05, false) AS significant, abs(cohens_d) * -log10(coalesce(q_value, 1e-300)) AS diff_score FROM adj ORDER BY 6 DESC, 1 LIMIT 50)", "adj")
 sql("rank_gene_bonus", f"SELECT gene, significant, {rs('effect_size q_value delta_mean diff_score enrichment_bonus score', 5)} FROM rg", "rg")
@@ -220,6 +246,28 @@ sql("keep_first", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM li
 sql("exclusion_anti", "SELECT * FROM merged WHERE split_part(barcode, '-', 2)::INTEGER % 10 <> 0", "merged")
 sql("symbol_map", "SELECT DISTINCT 'S' || (p_partkey % 100) AS gene_symbol, p_brand AS pathway_id FROM part WHERE p_partkey % 5 <> 0")
 sql("gtf_parse", "SELECT 'E' || (p_partkey % 700) AS gene_id, p_name AS gene_symbol, 'chr' || (p_partkey % 3 + 1) AS chrom, p_partkey::BIGINT AS start, (p_partkey + p_size)::BIGINT AS \"end\", '+' AS strand, p_type AS biotype FROM part WHERE p_partkey % 4 <> 0 QUALIFY row_number() OVER (PARTITION BY p_partkey % 700 ORDER BY p_partkey) = 1")
+CTES["terms"] = "terms AS (SELECT *, 'GO:' || lpad(p_partkey::VARCHAR, 7, '0') AS id, 'GO:' || lpad((p_partkey // 2)::VARCHAR, 7, '0') AS a, 'GO:' || lpad((p_partkey // 3)::VARCHAR, 7, '0') AS b FROM part WHERE p_partkey % 50 <> 0 AND p_partkey % 10 <> 7)"
+CTES["tedges"] = "tedges AS (SELECT id AS c, a AS p FROM terms WHERE p_partkey >= 2 UNION SELECT id, b FROM terms WHERE p_partkey >= 3)"
+CTES["up"] = "up(term, ancestor, distance) AS (SELECT c, p, 1 FROM tedges UNION SELECT up.term, e.p, up.distance + 1 FROM up JOIN tedges e ON up.ancestor = e.c)"
+CTES["closed"] = "closed AS (SELECT term, ancestor, min(distance)::INTEGER AS distance FROM up GROUP BY ALL)"
+NEEDS |= {"tedges": ["terms"], "up": ["tedges"], "closed": ["up"]}
+sql("obo_parse", "SELECT id AS term_id, p_name AS name, 'biological_process' AS namespace, concat_ws('; ', CASE WHEN p_partkey >= 2 THEN 'is_a ' || a END, CASE WHEN p_partkey >= 3 THEN 'part_of ' || b END, 'regulates GO:0000001') AS parents FROM terms", "terms")
+sql("go_closure", "SELECT * FROM closed", "closed")
+sql("go_cycles", "SELECT term, min(distance)::INTEGER AS distance FROM around WHERE term = ancestor GROUP BY term", "tedges")
+ORACLES["go_cycles"] = "WITH RECURSIVE " + ORACLES["go_cycles"].removeprefix("WITH ").replace("\nSELECT term, min", """,
+loop AS (SELECT c, p FROM tedges UNION SELECT 'GO:0000001', 'GO:0000012'),
+around(term, ancestor, distance) AS (SELECT c, p, 1 FROM loop WHERE c IN (SELECT 'GO:' || lpad(x::VARCHAR, 7, '0') FROM range(1, 13) r(x)) UNION SELECT a.term, e.p, a.distance + 1 FROM around a JOIN loop e ON a.ancestor = e.c WHERE a.distance < 12)
+SELECT term, min""")
+sql("go_term_sizes", """SELECT term, count(DISTINCT gene) FILTER (own) AS n_direct, count(DISTINCT gene) AS n_members FROM (SELECT gene, term, true AS own FROM notes UNION ALL SELECT gene, ancestor, false FROM notes JOIN closed USING (term)) GROUP BY term""", "closed")
+ORACLES["go_term_sizes"] = ORACLES["go_term_sizes"].replace("\nSELECT term, count", ",\nnotes AS (SELECT DISTINCT 'S' || (l_orderkey % 500) AS gene, 'GO:' || lpad(l_partkey::VARCHAR, 7, '0') AS term FROM lineitem)\nSELECT term, count")
+sql("go_ancestor_rollup", f"SELECT term, sample_id, {r('avg(value)', 'value')}, count(value) AS n_members FROM gf JOIN (SELECT 'g' || id AS gene, 'GO:' || lpad((id + 16)::VARCHAR, 7, '0') AS term FROM dims WHERE id < 16 UNION SELECT 'g' || id, ancestor FROM dims JOIN closed ON closed.term = 'GO:' || lpad((id + 16)::VARCHAR, 7, '0') WHERE id < 16) USING (gene) GROUP BY term, sample_id", "gf", "closed", "dims")
+for _name in ("go_closure", "go_term_sizes", "go_ancestor_rollup"):
+    ORACLES[_name] = "WITH RECURSIVE " + ORACLES[_name].removeprefix("WITH ")
+CTES["numbers"] = "numbers AS (SELECT gene_id, gene_symbol, (row_number() OVER (ORDER BY gene_id) - 1) // 100 AS batch FROM genes)"
+CTES["sent"] = "sent AS (SELECT batch, 'gene-' || lpad(batch::VARCHAR, 8, '0') AS name, count(*) AS n_rows, CASE WHEN batch % 10 = 3 THEN 'present' WHEN bool_or(gene_id LIKE '%777') THEN 'failed' ELSE 'written' END AS status FROM numbers GROUP BY batch)"
+NEEDS |= {"numbers": ["genes"], "sent": ["numbers"]}
+sql("sink_outcomes", "SELECT *, CASE WHEN status = 'failed' THEN 'ValueError: 777' END AS error FROM sent", "sent")
+sql("sink_failed_rows", "SELECT gene_id, gene_symbol, batch FROM numbers WHERE batch IN (SELECT batch FROM sent WHERE status = 'failed')", "sent")
 sql("gaf_parse", "SELECT DISTINCT p_brand AS gene_symbol, 'GO:' || p_size AS go_id, 'IEA' AS evidence_code, CASE p_partkey % 4 WHEN 0 THEN 'molecular_function' WHEN 1 THEN 'biological_process' WHEN 2 THEN 'cellular_component' ELSE 'Z' END AS aspect, 'involved_in' AS qualifier FROM part WHERE p_partkey % 5 <> 0")
 sql("reactome_parse", "SELECT DISTINCT 'ENSG' || p_partkey AS gene_id, 'R-' || p_brand AS pathway_id, 'TAS' AS evidence_code FROM part WHERE p_partkey % 3 <> 0")
 sql("reactome_pathway_parse", "SELECT 'R-' || p_partkey AS pathway_id, p_name AS pathway_name, 'Reactome' AS pathway_source FROM part WHERE p_partkey % 3 <> 0")
@@ -259,4 +307,26 @@ sql("graph_validation", " UNION ALL ".join(f"SELECT '{a}' AS name, count(*) > 0
 STRATA = """SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {s} ORDER BY md5({k} || ':42'), {k0}) AS n, count(*) OVER (PARTITION BY {s}) AS size, count(*) OVER () AS total FROM {t}) WHERE n <= least(size, greatest({least}, round_even(size * {want}.0::DOUBLE / total, 0)))"""
 sql("stratified_sites", STRATA.format(cols="chrom, cpg_id", s="chrom", k="cpg_id", k0="cpg_id", t="points", least=1, want=1000), "points")
 sql("stratified_samples", STRATA.format(cols="clinical_category, sample_id", s="clinical_category", k="sample_id::VARCHAR", k0="sample_id", t="meta", least=3, want=50), "meta")
+
+
+def quota(source: str, n: int, least: int) -> str:
+    """(stratum, size, quota) over source (s): shares of n, given back or filled by largest remainders."""
+    ks = (1, 2, 3)
+    whole = ", ".join(f"(sum(w{k}) OVER ())::BIGINT AS t{k}" for k in ks)
+    down = ", ".join(f"CASE WHEN t{k} > 0 THEN a{k} * w{k} // t{k} ELSE 0 END AS d{k}, CASE WHEN t{k} > 0 THEN a{k} * w{k} % t{k} ELSE 0 END AS r{k}" for k in ks)
+    up = ", ".join(f"d{k} + (row_number() OVER (ORDER BY r{k} DESC, stratum NULLS LAST) <= a{k} - sum(d{k}) OVER ())::BIGINT AS x{k}" for k in ks)
+    return f"""WITH q0 AS (SELECT s AS stratum, count(*) AS size FROM {source} GROUP BY s),
+q1 AS (SELECT *, least({n}, sum(size) OVER ())::BIGINT AS want, (sum(size) FILTER (stratum IS NOT NULL) OVER ())::BIGINT AS named, CASE WHEN stratum IS NULL THEN 0 ELSE least({least}, size) END AS low FROM q0),
+q2 AS (SELECT *, CASE WHEN stratum IS NULL THEN 0 ELSE least(size, greatest(low, round_even(size * want::DOUBLE / named, 0)::BIGINT)) END AS base FROM q1),
+q3 AS (SELECT *, (sum(base) OVER ())::BIGINT - want AS over_, (sum(base - low) OVER ())::BIGINT AS above FROM q2),
+q4 AS (SELECT *, least(greatest(over_, 0), above) AS a1, base - low AS w1, greatest(over_ - above, 0) AS a2, low AS w2, greatest(-over_, 0) AS a3, size - base AS w3 FROM q3),
+q5 AS (SELECT *, {whole} FROM q4), q6 AS (SELECT *, {down} FROM q5), q7 AS (SELECT *, {up} FROM q6)
+SELECT stratum, size, (base - x1 - x2 + x3)::BIGINT AS quota FROM q7"""
+
+
+CTES["cust"] = "cust AS (SELECT 'C' || c_custkey AS k, CASE WHEN c_custkey % 9 = 0 THEN NULL WHEN c_custkey % 40 = 1 THEN 'rare' ELSE c_mktsegment END AS s FROM customer)"
+EXACT = "SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY md5(k || ':42'), k) AS n FROM {t}) d JOIN ({q}) q ON d.s IS NOT DISTINCT FROM q.stratum WHERE n <= quota"
+sql("exact_sites", EXACT.format(cols="k AS cpg_id, s AS chrom", t="(SELECT cpg_id AS k, chrom AS s FROM points)", q=quota("(SELECT chrom AS s FROM points)", 1001, 1)), "points")
+sql("exact_samples", EXACT.format(cols="k AS sample_id, s AS clinical_category", t="cust", q=quota("cust", 101, 19)), "cust")
+sql("quota_table", " UNION ALL ".join(f"SELECT *, {n}::INTEGER AS n FROM ({quota('cust', n, least)})" for n, least in ((3, 2), (40, 9), (97, 1), (10**9, 5))), "cust")
 sql("subset_extract", f"SELECT sample_id, cpg_id, {r('beta')} FROM cells JOIN meta USING (sample_id) WHERE clinical_category = '1' AND cpg_id IN ('chr1_1000', 'chr2_2000', 'chr3_7000')", "cells", "meta")

@@ -361,11 +361,9 @@ def _commands() -> dict:
     cfg = lambda a: Config(mode=a.mode, data=a.data, results=a.results)
 
     def subset(s, a):
-        header = beta_csv.read_header(s, a.beta_matrix)[1:]
-        names = [r[0] for r in beta_csv.sample_ids(s, a.beta_matrix).collect()]  # one per sample
-        groups = {r["barcode"]: r["clinical_category"] for r in read(s, a.clinical_metadata).collect()} if a.clinical_metadata else None
-        sites = s.createDataFrame([(x,) for x in sampling.select_sites(header, a.n_cpgs, a.seed)], "cpg_id string")
-        samples = s.createDataFrame([(x,) for x in sampling.select_samples(names, a.n_samples, groups, seed=a.seed)], "sample_id string")
+        header = beta_csv.header_index(s, beta_csv.read_header(s, a.beta_matrix))
+        sites = sampling.select_sites(header, a.n_cpgs, a.seed)
+        samples = sampling.select_samples(beta_csv.sample_ids(s, a.beta_matrix), a.n_samples, read(s, a.clinical_metadata) if a.clinical_metadata else None, seed=a.seed)
         cells = sampling.subset(beta_csv.read_beta_csv(s, a.beta_matrix), sites, samples)
         write(cells.select("sample_id", "sample_ord", "pos", "cpg_id", "beta", "chrom"), a.output, partition_by=["chrom"])
 

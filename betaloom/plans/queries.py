@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from betaloom.functions import ids
-from betaloom.operators import clinical, compare, enrich, graph, hms, intervals, matrix, order, rank, report, rollup, sampling
+from betaloom.operators import clinical, compare, enrich, graph, hms, intervals, matrix, ontology, order, rank, report, rollup, sampling
 from betaloom.sources import annotations as ann
-from betaloom.sources import beta_csv, scratch, site_store
+from betaloom.sources import batches, beta_csv, scratch, site_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -471,7 +471,23 @@ def gsea_es(spark, sf):
 
 @query
 def gsea_perm(spark, sf):
-    return enrich.gsea_preranked(_ranked(spark, sf), feature_sets(spark, sf))
+    return rounded(enrich.gsea_preranked(_ranked(spark, sf), feature_sets(spark, sf)), "es", "nes")
+
+
+def _gsea(spark, sf):
+    found = enrich.run_enrichment(results(spark, sf), feature_sets(spark, sf), method="gsea", n_permutations=200, seed=7)
+    return found.withColumns({c: r(c, 8) for c in ("p_value", "q_value", "nes", "es")})
+
+
+@query
+def gsea_enrichment(spark, sf):
+    return _gsea(spark, sf).select("pathway", "es", "nes", "p_value", "q_value", "significant", "n_genes", "n_hits")
+
+
+@query
+def rank_pathway_nes(spark, sf):
+    ranked = rank.rank_pathways(_gsea(spark, sf))
+    return rounded(ranked.select("pathway", "q_value", "p_value", "nes", "es", "n_hits", "score"), "q_value", "p_value", "nes", "es", "score", digits=5)
 
 
 # ranking and report
@@ -675,6 +691,71 @@ def gtf_parse(spark, sf):
     return ann.gtf(_lines(table(spark, sf, "part"), expr, "p_partkey"))
 
 
+def _stanzas(spark, sf):
+    """OBO text made of parts: a term's parents are the terms at half and at a third of its number; one in ten is obsolete."""
+    line = lambda k, b: f"case when p_partkey div {k} > 0 then concat('{b}', lpad(cast(p_partkey div {k} as string), 7, '0'), ' ! a parent\\n') else '' end"
+    head = "case when p_partkey % 50 = 0 then '[Typedef]\\n' else '\\n[Term]\\n' end"
+    text = f"concat({head}, 'id: GO:', lpad(cast(p_partkey as string), 7, '0'), '\\nname: ', p_name, '\\nnamespace: biological_process\\ndef: \"is_a: none\"\\n', {line(2, 'is_a: GO:')}, {line(3, 'relationship: part_of GO:')}, 'relationship: regulates GO:0000001\\n', case when p_partkey % 10 = 7 then 'is_obsolete: true\\n' else '' end)"
+    return table(spark, sf, "part").selectExpr(f"{text} value")
+
+
+@query
+def obo_parse(spark, sf):
+    terms = ann.obo_terms(_stanzas(spark, sf))
+    return terms.select("term_id", "name", "namespace", F.array_join(F.transform("parents", lambda p: F.concat_ws(" ", p["relation"], p["parent_id"])), "; ").alias("parents"))
+
+
+def _closed(spark, sf):
+    return ontology.closure(ann.obo_edges(ann.obo_terms(_stanzas(spark, sf))))
+
+
+@query
+def go_closure(spark, sf):
+    return _closed(spark, sf)
+
+
+@query
+def go_cycles(spark, sf):
+    """Terms on a cycle once the root is put below one of its descendants."""
+    edges = ann.obo_edges(ann.obo_terms(_stanzas(spark, sf))).select("child", "parent")
+    wrong = spark.createDataFrame([("GO:0000001", "GO:0000012")], "child string, parent string")
+    return ontology.cycles(ontology.closure(edges.unionByName(wrong)))
+
+
+@query
+def go_term_sizes(spark, sf):
+    notes = table(spark, sf, "lineitem").selectExpr("concat('S', cast(l_orderkey % 500 as string)) gene", "concat('GO:', lpad(cast(l_partkey as string), 7, '0')) term")
+    return ontology.term_sizes(notes, _closed(spark, sf))
+
+
+@query
+def go_ancestor_rollup(spark, sf):
+    notes = spark.range(DIMS // 4).selectExpr("concat('g', cast(id as string)) gene", "concat('GO:', lpad(cast(id + 16 as string), 7, '0')) term")
+    return rounded(rollup.rollup_sets(gene_features(spark, sf), ontology.with_ancestors(notes, _closed(spark, sf)), set_col="term"), "value")
+
+
+class _Choosy:
+    """A sink that keeps nothing and refuses batches with a gene whose number ends in 777."""
+
+    def has(self, name):
+        return name.endswith("3")
+
+    def write(self, name, rows):
+        if rows["gene_id"].str.endswith("777").any():
+            raise ValueError("777")
+
+
+@query
+def sink_outcomes(spark, sf):
+    outcomes, _ = batches.write_batches(genes(spark, sf).select("gene_id", "gene_symbol"), [F.col("gene_id")], _Choosy, table="gene", size=100)
+    return outcomes
+
+
+@query
+def sink_failed_rows(spark, sf):
+    return batches.write_batches(genes(spark, sf).select("gene_id", "gene_symbol"), [F.col("gene_id")], _Choosy, table="gene", size=100)[1]
+
+
 @query
 def gaf_parse(spark, sf):
     expr = "concat('DB\\tid\\t', p_brand, '\\tinvolved_in\\tGO:', cast(p_size as string), '\\tref\\tIEA\\t\\t', case p_partkey % 4 when 0 then 'F' when 1 then 'P' when 2 then 'C' else 'Z' end, '\\t\\t\\tprotein\\ttaxon:', case when p_partkey % 5 = 0 then '10090' else '9606' end, '\\t2020\\tDB')"
@@ -806,6 +887,32 @@ def graph_spot_check(spark, sf):
 # sampling
 
 
+@query
+def exact_sites(spark, sf):
+    return sampling.select_sites(points(spark, sf), 1001)
+
+
+def _customers(spark, sf):
+    return table(spark, sf, "customer").selectExpr("concat('C', cast(c_custkey as string)) barcode", "case when c_custkey % 9 = 0 then null when c_custkey % 40 = 1 then 'rare' else c_mktsegment end clinical_category")
+
+
+@query
+def exact_samples(spark, sf):
+    """More floors than the number wanted leaves to share: strata give back."""
+    c = _customers(spark, sf)
+    return sampling.select_samples(c.select(F.col("barcode").alias("sample_id")), 101, c.where("clinical_category is not null"), least=19)
+
+
+@query
+def quota_table(spark, sf):
+    c = _customers(spark, sf).groupBy(F.col("clinical_category").alias("stratum")).agg(F.count(F.lit(1)).alias("size"))
+    out = None
+    for n, least in ((3, 2), (40, 9), (97, 1), (10**9, 5)):
+        q = sampling.quotas(c, n, least).withColumn("n", F.lit(n))
+        out = q if out is None else out.unionByName(q)
+    return out
+
+
 @query
 def stratified_sites(spark, sf):
     return sampling.stratified(points(spark, sf), 1000, stratum_col="chrom", key_col="cpg_id").select("chrom", "cpg_id")

@@ -54,6 +54,37 @@ def reactome_genes(rows: DataFrame, species: str = "Homo sapiens") -> DataFrame:
     return f.select(strip_version(F.col("f")[0]).alias("gene_id"), F.col("f")[1].alias("pathway_id"), F.col("f")[4].alias("evidence_code")).distinct()
 
 
+def _tag(line: Column, name: str) -> Column:
+    """What follows "name: ", without a trailing comment."""
+    return F.trim(F.regexp_replace(F.substr(line, F.lit(len(name) + 3)), r"\s+!.*$", ""))
+
+
+def obo_stanzas(spark: SparkSession, path: str) -> DataFrame:
+    """The stanzas of an OBO file, a row each (value): blank lines part them, so the file splits as any other text."""
+    return spark.read.text(path, lineSep="\n\n")
+
+
+def obo_terms(stanzas: DataFrame, keep_obsolete: bool = False) -> DataFrame:
+    """term_id, name, namespace, is_obsolete and parents (array of relation, parent_id) of the [Term] stanzas with an id."""
+    of = F.filter(F.transform(F.split("value", r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
+
+    def first(name: str) -> Column:
+        return F.get(F.transform(F.filter("l", lambda x: x.startswith(f"{name}: ")), lambda x: _tag(x, name)), 0)
+
+    lines_ = stanzas.select(of.alias("l")).where(F.get("l", 0) == "[Term]")
+    is_a = F.transform(F.filter("l", lambda x: x.startswith("is_a: ")), lambda x: F.struct(F.lit("is_a").alias("relation"), F.split_part(_tag(x, "is_a"), F.lit(" "), F.lit(1)).alias("parent_id")))
+    related = F.transform(F.filter("l", lambda x: x.startswith("relationship: ")), lambda x: F.struct(F.split_part(_tag(x, "relationship"), F.lit(" "), F.lit(1)).alias("relation"), F.split_part(_tag(x, "relationship"), F.lit(" "), F.lit(2)).alias("parent_id")))
+    out = lines_.select(first("id").alias("term_id"), F.coalesce(first("name"), F.lit("")).alias("name"), F.coalesce(first("namespace"), F.lit("")).alias("namespace"), F.coalesce(first("is_obsolete") == "true", F.lit(False)).alias("is_obsolete"), F.concat(is_a, related).alias("parents"))
+    out = out.where("term_id is not null")
+    return out if keep_obsolete else out.where("not is_obsolete")
+
+
+def obo_edges(terms: DataFrame, relations: tuple[str, ...] = ("is_a", "part_of")) -> DataFrame:
+    """(child, parent, relation) of the wanted relations, distinct."""
+    edges = terms.select(F.col("term_id").alias("child"), F.explode("parents").alias("p")).select("child", F.col("p.parent_id").alias("parent"), F.col("p.relation").alias("relation"))
+    return edges.where(F.col("relation").isin(*relations) & (F.col("parent") != "")).distinct()
+
+
 def islands(rows: DataFrame) -> DataFrame:
     """region_id (the name), chrom, start, end, cpg_count, gc_fraction (percent / 100, blank 0), obs_exp_ratio."""
     f, cell = fields(rows, 11), F.col("f")

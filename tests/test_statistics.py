@@ -201,3 +201,31 @@ def test_weighted_needs_weights(spark):
         rollup.rollup_sites(spark.range(1), spark.range(1), "weighted")
     with pytest.raises(ValueError):
         rollup.rollup_sites(spark.range(1), spark.range(1), "mode")
+
+
+def test_permutation_null_equals_brute_force(spark):
+    import hashlib
+
+    from betaloom.operators.enrich import permutation_null
+
+    metric = [3.0, 2.5, 2.5, 1.0, 0.5, 0.0, -0.25, -1.0, -4.0, -4.5, 7.0, 0.125]
+    ranked = spark.createDataFrame([(f"g{i:02}", m) for i, m in enumerate(metric)], "gene string, metric double")
+    sizes = spark.createDataFrame([(1,), (3,), (3,), (0,), (12,), (11,)], "n_hits long")
+    got = {(r.n_hits, r.permutation): r.es for r in permutation_null(ranked, sizes, 40, seed=9).collect()}
+    assert set(got) == {(n, p) for n in (1, 3, 11) for p in range(1, 41)}
+    weight = [abs(m) for m in sorted(metric, reverse=True)]
+    for (n, p), es in got.items():
+        order = sorted(range(1, 13), key=lambda at: (hashlib.md5(f"9/{p}/{at}".encode()).hexdigest(), at))
+        hits, walk, total = set(order[:n]), [0.0], sum(weight[at - 1] for at in order[:n])
+        for at in range(1, 13):
+            walk.append(walk[-1] + (weight[at - 1] / (total or 1.0) if at in hits else -1 / (12 - n)))
+        top, bottom = max(walk), min(walk)
+        assert es == pytest.approx(top if top + 1e-12 >= -bottom else bottom, abs=1e-9)
+
+
+def test_gsea_plan_collects_no_ranking(spark):
+    ranked = spark.range(3000).selectExpr("concat('g', cast(id as string)) gene", "cast((id * 7919) % 3001 as double) - 1500 metric")
+    sets = spark.range(300).selectExpr("concat('s', cast(id % 4 as string)) pathway", "concat('g', cast(id * 9 as string)) gene")
+    got = {r.pathway: r for r in enrich.gsea_preranked(ranked, sets, 60).collect()}
+    assert len(got) == 4 and all(r.n_hits == 75 and 0 < r.p_value <= 1 and r.nes != 0 for r in got.values())
+    assert enrich.gsea_preranked(ranked.where("false"), sets, 5).count() == 0
