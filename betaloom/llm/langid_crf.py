@@ -4,7 +4,7 @@ Each word has affix, byte n-gram and whole-word (lexicon) features, hashed to we
 transitions say how likely a writer changes language between two words. The forward-backward algorithm gives each
 word's posterior, so code-switched text gets a label per word; a text's language is the one with most posterior mass.
 
-Long chains are cut into segments of SEGMENT words. The transfer matrix of each segment is formed for all segments at
+Long chains are cut into segments of SEGMENT words, very long texts into stretches of such (see Tagger.stretches). The transfer matrix of each segment is formed for all segments at
 once, the states at segment bounds follow from them, and then all segments run forward and backward at once; the
 result is that of one pass over the whole chain.
 """
@@ -24,6 +24,7 @@ from .sample import training_sample
 from .textvec import LETTER, Hasher, freed, mix, slices, utf8, words
 
 BITS, SEGMENT = 18, 64
+STRETCH, LONG = 1 << 18, 2 << 20  # bytes of a stretch, and of a text from which on it is tagged by stretches
 UNDETERMINED = "und"
 
 
@@ -57,11 +58,42 @@ def emissions(weights: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: n
     return score[back]
 
 
-def forward_backward(score: np.ndarray, before: np.ndarray, start: np.ndarray, change: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _transfers(e_at: np.ndarray, size: np.ndarray, fresh: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Transfer matrices of segments: rows are the label before the segment (before a text's first word: any)."""
+    width, seg, labels = e_at.shape
+    moved = np.broadcast_to(np.eye(labels), (seg, labels, labels)).copy()
+    for t in range(width):
+        step = moved @ a if t else np.where(fresh[:, None, None], moved, moved @ a)
+        step = step * e_at[t][:, None, :]
+        step /= step.max(axis=(1, 2), keepdims=True)
+        moved = np.where((size > t)[:, None, None], step, moved)
+    return moved
+
+
+def _transfer(score: np.ndarray, change: np.ndarray, first: bool) -> np.ndarray:
+    """The transfer matrix of one stretch of a text; `first` if the text begins with it."""
+    labels, n = score.shape[1], len(score)
+    parts = -(-n // SEGMENT)
+    padded = np.ones((parts * SEGMENT, labels))
+    padded[:n] = np.exp(score - score.max(axis=1, keepdims=True)) + 1e-30
+    e_at = padded.reshape(parts, SEGMENT, labels).transpose(1, 0, 2)
+    size = np.full(parts, SEGMENT)
+    size[-1] = n - (parts - 1) * SEGMENT
+    fresh = np.zeros(parts, bool)
+    fresh[0] = first
+    out = np.eye(labels)
+    for m in _transfers(e_at, size, fresh, np.exp(change - change.max())):
+        out = out @ m
+        out /= out.max()
+    return out
+
+
+def forward_backward(score: np.ndarray, before: np.ndarray, start: np.ndarray, change: np.ndarray, enter: np.ndarray | None = None, leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Posteriors of all words of chains, and the boundary's forward states for training.
 
     score: of each word and label; before: len + 1 offsets of the chains; start and change: scores of a first label
-    and of a change of labels.
+    and of a change of labels. A chain that is the middle of a longer one has in `enter` the forward state of the word
+    before it and in `leave` the backward state of its last word.
     """
     labels = score.shape[1]
     e = np.exp(score - score.max(axis=1, keepdims=True)) + 1e-30 if len(score) else score
@@ -78,15 +110,8 @@ def forward_backward(score: np.ndarray, before: np.ndarray, start: np.ndarray, c
     for t in range(width):
         has = size > t
         e_at[t, has] = e[begin[has] + t]
-    # transfer matrices of segments: rows are the label before the segment (before the first word: any)
-    moved = np.broadcast_to(np.eye(labels), (seg, labels, labels)).copy()
-    fresh = place == 0
-    for t in range(width):
-        has = size > t
-        step = moved @ a if t else np.where(fresh[:, None, None], moved, moved @ a)
-        step = step * e_at[t][:, None, :]
-        step /= step.max(axis=(1, 2), keepdims=True)
-        moved = np.where(has[:, None, None], step, moved)
+    fresh = (place == 0) & (enter is None)
+    moved = _transfers(e_at, size, fresh, a)
     # states at the bounds of segments
     ahead, behind = np.empty((seg, labels)), np.ones((seg, labels))
     rank = np.argsort(place, kind="stable")
@@ -98,7 +123,9 @@ def forward_backward(score: np.ndarray, before: np.ndarray, start: np.ndarray, c
             state = np.einsum("ni,nij->nj", ahead[prior], moved[prior])
             ahead[level] = state / state.sum(axis=1, keepdims=True)
         else:
-            ahead[level] = pi / pi.sum()
+            ahead[level] = pi / pi.sum() if enter is None else enter
+    if leave is not None:
+        behind[np.cumsum(parts) - 1] = leave
     for level in reversed(levels):
         level = level[place[level] + 1 < parts[chain[level]]]
         after = level + 1
@@ -146,6 +173,45 @@ class Tagger:
         return starts, ends, before, forward_backward(score, before, self.start, self.change)[0]
 
 
+    def stretches(self, data: np.ndarray):
+        """Of one long text (its UTF-8 bytes), stretch by stretch: word starts, ends and posteriors, as of the whole chain.
+
+        Two passes: transfer matrices of all stretches give the states at their bounds, then each is tagged between
+        these. Memory holds one stretch of some STRETCH bytes, cut where a word ends; a run of letters that is longer is
+        cut inside.
+        """
+        bounds = [0]
+        while len(data) - bounds[-1] > STRETCH:
+            gaps = np.flatnonzero(~LETTER[data[bounds[-1] : bounds[-1] + STRETCH]])
+            bounds.append(bounds[-1] + (int(gaps[-1]) + 1 if len(gaps) else STRETCH))
+        parts = [(a, b) for a, b in zip(bounds, [*bounds[1:], len(data)])]
+
+        def scored(a: int, b: int):
+            starts, ends, _ = words(data[a:b], np.array([0, b - a]), LETTER)
+            return starts, ends, emissions(self.weights, data[a:b], starts, ends)
+
+        moved, first = [], True
+        for a, b in parts:
+            score = scored(a, b)[2]
+            moved.append(_transfer(score, self.change, first) if len(score) else None)
+            first = first and not len(score)
+        pi = np.exp(self.start - self.start.max())
+        enter, leave = pi / pi.sum(), [np.ones(len(self.labels))]
+        for m in reversed(moved[1:]):
+            state = leave[-1] if m is None else m @ leave[-1]
+            leave.append(state / state.sum())
+        leave.reverse()
+        first = True
+        for (a, b), m, after in zip(parts, moved, leave):
+            if m is None:
+                continue
+            starts, ends, score = scored(a, b)
+            post = forward_backward(score, np.array([0, len(score)]), self.start, self.change, None if first else enter, after)[0]
+            yield starts + a, ends + a, post
+            enter, first = enter @ m, False
+            enter = enter / enter.sum()
+
+
 def _pieces(text: str, size: int = 1 << 18) -> list[str]:
     """text in parts of about `size` characters, cut at spaces where there are any."""
     out, at = [], 0
@@ -306,7 +372,9 @@ def identify_language(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id"
     n_words comes with it: how many words that mean is over.
 
     Null texts and texts without a letter get "und", score 0 and certainty 0. Ties go to the first language in order. Repeated rows
-    get equal results. An empty table gives no rows.
+    get equal results. An empty table gives no rows. Texts beyond LONG bytes are tagged by stretches, with the same result
+    and memory that does not grow with them beyond the text itself; only a run of letters beyond STRETCH bytes counts as
+    several words.
     """
     text = F.col(text_col)
     keep = [c for c in keep if c.lower() not in ("lang_pred", "score", *(("certainty", "n_words") if certainty else ()))]
@@ -323,7 +391,17 @@ def identify_language(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id"
             pred, score, sure, n_words = [UNDETERMINED] * b.num_rows, np.zeros(b.num_rows), np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64)
             letter, column = b.column("__letter").to_pylist(), b.column("__text")
             for lo, hi in slices(column):
-                _, _, before, post = tagger.tag(*utf8(pc.utf8_lower(column.slice(lo, hi - lo))))
+                data, offsets = utf8(pc.utf8_lower(column.slice(lo, hi - lo)))
+                if len(data) > LONG:  # a text of its own
+                    sums, best, n = np.zeros(len(tagger.labels)), 0.0, 0
+                    for _, _, post in tagger.stretches(data):
+                        sums, best, n = sums + post.sum(axis=0), best + post.max(axis=1).sum(), n + len(post)
+                    if letter[lo] and n:
+                        k = int(sums.argmax())
+                        n_words[lo], sure[lo] = n, min(1.0, max(0.0, (best / n - least) / (1 - least))) if least < 1 else 1.0
+                        pred[lo], score[lo] = tagger.labels[k], min(1.0, sums[k] / n)
+                    continue
+                _, _, before, post = tagger.tag(data, offsets)
                 total = np.concatenate([np.zeros((1, post.shape[1])), np.cumsum(post, axis=0)])
                 mass = (total[before[1:]] - total[before[:-1]]) / np.maximum(np.diff(before), 1)[:, None]
                 n_words[lo:hi] = np.diff(before)
@@ -350,6 +428,15 @@ def tag_words(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_c
         for b in batches:
             for lo, hi in slices(b.column("text")):
                 data, offsets = utf8(pc.utf8_lower(b.column("text").slice(lo, hi - lo)))
+                if len(data) > LONG:
+                    n = 0
+                    for starts, ends, post in tagger.stretches(data):
+                        best = post.argmax(axis=1)
+                        text = [data[i:j].tobytes().decode("utf-8", "ignore") for i, j in zip(starts.tolist(), ends.tolist())]
+                        at = pa.array(np.arange(n, n + len(best)).astype(np.int32))
+                        yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(np.full(len(best), lo))), at, pa.array(text, pa.string()), pa.array([tagger.labels[k] for k in best], pa.string()), pa.array(post[np.arange(len(best)), best].astype(float))], names=["doc_id", "word", "text", "lang_pred", "score"])
+                        n += len(best)
+                    continue
                 starts, ends, before, post = tagger.tag(data, offsets)
                 raw, best = data.tobytes(), post.argmax(axis=1) if len(post) else np.empty(0, int)
                 doc = np.repeat(np.arange(hi - lo), np.diff(before))

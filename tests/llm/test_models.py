@@ -1,4 +1,5 @@
 import itertools
+import random
 import zlib
 
 import numpy as np
@@ -150,3 +151,58 @@ def test_language_odd_rows(spark):
         assert len(got) == 8 and all(r.lang_pred == "und" and r.score == 0 for r in got if r.doc_id in (1, 2, 3))
         assert all(0 <= r.score <= 1 for r in got)
     assert langid_crf.identify_language(docs.limit(0), tagger).collect() == []
+
+
+def _mixed(seed, n):
+    rng = random.Random(seed)
+    voice = {x: ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(200)] for x, letters in (("a", "abcdefgh"), ("b", "ghijklmn"), ("c", "nopqrstu"))}
+    texts = [(" ".join(rng.choice(voice[x]) for _ in range(60)), x) for x in voice for _ in range(40)]
+    now, out = "a", []
+    for _ in range(n):
+        now = rng.choice("abc") if rng.random() < 0.02 else now
+        out.append(rng.choice(voice[now if rng.random() < 0.8 else rng.choice("abc")]))
+    return texts, " ".join(out)
+
+
+def test_stretches_of_a_long_text_are_tagged_as_the_whole(monkeypatch):
+    texts, long = _mixed(1, 4000)
+    tagger = langid_crf.train(*zip(*texts), steps=60)
+    for text in (long, "12 34 " * 100 + long[:3000] + " 1 " * 2000 + long[:300], " 5 ", "", "abc"):
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts, ends, _, post = tagger.tag(data, np.array([0, len(data)]))
+        for stretch in (64, 257, 1000, 1 << 20):
+            monkeypatch.setattr(langid_crf, "STRETCH", stretch)
+            got = list(tagger.stretches(data))
+            assert [x for g in got for x in g[0].tolist()] == starts.tolist() and [x for g in got for x in g[1].tolist()] == ends.tolist()
+            assert np.allclose(np.concatenate([g[2] for g in got]) if got else np.empty((0, 3)), post, atol=1e-12)
+    monkeypatch.setattr(langid_crf, "STRETCH", 64)
+    assert sum(len(g[0]) for g in tagger.stretches(np.frombuffer(b"x" * 1000, np.uint8))) == 16  # a run of letters beyond a stretch
+
+
+def test_memory_does_not_grow_with_a_text():
+    import tracemalloc
+
+    texts, long = _mixed(2, 40_000)
+    tagger = langid_crf.train(*zip(*texts), steps=60)
+    data = np.frombuffer((long + " ").encode() * ((24 << 20) // len(long)), np.uint8)
+    tracemalloc.start()
+    try:
+        n = sum(len(g[2]) for g in tagger.stretches(data))
+        assert n == 40_000 * ((24 << 20) // len(long)) and tracemalloc.get_traced_memory()[1] < 120 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_long_and_short_texts_of_a_table_fare_alike(spark, monkeypatch):
+    texts, long = _mixed(3, 9000)
+    tagger = langid_crf.train(*zip(*texts), steps=60)
+    df = spark.createDataFrame([(1, long), (2, "abc"), (3, None), (4, long[:5000])], "doc_id long, text string")
+    whole = sorted(map(tuple, langid_crf.identify_language(df, tagger, certainty=True).collect()))
+    words = sorted((r.doc_id, r.word, r.text, r.lang_pred) for r in langid_crf.tag_words(df, tagger).collect())
+    monkeypatch.setattr(langid_crf, "LONG", 4000)
+    monkeypatch.setattr(langid_crf, "STRETCH", 700)
+    monkeypatch.setattr(langid_crf, "slices", lambda column: ((i, i + 1) for i in range(len(column))))
+    parts = sorted(map(tuple, langid_crf.identify_language(df, tagger, certainty=True).collect()))
+    assert [(r[0], r[1], r[4]) for r in parts] == [(r[0], r[1], r[4]) for r in whole]
+    assert np.allclose([r[2:4] for r in parts], [r[2:4] for r in whole])
+    assert sorted((r.doc_id, r.word, r.text, r.lang_pred) for r in langid_crf.tag_words(df, tagger).collect()) == words
