@@ -238,6 +238,27 @@ sql("volcano_labels", f"SELECT feature, {r('w', 'weight')} FROM (SELECT feature,
 sql("dotplot_data", f"SELECT pathway, coalesce(pathway_name, pathway) AS display_name, {r('-log10(q_value)', 'neg_log10_q', 5)}, n_overlap, {rs('odds_ratio', 5)} FROM (SELECT * FROM enr ORDER BY round(p_value, 8), pathway LIMIT 20) LEFT JOIN names ON pathway = pathway_id", "enr", "names")
 sql("violin_data", "SELECT * FROM hms WHERE clinical_category NOT IN ('8', '9')", "hms")
 sql("topk_variance", f"SELECT gene, {r('v', 'variance')} FROM (SELECT gene, var_pop(value) AS v FROM gf GROUP BY gene ORDER BY v DESC, gene LIMIT 5)", "gf")
+CTES["hm"] = """hm AS (SELECT clinical_category AS g, sample_id, gene, greatest(-3, least(3, coalesce((value - avg(value) OVER g) / nullif(stddev_pop(value) OVER g, 0), 0))) AS z FROM gf JOIN meta USING (sample_id) WHERE gene IN (SELECT gene FROM gf GROUP BY gene ORDER BY var_pop(value) DESC, gene LIMIT 5) WINDOW g AS (PARTITION BY gene))"""
+CTES["hcols"] = """hcols AS (SELECT g, sample_id, first + i * cols // size AS col FROM (SELECT g, sample_id, row_number() OVER (PARTITION BY g ORDER BY sample_id) - 1 AS i FROM (SELECT DISTINCT g, sample_id FROM hm))
+  JOIN (SELECT *, coalesce(sum(cols) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first FROM (SELECT g, count(*) AS size, greatest(1, least(count(*), round(count(*) * 30 / sum(count(*)) OVER ())))::BIGINT AS cols FROM (SELECT DISTINCT g, sample_id FROM hm) GROUP BY g)) USING (g))"""
+CTES["vals"] = "vals AS (SELECT clinical_category AS g, hms_count::DOUBLE AS v FROM hms WHERE quantile = 0.95 AND clinical_category <> 'excluded')"
+NEEDS |= {"vals": ["hms"], "hm": ["gf", "meta"], "hcols": ["hm"]}
+sql("violin_density", f"""SELECT "group", n, at_ AS "at", {rs('q1 median q3 bandwidth x density')} FROM (
+  SELECT g AS "group", at_, any_value(n) AS n, any_value(q1) AS q1, any_value(med) AS median, any_value(q3) AS q3, any_value(bw) AS bandwidth, any_value(x) AS x, sum(c * exp(-0.5 * pow((x - (lo + (b + 0.5) * step)) / bw, 2))) / (any_value(n) * any_value(bw) * sqrt(2 * pi())) AS density FROM (
+    SELECT *, CASE WHEN bw IS NULL THEN lo ELSE lo - 2 * bw + (hi - lo + 4 * bw) * at_ / 31 END AS x FROM (
+      SELECT *, unnest(range(CASE WHEN bw IS NULL THEN 1 ELSE 32 END))::INTEGER AS at_ FROM (SELECT g, b, count(*) AS c, n, q1, med, q3, bw, lo, hi, step FROM (
+        SELECT *, CASE WHEN step > 0 THEN least(floor((v - lo) / step), 99) ELSE 0 END AS b FROM (
+          SELECT v.g, v.v, s.n, s.q1, s.med, s.q3, s.lo, s.hi, (s.hi - s.lo) / 100 AS step, CASE WHEN s.sd > 0 THEN s.sd * n ** -0.2 END AS bw FROM vals v
+          JOIN (SELECT g, count(*) AS n, min(v) AS lo, max(v) AS hi, stddev_samp(v) AS sd, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS med, quantile_cont(v, 0.75) AS q3 FROM vals GROUP BY g) s USING (g)))
+      GROUP BY ALL))) GROUP BY g, at_)""", "vals")
+sql("volcano_grid", """SELECT kind, ix, iy, count(*) AS n FROM (SELECT CASE WHEN q_value < 0.05 AND abs(adj.delta_mean) >= 0.3 THEN 'blue' WHEN q_value < 0.05 THEN 'red' ELSE 'grey' END AS kind,
+  greatest(0, least(39, floor((round(adj.delta_mean, 6) + 1e-7 + 0.5) / 1.0 * 40)))::INTEGER AS ix, greatest(0, least(24, floor(-log10(p_value) / 12.0 * 25)))::INTEGER AS iy FROM adj WHERE p_value IS NOT NULL) GROUP BY ALL""", "adj")
+sql("heatmap_columns", f"""SELECT gene AS feature, col AS "column", hm.g AS "group", count(DISTINCT hm.sample_id) AS n_samples, {r('avg(z)', 'value')} FROM hm JOIN hcols ON hm.sample_id = hcols.sample_id GROUP BY ALL""", "hcols")
+sql("stitched", f"""SELECT vec_id::VARCHAR AS sample_id, row_number() OVER (PARTITION BY d ORDER BY vec_id DESC) AS sample_ord, 'chr' || (d % 4 + 1) AS chrom, ((d + 1) * 1000)::BIGINT AS pos, 'chr' || (d % 4 + 1) || '_' || ((d + 1) * 1000) AS cpg_id, {r('v::DOUBLE', 'beta')}
+  FROM (SELECT vec_id, unnest(embedding) AS v, unnest(range(len(embedding))) AS d FROM embeddings) WHERE d % 4 < 3 AND d < 64""")
+sql("stitched_order", """SELECT 'chr1' AS chrom, count(*) AS n_samples, 0::BIGINT AS n_missing, 0::BIGINT AS n_extra, 0::BIGINT AS n_moved FROM embeddings
+UNION ALL SELECT 'chr2', count(b), count(*) - count(b), 0, count(*) FILTER (a <> b) FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id DESC) AS a FROM embeddings) LEFT JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id DESC) AS b FROM embeddings WHERE vec_id % 7 <> 0) USING (vec_id)
+UNION ALL SELECT 'chr3', count(*), 0, 0, count(*) FILTER (a <> b) FROM (SELECT row_number() OVER (ORDER BY vec_id DESC) AS a, row_number() OVER (ORDER BY vec_id % 5 = 0, vec_id DESC) AS b FROM embeddings)""")
 sql("zscore_heatmap", f"SELECT clinical_category, sample_id, gene, {r('greatest(-3, least(3, coalesce((value - avg(value) OVER g) / nullif(stddev_pop(value) OVER g, 0), 0)))', 'z')} FROM gf JOIN meta USING (sample_id) WHERE gene IN (SELECT gene FROM gf GROUP BY gene ORDER BY var_pop(value) DESC, gene LIMIT 5) WINDOW g AS (PARTITION BY gene)", "gf", "meta")
 sql("barcode_norm", "SELECT c_custkey, upper(c_name) || CASE WHEN c_custkey % 7 = 0 THEN '!' ELSE '' END AS barcode, false AS valid FROM customer")
 sql("category_norm", "SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'CRC' WHEN 1 THEN 'polyps' WHEN 2 THEN 'Control' WHEN 3 THEN 'excluded' WHEN 4 THEN 'HGD' ELSE c_mktsegment END AS category FROM customer")

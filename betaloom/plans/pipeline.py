@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 from betaloom.functions.ids import file_label, site_chrom, site_pos
 from betaloom.logs import configure, get_logger
-from betaloom.operators import clinical, compare, enrich, graph, hms, intervals, matrix, rank, report, rollup, sampling
+from betaloom.operators import clinical, compare, density, enrich, graph, hms, intervals, matrix, rank, report, rollup, sampling
+from betaloom.plans import docx, figures
 from betaloom.session import session
 from betaloom.sources import annotations, beta_csv, tables
 
 log = get_logger("betaloom")
+TITLE = "Methylation biomarker report"
 
 
 @dataclass
@@ -139,7 +141,7 @@ RAW = {"genes": ["gencode.gtf.gz", "gencode.gtf"], "go": ["goa_human.gaf.gz", "g
 
 def step_annotations(spark: SparkSession, c: Config) -> None:
     ext = c.path("external")
-    raw = {k: next((p for n in names if os.path.exists(p := f"{ext}/{n}")), None) for k, names in RAW.items()}
+    raw = {k: next((p for n in names if tables.path_exists(spark, p := f"{ext}/{n}")), None) for k, names in RAW.items()}
     if raw["genes"]:
         tables.write_parquet(annotations.read_gtf(spark, raw["genes"]), f"{ext}/genes.parquet")
     if raw["go"]:
@@ -242,12 +244,26 @@ def step_report(spark: SparkSession, c: Config) -> None:
     out = rank.report(None, genes, rank.rank_pathways(enriched) if enriched is not None else None, enrichment=enriched, island_pairs=pairs, hms_summary=line["hms_summary"] if line else None)
     tables.write_parquet(out, f"{c.path('reports')}/biomarker_report.parquet")
     tables.write_csv(_read(spark, f"{c.path('reports')}/biomarker_report.parquet").coalesce(1), f"{c.path('reports')}/biomarker_report.csv")
-    with open(f"{c.path('reports')}/report.md", "w") as f:
-        f.write(build_report(spark, c))
+    sections = report_sections(spark, c)
+    tables.write_bytes(spark, f"{c.path('reports')}/report.md", report.render_markdown(TITLE, sections).encode())
+    tables.write_bytes(spark, f"{c.path('reports')}/report.docx", docx.build(TITLE, [*sections, *report_images(spark, c)]))
 
 
 def build_report(spark: SparkSession, c: Config) -> str:
     """All sections for which there are tables, as Markdown."""
+    return report.render_markdown(TITLE, report_sections(spark, c))
+
+
+def report_images(spark: SparkSession, c: Config) -> list[tuple[str, bytes]]:
+    """A volcano per comparison and the heat map, as PNG."""
+    images = [(f"Volcano {label}", figures.volcano_png(report.volcano_points(_read(spark, f"{c.path('comparisons')}/{label}.parquet")))) for label in _labels(spark, c.path("comparisons"))]
+    if output_exists(spark, c.path("features")) and output_exists(spark, c.path("clinical")):
+        images.append(("Most variable genes", figures.heat_png(density.heatmap_bins(report.heatmap(_read(spark, c.path("features")), _metadata(spark, c))))))
+    return images
+
+
+def report_sections(spark: SparkSession, c: Config) -> list[tuple[str, DataFrame]]:
+    """All sections for which there are tables."""
     sections = []
     if (df := _optional(spark, c.path("clinical"))) is not None:
         sections.append(("Cohorts", report.frequency(df, "clinical_category")))
@@ -266,31 +282,35 @@ def build_report(spark: SparkSession, c: Config) -> str:
         sections += [(f"Enrichment {label}", df.agg(F.count(F.lit(1)).alias("n_tested"), F.count_if("significant").alias("n_significant"))), (f"Top sets {label}", best.select("display_name", "n_overlap", "odds_ratio", "p_value", "q_value"))]
     if (df := _scores(spark, c)) is not None:
         sections.append(("Hypermethylation", hms.summarize(df)))
-    return report.render_markdown("Methylation biomarker report", sections)
+    return sections
 
 
 def step_visualise(spark: SparkSession, c: Config) -> None:
-    """The data of the figures, as tables."""
+    """The data of the figures, as tables, and the figures as SVG, whose size does not depend on the number of features."""
     out, comparisons = c.path("plots"), c.path("comparisons")
+    draw = lambda name, svg: tables.write_bytes(spark, f"{out}/{name}.svg", svg.encode())
     for label in _labels(spark, comparisons):
         points = report.volcano_points(_read(spark, f"{comparisons}/{label}.parquet"))
         tables.write_parquet(points, f"{out}/volcano_{label}.parquet")
         tables.write_parquet(report.volcano_labels(points), f"{out}/volcano_{label}_labels.parquet")
+        draw(f"volcano_{label}", figures.volcano(points, report.volcano_labels(points), label))
     enriched, names = _optional(spark, f"{c.path('enrichment')}/CRC_vs_Control_reactome_fisher.parquet"), _optional(spark, f"{c.path('external')}/reactome_pathways.parquet")
     if enriched is not None and names is not None:
         tables.write_parquet(report.dot_plot(enriched, names), f"{out}/dotplot_reactome_CRC_vs_Control.parquet")
+        draw("dotplot_reactome_CRC_vs_Control", figures.dots(report.dot_plot(enriched, names)))
     for q in hms.QUANTILES:
         if (df := _optional(spark, f"{c.path('hms')}/hms_scores_q{file_label(q)}.parquet")) is not None:
             tables.write_parquet(report.violin(df), f"{out}/hms_distribution_q{file_label(q)}.parquet")
+            draw(f"hms_distribution_q{file_label(q)}", figures.violins(density.violin_density(report.violin(df)), f"Hypermethylation, quantile {q}"))
     main = _optional(spark, f"{comparisons}/CRC_vs_Control.parquet")
     genes = main.orderBy(F.col("p_value").asc_nulls_last(), "feature").limit(50).select(F.col("feature").alias("gene")) if main is not None else None
-    tables.write_parquet(report.heatmap(_read(spark, c.path("features")), _metadata(spark, c), genes=genes), f"{out}/heatmap_CRC_vs_Control.parquet")
+    cells = report.heatmap(_read(spark, c.path("features")), _metadata(spark, c), genes=genes)
+    tables.write_parquet(cells, f"{out}/heatmap_CRC_vs_Control.parquet")
+    draw("heatmap_CRC_vs_Control", figures.heat(density.heatmap_bins(_read(spark, f"{out}/heatmap_CRC_vs_Control.parquet"))))
 
 
 def step_stats(spark: SparkSession, c: Config) -> None:
-    os.makedirs(os.path.dirname(c.path("stats")), exist_ok=True)
-    with open(c.path("stats"), "w") as f:
-        f.write(overview(spark, c))
+    tables.write_bytes(spark, c.path("stats"), overview(spark, c).encode())
 
 
 def overview(spark: SparkSession, c: Config) -> str:

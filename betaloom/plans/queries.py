@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from betaloom.functions import ids
-from betaloom.operators import clinical, compare, enrich, graph, hms, intervals, matrix, ontology, order, rank, report, rollup, sampling
+from betaloom.operators import clinical, compare, density, enrich, graph, hms, intervals, matrix, ontology, order, rank, report, rollup, sampling
 from betaloom.sources import annotations as ann
 from betaloom.sources import batches, beta_csv, scratch, site_store
+from betaloom.sources import wide as wide_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -602,6 +603,52 @@ def violin_data(spark, sf):
     return report.violin(_hms(spark, sf)[1].withColumn("clinical_category", F.when(F.col("clinical_category") == "9", F.lit("excluded")).when(F.col("clinical_category") != "8", F.col("clinical_category"))))
 
 
+@query
+def violin_density(spark, sf):
+    scores = _hms(spark, sf)[1].where("quantile = 0.95")
+    return rounded(density.violin_density(report.violin(scores), points=32, bins=100), "q1", "median", "q3", "bandwidth", "x", "density")
+
+
+@query
+def volcano_grid(spark, sf):
+    points = report.volcano_points(adjusted(spark, sf))
+    return density.grid_counts(points.withColumn("delta_mean", F.round("delta_mean", 6) + 1e-7), "delta_mean", "neg_log10_p", "point_class", nx=40, ny=25, bounds=(-0.5, 0.5, 0.0, 12.0))
+
+
+@query
+def heatmap_columns(spark, sf):
+    return rounded(density.heatmap_bins(report.heatmap(gene_features(spark, sf), meta(spark, sf), 5), 30), "value")
+
+
+def _wide_files(spark, sf):
+    """Files of chr1 to chr3, a row per vector and a column per dimension, written and read back."""
+    base = scratch.shared_dir(spark) + f"/betaloom/{spark.sparkContext.applicationId}/wide-{uuid.uuid4().hex}"
+    at, files = scratch.target(spark, base)
+    files.deleteOnExit(at)
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("sample_id"), "embedding").orderBy(F.desc("vec_id"))
+    paths = {}
+    for k in range(3):
+        wide = e.select("sample_id", F.lit("x").alias("note"), *[F.col("embedding")[d].alias(f"chr{k + 1}_{(d + 1) * 1000}") for d in range(k, DIMS, 4)])
+        paths[f"chr{k + 1}"] = f"{base}/chr{k + 1}"
+        wide.coalesce(1).write.parquet(paths[f"chr{k + 1}"])
+    return wide_files.read_wide(spark, paths)
+
+
+@query
+def stitched(spark, sf):
+    found = wide_files.stitch(_wide_files(spark, sf))
+    return rounded(found.withColumn("beta", F.col("beta").cast("double")), "beta")
+
+
+@query
+def stitched_order(spark, sf):
+    """Files of which one lacks samples and one has others moved."""
+    frames = _wide_files(spark, sf)
+    frames["chr2"] = frames["chr2"].where("sample_id % 7 <> 0")
+    frames["chr3"] = frames["chr3"].where("sample_id % 5 <> 0").unionByName(frames["chr3"].where("sample_id % 5 = 0").withColumn("__file", F.lit("zz")))
+    return wide_files.order_report(frames)
+
+
 @query
 def topk_variance(spark, sf):
     return rounded(report.most_variable(gene_features(spark, sf), 5), "variance")

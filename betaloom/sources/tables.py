@@ -10,12 +10,12 @@ from xml.etree import ElementTree
 
 from pyspark.sql import DataFrame, SparkSession
 
+from betaloom.sources.scratch import target
+
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """A lazy scan, of the named columns only if given; FileNotFoundError if there is nothing."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+    if not path_exists(spark, path):
         raise FileNotFoundError(path)
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
@@ -28,6 +28,21 @@ def write_parquet(df: DataFrame, path: str, *, compression: str = "zstd", block_
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file through Hadoop's file systems, so that path may be any that Spark reads; folders are made."""
+    at, files = target(spark, path)
+    out = files.create(at, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at, files = target(spark, path)
+    return files.exists(at)
+
+
 def parquet_shape(spark: SparkSession, path: str) -> tuple[int, list[str]]:
     """Rows and column names, from footers."""
     df = spark.read.parquet(path)
