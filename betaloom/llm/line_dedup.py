@@ -10,11 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .buckets import spread_join
 from .store import materialize
 
 NEAR = 0.25  # estimates within this share of the threshold are counted exactly: over ten standard errors at lg_k 12
 
 
+def _showing(lines: DataFrame, keys: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """lines of the hashes in keys (h1, h2, n: how often they occur). The keys are broadcast where their number, which is
+    measured, allows; beyond that the lines of very frequent hashes are dealt to salts."""
+    return lines.join(F.broadcast(keys.drop("n")), ["h1", "h2"]) if keys.count() * 192 <= broadcast_bytes else spread_join(lines, keys, ["h1", "h2"], "n").drop("n")
+
+
 def dedup_lines(docs: DataFrame, *, site_col: str = "source", id_col: str = "doc_id", text_col: str = "text", min_sites: int = 10, lg_k: int = 12, keep_first: bool = True, counts: tuple[str, str] | None = ("n_lines", "n_removed"), broadcast_bytes: int = 64 << 20) -> DataFrame:
     """docs with text_col freed of lines that at least min_sites distinct sites show, and how many lines it had and lost.
 
@@ -34,12 +41,13 @@ def dedup_lines(docs: DataFrame, *, site_col: str = "source", id_col: str = "doc
     # by a hash of the site: a sketch passes empty strings over
     spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_agg(F.xxhash64("site"), F.lit(lg_k)).alias("sketch"), F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "t", "pos")).alias("first"))
     spread = spread.where(F.col("n") >= min_sites).withColumn("sites", F.hll_sketch_estimate("sketch")).where(F.col("sites") >= min_sites * (1 - NEAR))
-    spread = materialize(spread.select("h1", "h2", "sites", "first"), "line-spread")
+    spread = materialize(spread.select("h1", "h2", "sites", "n", "first"), "line-spread")
     near = spread.where(F.col("sites") <= min_sites * (1 + NEAR))
-    exact = lines.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.count_distinct("site").alias("exact")).where(F.col("exact") >= min_sites)
-    boilerplate = spread.where(F.col("sites") > min_sites * (1 + NEAR)).select("h1", "h2", "first").unionByName(near.join(exact.select("h1", "h2"), ["h1", "h2"]).select("h1", "h2", "first"))
+    exact = _showing(lines, near.select("h1", "h2", "n"), broadcast_bytes).select("h1", "h2", "site").distinct().groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("exact")).where(F.col("exact") >= min_sites)
+    boilerplate = spread.where(F.col("sites") > min_sites * (1 + NEAR)).select("h1", "h2", "n", "first").unionByName(near.join(exact.select("h1", "h2"), ["h1", "h2"]).select("h1", "h2", "n", "first"))
+    boilerplate = materialize(boilerplate, "line-boilerplate")
 
-    hits = lines.join(boilerplate, ["h1", "h2"])
+    hits = _showing(lines, boilerplate, broadcast_bytes)
     if keep_first:
         hits = hits.where(~(F.struct("d", "t", "pos").eqNullSafe(F.col("first"))))
     gone = hits.groupBy(F.col("d").alias("__line_d"), F.col("t").alias("__line_t")).agg(F.array_sort(F.collect_set("pos")).alias("__line_gone"))

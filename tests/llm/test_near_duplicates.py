@@ -202,8 +202,8 @@ def test_lines_against_brute_force(spark):
         rows.append((d, rng.choice([site, None]) if d % 50 == 0 else site, rng.choice([text, None]) if d % 40 == 0 else text))
     rows.append((900, "a", "\n".join(pool * 400)))
     df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, source string, text string, n_lines string, first string").repartition(4)
-    for least in (2, 12, 25, 60):
-        got = dedup_lines(df, min_sites=least)
+    for least, room in ((2, 64 << 20), (12, 64 << 20), (25, 64 << 20), (60, 64 << 20), (12, 0)):  # no room: joins by shuffle
+        got = dedup_lines(df, min_sites=least, broadcast_bytes=room)
         assert got.columns == ["doc_id", "source", "text", "n_lines", "first", "n_removed"]
         assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text) for r in got.collect()) == brute_lines(rows, least)
 
