@@ -23,11 +23,22 @@ def _method(name: str) -> Callable[[Column, Column], Column]:
     return METHODS[name]
 
 
+BROADCAST_ROWS = 2_000_000  # of a mapping: some 100 MB as a hashed relation
+
+
+def _mapped(beta: DataFrame, edges: DataFrame, site_col: str) -> DataFrame:
+    """beta joined to edges. Up to BROADCAST_ROWS of these, which are counted, are broadcast: then no cell is shuffled
+    before its task has added it up; larger mappings are joined by shuffle."""
+    few = edges.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return beta.join(F.broadcast(edges) if few else edges, site_col)
+
+
 def rollup_sites(beta: DataFrame, mapping: DataFrame, method: str = "mean", *, weights: DataFrame | None = None, feature_col: str = "gene", site_col: str = "cpg_id", sample_col: str = "sample_id", value_col: str = "beta") -> DataFrame:
     """(feature, sample, value, n_cpgs): the method over the feature's distinct sites that have a value.
 
     Features without any site in beta are absent; a cell with missing values only is null. weights: (site, weight),
-    for the method "weighted", renormalised over the sites with a value.
+    for the method "weighted", renormalised over the sites with a value. Means are added up in each task before the
+    shuffle; a median needs the values of a feature and sample in one place, which suits genes of some hundred sites.
     """
     agg = _method(method)
     if method == "weighted" and weights is None:
@@ -38,7 +49,7 @@ def rollup_sites(beta: DataFrame, mapping: DataFrame, method: str = "mean", *, w
     else:
         edges = edges.withColumn("weight", F.lit(1.0))
     v = present(value_col)
-    return beta.join(edges, site_col).groupBy(feature_col, sample_col).agg(agg(v, F.col("weight")).alias("value"), F.count(v).alias("n_cpgs"))
+    return _mapped(beta, edges, site_col).groupBy(feature_col, sample_col).agg(agg(v, F.col("weight")).alias("value"), F.count(v).alias("n_cpgs"))
 
 
 def rollup_by_chromosome(beta: DataFrame, mapping: DataFrame, method: str = "mean", *, min_sites: int = 1, feature_col: str = "gene", site_col: str = "cpg_id", chrom_col: str = "chrom", sample_col: str = "sample_id", value_col: str = "beta") -> DataFrame:
@@ -51,7 +62,7 @@ def rollup_by_chromosome(beta: DataFrame, mapping: DataFrame, method: str = "mea
     agg = _method(method)
     edges = mapping.select(feature_col, site_col).distinct()
     v = present(value_col)
-    cells = beta.join(edges, site_col)
+    cells = _mapped(beta, edges, site_col)
     per = cells.groupBy(feature_col, sample_col, chrom_col).agg(agg(v, F.lit(1.0)).alias("value"))
     out = per.groupBy(feature_col, sample_col).agg(F.avg("value").alias("value"))
     if min_sites > 1:  # rows may be short, so the sites that are there are read from all samples: one column, folded in each task

@@ -110,9 +110,9 @@ def set_names(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_brand").distinct().where("p_brand like '%1'").select(F.col("p_brand").alias("pathway_id"), F.concat(F.lit("Name of "), "p_brand").alias("pathway_name"))
 
 
-def enrichment(spark: SparkSession, sf: str) -> DataFrame:
+def enrichment(spark: SparkSession, sf: str, found: DataFrame | None = None) -> DataFrame:
     """Fisher over sets of features with q below 0.2; p and q rounded, so equal sets tie in any engine."""
-    return enrich.run_enrichment(adjusted(spark, sf), feature_sets(spark, sf), q_threshold=0.2).withColumns({c: r(c, 10) for c in ("p_value", "q_value")})
+    return enrich.run_enrichment(adjusted(spark, sf) if found is None else found, feature_sets(spark, sf), q_threshold=0.2).withColumns({c: r(c, 10) for c in ("p_value", "q_value")})
 
 
 # matrix
@@ -525,8 +525,9 @@ def _mapped(spark, sf):
 
 @query
 def report_union(spark, sf):
-    e = enrichment(spark, sf)
-    return rounded(rank.report(rank.rank_sites(adjusted(spark, sf)), rank.rank_genes(adjusted(spark, sf), e), rank.rank_pathways(e), enrichment=e), "score", "effect_size", "q_value", digits=5)
+    found = scratch.materialize(adjusted(spark, sf), "report-results")  # read by three parts
+    e = scratch.materialize(enrichment(spark, sf, found), "report-enrichment")
+    return rounded(rank.report(rank.rank_sites(found), rank.rank_genes(found, e), rank.rank_pathways(e), enrichment=e), "score", "effect_size", "q_value", digits=5)
 
 
 @query
