@@ -126,6 +126,11 @@ sql("csv_header", "SELECT (d + 2)::INTEGER AS idx, 'chr' || (d % 4 + 1) || '_' |
 sql("csv_parse", f"""SELECT 's' || vec_id AS sample_id, (vec_id + 1)::BIGINT AS sample_ord, 'chr' || (d % 4 + 1) AS chrom, ((d + 1) * 1000)::BIGINT AS pos, 'chr' || (d % 4 + 1) || '_' || ((d + 1) * 1000) AS cpg_id,
   CASE {CELL} WHEN 0 THEN '' WHEN 1 THEN 'NA' WHEN 2 THEN 'NaN' WHEN 3 THEN 'x' || d WHEN 4 THEN ' 12 ' ELSE round(v * 1000)::INTEGER::VARCHAR END AS raw,
   CASE WHEN {CELL} = 4 THEN 12 WHEN {CELL} > 4 THEN round(v * 1000) + 0.0 END::DOUBLE AS beta FROM (SELECT vec_id, d, embedding[d + 1]::DOUBLE AS v FROM (SELECT vec_id, embedding, unnest(range(CASE WHEN vec_id % 7 = 0 THEN 60 ELSE 64 END)) AS d FROM embeddings))""")
+sql("csv_convert", f"""SELECT *, count(*) OVER (PARTITION BY chrom) AS chrom_sites, (sum(n_bad) OVER ())::BIGINT AS all_bad FROM (
+  SELECT 'chr' || (d % 4 + 1) AS chrom, ((d + 1) * 1000)::BIGINT AS pos, 'chr' || (d % 4 + 1) || '_' || ((d + 1) * 1000) AS cpg_id, count(*) AS n_cells, count(*) FILTER ({CELL} >= 4) AS n_present, count(*) FILTER ({CELL} = 3) AS n_bad,
+    sum(CASE WHEN {CELL} = 4 THEN 12 WHEN {CELL} > 4 THEN round(embedding[d + 1]::DOUBLE * 1000) END)::DOUBLE AS total, 's' || min(vec_id) AS first_sample
+  FROM (SELECT vec_id, embedding, unnest(range(CASE WHEN vec_id % 7 = 0 THEN 60 ELSE 64 END)) AS d FROM embeddings) WHERE d % 4 <> 2 GROUP BY d)""")
+sql("sorted_p", "SELECT feature, row_number() OVER (ORDER BY CASE WHEN substr(feature, 2)::INTEGER % 77 = 0 THEN 'nan'::DOUBLE ELSE round(p_value, 4) END NULLS LAST, feature) AS place FROM res", "res")
 sql("point_lookup", "SELECT gene_id, s AS start, e AS \"end\" FROM genes WHERE chrom = 'chr2' AND s < 800501 AND e > 800500", "genes")
 sql("rollup_mean", f"SELECT gene, sample_id, {r('value')}, n_cpgs FROM gf", "gf")
 sql("rollup_median", f"SELECT gene, sample_id, {r('median(beta)', 'value')}, count(beta) AS n_cpgs FROM cells JOIN site_genes USING (cpg_id) GROUP BY ALL", "gf")

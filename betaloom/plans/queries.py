@@ -720,13 +720,38 @@ def csv_header(spark, sf):
     return beta_csv.header_index(spark, beta_csv.parse_header(CSV_HEADER))
 
 
-@query
-def csv_parse(spark, sf):
+def _csv_lines(spark, sf):
     """Lines of a beta CSV with missing tokens, cells that are no numbers, short rows and carriage returns."""
     cell = "case (vec_id * 31 + d) % 11 when 0 then '' when 1 then 'NA' when 2 then 'NaN' when 3 then concat('x', d) when 4 then ' 12 ' else cast(cast(round(cast(v as double) * 1000) as int) as string) end"
     line = f"concat(case when vec_id % 3 = 0 then ' ' else '' end, 's', vec_id, ',n,', array_join(slice(transform(embedding, (v, d) -> {cell}), 1, case when vec_id % 7 = 0 then 60 else 64 end), ','), case when vec_id % 2 = 0 then '\\r' else '' end) value"
-    lines = table(spark, sf, "embeddings").selectExpr(line, "vec_id + 1 as sample_ord")
-    return beta_csv.parse_lines(lines, beta_csv.parse_header(CSV_HEADER)).withColumn("beta", F.col("beta").cast("double"))
+    return table(spark, sf, "embeddings").selectExpr(line, "vec_id + 1 as sample_ord")
+
+
+@query
+def csv_parse(spark, sf):
+    return beta_csv.parse_lines(_csv_lines(spark, sf), beta_csv.parse_header(CSV_HEADER)).withColumn("beta", F.col("beta").cast("double"))
+
+
+@query
+def csv_convert(spark, sf):
+    """A CSV file of the vectors, converted: what the store holds of each site, in chromosomes whose counts the conversion gave."""
+    base = f"{scratch.shared_dir(spark)}/betaloom/{spark.sparkContext.applicationId}/csv-{uuid.uuid4().hex}"
+    at, files = scratch.target(spark, base)
+    files.deleteOnExit(at)
+    header = spark.createDataFrame([(CSV_HEADER, 0)], "value string, sample_ord long")
+    header.unionByName(_csv_lines(spark, sf)).coalesce(1).sortWithinPartitions("sample_ord").select("value").write.text(f"{base}/m.csv")
+    counts, bad = beta_csv.convert(spark, f"{base}/m.csv", f"{base}/store", ["chr1", "chr2", "chr4"])
+    store = site_store.cells_of(spark, f"{base}/store").groupBy("chrom", "pos", "cpg_id")
+    held = store.agg(F.count(F.lit(1)).alias("n_cells"), F.count("beta").alias("n_present"), F.count_if("bad").alias("n_bad"), F.sum(F.col("beta").cast("double")).alias("total"), F.min_by("sample_id", "sample_ord").alias("first_sample"))
+    numbers = spark.createDataFrame([(c, n, bad) for c, n in counts.items()], "chrom string, chrom_sites long, all_bad long")
+    return held.join(numbers, "chrom")
+
+
+@query
+def sorted_p(spark, sf):
+    """The place of each result by p, ties by name: NaN after all numbers, null last."""
+    p = results(spark, sf).select("feature", F.when(F.expr("cast(substr(feature, 2) as int) % 77 = 0"), F.lit(float("nan"))).otherwise(F.round("p_value", 4)).alias("p"))
+    return order.numbered(p, [F.col("p").asc_nulls_last(), F.col("feature")], name="place").select("feature", "place")
 
 
 def _lines(df: DataFrame, expr: str, order: str) -> DataFrame:
