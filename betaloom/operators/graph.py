@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from betaloom.operators.intervals import region_overlap
 from betaloom.operators.matrix import variable_sites
+from betaloom.sources.batches import FAILED, Sink, write_batches
 
 
 @dataclass
@@ -37,6 +40,25 @@ class Graph:
             if getattr(self, f.name) is not None:
                 getattr(self, f.name).write.mode("overwrite").parquet(f"{path}/{f.name}")
 
+    def send(self, connect: Callable[[], Sink], size: int = 1000) -> tuple[DataFrame, dict[str, DataFrame]]:
+        """Write all parts to a sink in batches of `size`, vertices before the edges that name them: (outcomes, failed rows of each part that has any).
+
+        Rows are ordered by all their columns, so a batch's name means the same rows in every run, see write_batches. An
+        outcome has part, batch, name, n_rows, status and error.
+        """
+        found, failed = [], {}
+        for f in fields(self):
+            rows = getattr(self, f.name)
+            if rows is None:
+                continue
+            outcomes, left = write_batches(rows, [F.col(f"`{c}`") for c in rows.columns], connect, table=f.name, size=size)
+            found.append(outcomes.select(F.lit(f.name).alias("part"), "*"))
+            if not outcomes.where(F.col("status") == FAILED).isEmpty():
+                failed[f.name] = left
+        if not found:
+            raise ValueError("the graph has no part")
+        return reduce(DataFrame.unionByName, found), failed
+
 
 # importers: relations from parsed files; edges need both ends
 

@@ -3,6 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from betaloom.operators import graph
 from betaloom.sources.batches import FolderSink, write_batches
 
 
@@ -44,3 +45,16 @@ def test_a_failed_batch_stops_no_other_and_a_second_run_adds_only_what_lacks(spa
 def test_an_empty_table_gives_no_batch(spark, tmp_path):
     outcomes, failed = write_batches(spark.createDataFrame([], "k long"), [F.col("k")], lambda: FolderSink(str(tmp_path / "s")), table="t")
     assert outcomes.count() == failed.count() == 0
+
+
+def test_a_graph_is_sent_part_by_part(spark, tmp_path):
+    g = graph.Graph(v_gene=spark.range(25).selectExpr("concat('G', cast(id as string)) gene_id", "id k"), v_pathway=spark.createDataFrame([("P", 1)], "pathway_id string, k long"), e_gene_pathway=spark.range(60).selectExpr("concat('G', cast(id % 25 as string)) gene_id", "'P' pathway_id", "id k"))
+    outcomes, failed = g.send(failing(str(tmp_path / "g")), size=10)
+    got = {(r.part, r.batch): r.status for r in outcomes.collect()}
+    assert len(got) == 3 + 1 + 6 and [k for k, v in got.items() if v == "failed"] == [next(k for k in got if got[k] == "failed")]
+    assert set(failed) == {"e_gene_pathway"} and 57 in {r.k for r in failed["e_gene_pathway"].collect()} and failed["e_gene_pathway"].count() == 10
+    assert sum(len(v) for k, v in written(tmp_path / "g").items() if k.startswith("e_")) == 50
+    (tmp_path / "g" / "mended").touch()
+    outcomes, failed = g.send(failing(str(tmp_path / "g")), size=10)
+    assert {r.status: r["count"] for r in outcomes.groupBy("status").count().collect()} == {"present": 9, "written": 1} and not failed
+    assert sorted(k for f, v in written(tmp_path / "g").items() if f.startswith("e_") for k in v) == list(range(60))
