@@ -172,7 +172,7 @@ def bucket_counts(features: DataFrame, buckets: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(total[met], pa.int64())], names=["bucket", "n"])
 
     out = np.zeros(buckets, np.int64)
-    for r in features.select("buckets").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in features.select("buckets").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # a row per bucket
         out[r.bucket] = r.n
     return out
 
