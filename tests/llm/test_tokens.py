@@ -149,3 +149,12 @@ def test_null_and_empty_ids_decode_to_nothing(spark):
     rows = spark.createDataFrame([(1, None), (2, bytearray())], "doc_id long, ids binary")
     got = decode_documents(rows, public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).orderBy("doc_id").collect()
     assert [bytes(r.decoded) for r in got] == [b"", b""]
+
+
+def test_whole_table_by_small_chunks_equals_the_library(spark, library):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = decode_documents(encode_documents(docs, MULTI, vocab.PATTERN, chunk_chars=900, overlap_chars=150), MULTI).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts) and sum(len(t) > 900 for t in texts.values()) > 50  # most texts take the way by chunks
+    for r in got:
+        assert bytes(r.ids) == np.array(library.encode_ordinary(texts[r.doc_id]), "<u4").tobytes() and bytes(r.decoded).decode() == texts[r.doc_id]
