@@ -149,7 +149,8 @@ def permutation_null(ranked: DataFrame, sizes: DataFrame, n_permutations: int =
             es.append(float(_score_hits(at[:n][up][None], w[:n][up][None], total)[0]))
         return pd.DataFrame({"n_hits": wanted, "permutation": pdf.p.iloc[0], "es": es})
 
-    return drawn.groupBy("p").applyInPandas(score, schema)
+    # as many tasks as a shuffle has, however few bytes there are: scoring costs more than moving
+    return drawn.repartition(shuffle_partitions(spark), "p").groupBy("p").applyInPandas(score, schema)
 
 
 def gsea_preranked(ranked: DataFrame, membership: DataFrame, n_permutations: int = 1000, *, seed: int = 42, exact_rng: bool = False, set_col: str = "pathway", gene_col: str = "gene", metric_col: str = "metric") -> DataFrame:
