@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from betaloom.functions.ids import present
 from betaloom.functions.special import ks_p, mwu_exact_p, normal_sf, student_p
+from betaloom.sources.scratch import materialize
 
 DEFAULT_CONTRASTS = [("CRC", "Control"), ("polyps", "Control"), ("CRC", "polyps")]
 FDR_METHODS = ("fdr_bh", "fdr_by", "bonferroni", "holm")
@@ -153,15 +154,18 @@ def adjust_large(results: DataFrame, method: str = "fdr_bh", alpha: float = 0.05
 
     Equal p are counted first. Each family is cut at quantiles of its p into 256 stretches; counts and extremes of the
     stretches, a few rows a family, give global ranks and carry the running minimum or maximum from one to the next.
+    Rows and cuts are written once: means recomputed in another order differ in their last bits, and so do approximate
+    quantiles, but every branch below must see the same p and the same stretches.
     """
     if method not in FDR_METHODS:
         raise ValueError(f"unknown method {method!r}: one of {FDR_METHODS}")
     frame = results.withColumn("__p", F.coalesce(present(p_col), F.lit(1.0))).withColumn("__all", F.lit(1))
+    frame = materialize(frame, "adjust-rows")
     family = [*(by or []), "__all"]
     ties = frame.groupBy(*family, "__p").agg(F.count(F.lit(1)).alias("__c"))
     cuts = ties.groupBy(*family).agg(F.percentile_approx("__p", [i / 256 for i in range(1, 256)], 10_000).alias("__cuts"), F.sum("__c").alias("__n"))
     stretch = F.size(F.filter("__cuts", lambda e: e < F.col("__p")))
-    ties = ties.join(cuts, family).withColumn("__s", stretch).drop("__cuts")
+    ties = materialize(ties.join(cuts, family).withColumn("__s", stretch).drop("__cuts"), "adjust-ties")
     order = Window.partitionBy(*family).orderBy("__s")
     held = ties.groupBy(*family, "__s").agg(F.sum("__c").alias("__held"))
     held = held.withColumn("__before", F.coalesce(F.sum("__held").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__held")

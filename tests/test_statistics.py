@@ -229,3 +229,14 @@ def test_gsea_plan_collects_no_ranking(spark):
     got = {r.pathway: r for r in enrich.gsea_preranked(ranked, sets, 60).collect()}
     assert len(got) == 4 and all(r.n_hits == 75 and 0 < r.p_value <= 1 and r.nes != 0 for r in got.values())
     assert enrich.gsea_preranked(ranked.where("false"), sets, 5).count() == 0
+
+
+def test_large_adjustment_sees_its_rows_once(spark):
+    """p that differ whenever they are computed again, as means summed in another order do."""
+    from pyspark.sql import functions as F
+
+    p = F.udf(lambda i: __import__("random").random(), "double").asNondeterministic()
+    rows = spark.range(0, 3000, 1, 4).select(F.col("id").cast("string").alias("feature"), p("id").alias("p_value"))
+    got = compare.adjust_large(rows).toPandas()
+    want = {r.feature: r.q_value for r in compare.adjust(spark.createDataFrame(got[["feature", "p_value"]])).collect()}
+    assert len(got) == 3000 and all(abs(q - want[f]) < 1e-12 for f, q in zip(got["feature"], got["q_value"]))
