@@ -82,13 +82,13 @@ def regions(islands: DataFrame) -> DataFrame:
 
 
 def gene_pathway_edges(mapping: DataFrame, v_gene: DataFrame, v_pathway: DataFrame) -> DataFrame:
-    return mapping.select("gene_id", "pathway_id").distinct().join(v_gene.select("gene_id").distinct(), "gene_id", "left_semi").join(v_pathway.select("pathway_id").distinct(), "pathway_id", "left_semi")
+    return mapping.select("gene_id", "pathway_id").distinct().join(v_gene.select("gene_id").distinct().hint("merge"), "gene_id", "left_semi").join(v_pathway.select("pathway_id").distinct(), "pathway_id", "left_semi")
 
 
 def gene_term_edges(annotations: DataFrame, v_gene: DataFrame, v_term: DataFrame) -> DataFrame:
-    """Annotations name genes by symbol."""
+    """Annotations name genes by symbol. Genes are never broadcast: estimated from a file's size they look small."""
     rows = annotations.select("gene_symbol", F.col("go_id").alias("term_id"), "evidence_code").distinct()
-    return rows.join(v_gene.select("gene_symbol", "gene_id"), "gene_symbol").join(v_term.select("term_id"), "term_id", "left_semi").select("gene_id", "term_id", "evidence_code")
+    return rows.join(v_gene.select("gene_symbol", "gene_id").hint("merge"), "gene_symbol").join(v_term.select("term_id"), "term_id", "left_semi").select("gene_id", "term_id", "evidence_code")
 
 
 def samples(clinical: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def cpgs(stats: DataFrame, min_variance: float = 0.01, min_coverage: float = 0.5
 
 def cpg_gene_edges(mapping: DataFrame, v_cpg: DataFrame, v_gene: DataFrame) -> DataFrame:
     rows = mapping.where("overlap_type <> 'intergenic'").select("cpg_id", "gene_id", "overlap_type")
-    return rows.join(v_cpg.select("cpg_id"), "cpg_id", "left_semi").join(v_gene.select("gene_id").distinct(), "gene_id", "left_semi")
+    return rows.join(v_cpg.select("cpg_id").hint("merge"), "cpg_id", "left_semi").join(v_gene.select("gene_id").distinct().hint("merge"), "gene_id", "left_semi")
 
 
 def cpg_region_edges(v_cpg: DataFrame, v_region: DataFrame, one_based: bool = False) -> DataFrame:
