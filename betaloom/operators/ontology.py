@@ -11,24 +11,21 @@ from betaloom.sources.scratch import materialize, release
 def closure(edges: DataFrame, *, child_col: str = "child", parent_col: str = "parent") -> DataFrame:
     """(term, ancestor, distance): every pair joined by a path of parents, with the fewest steps; (t, t) only where t is on a cycle.
 
-    Paths double in each round (those of up to k steps are joined to themselves), so the rounds grow with the logarithm
-    of the longest path. Rows with a null end are left out, repeated edges count once, an empty table gives no rows. Every
-    round is written to the shared folder; nothing but its counts reaches the driver. Paths go on from their upper end,
-    and what lies above a term is few, so no key meets a third of all rows on both sides.
+    The longest distance doubles in each round, so the rounds grow with the logarithm of the longest path: a shortest path
+    of more than `step` and up to twice as many steps passes a term exactly `step` above its lower end, so only the pairs
+    at that distance are joined, with all that are known, and none is left to join once no pair is that far apart. Rows with
+    a null end are left out, repeated edges count once, an empty table gives no rows. Every round is written to the shared
+    folder; nothing but one number reaches the driver. Paths go on from their upper end, and what lies above a term is few,
+    so no key meets a third of all rows on both sides.
     """
     now = edges.where(F.col(child_col).isNotNull() & F.col(parent_col).isNotNull()).select(F.col(child_col).alias("term"), F.col(parent_col).alias("ancestor"), F.lit(1).alias("distance")).distinct()
-    now = materialize(now, "closure")
-    mark = [F.count(F.lit(1)).alias("n"), F.sum("distance").alias("d")]
-    seen = now.agg(*mark).head()
-    while seen["n"]:
+    now, step = materialize(now, "closure"), 1
+    while not (far := now.where(F.col("distance") == step).select("term", "ancestor")).isEmpty():
         ahead = now.select(F.col("term").alias("ancestor"), F.col("ancestor").alias("above"), F.col("distance").alias("more"))
-        longer = now.join(ahead, "ancestor").select("term", F.col("above").alias("ancestor"), (F.col("distance") + F.col("more")).alias("distance"))
+        longer = far.join(ahead.hint("merge"), "ancestor").select("term", F.col("above").alias("ancestor"), (F.col("more") + step).alias("distance"))
         after = materialize(now.unionByName(longer).groupBy("term", "ancestor").agg(F.min("distance").alias("distance")), "closure")
         release(now)
-        now, got = after, after.agg(*mark).head()
-        if got == seen:
-            break
-        seen = got
+        now, step = after, 2 * step
     return now
 
 
