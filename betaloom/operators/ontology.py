@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from betaloom.operators.order import numbered
 from betaloom.sources.scratch import materialize, release
 
 
@@ -46,3 +47,33 @@ def term_sizes(annotations: DataFrame, closed: DataFrame, *, term_col: str = "te
     direct = annotations.select(member_col, term_col).distinct().groupBy(term_col).agg(F.count(F.lit(1)).alias("n_direct"))
     every = with_ancestors(annotations, closed, term_col=term_col, member_col=member_col).groupBy(term_col).agg(F.count(F.lit(1)).alias("n_members"))
     return every.join(direct, term_col, "left").select(term_col, F.coalesce("n_direct", F.lit(0)).alias("n_direct"), "n_members")
+
+
+def member_counts(annotations: DataFrame, edges: DataFrame, *, term_col: str = "term", member_col: str = "gene", child_col: str = "child", parent_col: str = "parent") -> DataFrame:
+    """term_sizes() from the edges, without the closure and without a row per member and ancestor; null members do not count.
+
+    Members are numbered, and those of a term are bits of words of 64, so a member that reaches a term by several paths
+    costs nothing twice. A round doubles the distance that members have come up: each term adds what the terms exactly
+    `step` below it hold. It ends once no path is that long or, where terms lie on cycles, once no term gains a member.
+    Every round is written to the shared folder; two numbers a round reach the driver.
+    """
+    pairs = annotations.select(F.col(member_col).alias("member"), F.col(term_col).alias("term"))
+    numbers = numbered(pairs.where("member is not null").select("member").distinct(), [F.col("member")], name="n")
+    bits = pairs.join(numbers, "member", "left").selectExpr("term", "(n - 1) div 64 word", "shiftleft(1L, cast((n - 1) % 64 as int)) bits")
+    own = materialize(bits.groupBy("term", "word").agg(F.bit_or("bits").alias("bits")), "members")
+    ways = edges.where(F.col(child_col).isNotNull() & F.col(parent_col).isNotNull()).select(F.col(child_col).alias("child"), F.col(parent_col).alias("parent")).distinct()
+    held, ways, size = own, materialize(ways, "ways"), None
+    while not ways.isEmpty():
+        below = held.join(ways.hint("merge"), F.col("term") == F.col("child")).select(F.col("parent").alias("term"), "word", "bits")
+        after = materialize(held.unionByName(below).groupBy("term", "word").agg(F.bit_or("bits").alias("bits")), "members")
+        if held is not own:
+            release(held)
+        held, before, size = after, size, tuple(after.agg(F.count(F.lit(1)), F.sum(F.bit_count("bits"))).head())
+        if size == before:
+            break
+        on = ways.select(F.col("child").alias("parent"), F.col("parent").alias("above"))
+        longer = materialize(ways.join(on.hint("merge"), "parent").select("child", F.col("above").alias("parent")).distinct(), "ways")
+        release(ways)
+        ways = longer
+    both = own.select("term", F.bit_count("bits").alias("d"), F.lit(0).alias("m")).unionByName(held.select("term", F.lit(0).alias("d"), F.bit_count("bits").alias("m")))
+    return both.groupBy(F.col("term").alias(term_col)).agg(F.coalesce(F.sum("d"), F.lit(0)).alias("n_direct"), F.coalesce(F.sum("m"), F.lit(0)).alias("n_members"))

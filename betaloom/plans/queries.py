@@ -778,8 +778,12 @@ def obo_parse(spark, sf):
     return terms.select("term_id", "name", "namespace", F.array_join(F.transform("parents", lambda p: F.concat_ws(" ", p["relation"], p["parent_id"])), "; ").alias("parents"))
 
 
+def _term_edges(spark, sf):
+    return ann.obo_edges(ann.obo_terms(_stanzas(spark, sf)))
+
+
 def _closed(spark, sf):
-    return ontology.closure(ann.obo_edges(ann.obo_terms(_stanzas(spark, sf))))
+    return ontology.closure(_term_edges(spark, sf))
 
 
 @query
@@ -798,7 +802,7 @@ def go_cycles(spark, sf):
 @query
 def go_term_sizes(spark, sf):
     notes = table(spark, sf, "lineitem").selectExpr("concat('S', cast(l_orderkey % 500 as string)) gene", "concat('GO:', lpad(cast(l_partkey as string), 7, '0')) term")
-    return ontology.term_sizes(notes, _closed(spark, sf))
+    return ontology.member_counts(notes, _term_edges(spark, sf))
 
 
 @query

@@ -1,6 +1,7 @@
 import random
 
 from betaloom.operators import ontology
+from betaloom.plans.queries import QUERIES
 from betaloom.sources import annotations
 
 
@@ -60,3 +61,23 @@ def test_closure_joins_no_known_distance_again(spark, monkeypatch):
     edges = spark.range(31).selectExpr("concat('t', id + 1) child", "concat('t', id) parent")
     assert ontology.closure(edges).count() == 31 * 32 // 2
     assert len(written) == 6
+
+
+def test_member_counts_equal_those_of_the_closure(spark, monkeypatch):
+    """On hierarchies and on cycles, with more members than a word has bits; the query needs no closure."""
+    rng = random.Random(8)
+    for cyclic in (False, True):
+        edges = {(f"t{a}", f"t{b}") for a in range(1, 30) for b in rng.sample(range(a), min(a, 2))} | {(f"c{k + 1}", f"c{k}") for k in range(20)} | {("c0", "t4")}
+        if cyclic:
+            edges |= {("t0", "t7"), ("self", "self")}
+        names = sorted({t for e in edges for t in e}) + ["elsewhere"]
+        notes = [(f"g{rng.randrange(150)}", rng.choice(names)) for _ in range(300)]
+        notes = spark.createDataFrame(notes + notes[:9], "gene string, term string")
+        edges = spark.createDataFrame([*edges, (None, "t1"), ("t1", None)], "child string, parent string")
+        want = {r.term: (r.n_direct, r.n_members) for r in ontology.term_sizes(notes, ontology.closure(edges)).collect()}
+        assert {r.term: (r.n_direct, r.n_members) for r in ontology.member_counts(notes, edges).collect()} == want
+    blank = spark.createDataFrame([(None, "t1"), ("g1", "t2")], "gene string, term string")
+    got = {r.term: (r.n_direct, r.n_members) for r in ontology.member_counts(blank, edges.where("child in ('t1', 't2')")).collect()}
+    assert got["t1"][0] == 0 and got["t2"][0] == 1 and got["t0"] == (0, 1)
+    monkeypatch.setattr(ontology, "closure", None)
+    assert QUERIES["go_term_sizes"](spark, "/root/testdata/sf0.001").count() > 0
