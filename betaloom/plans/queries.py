@@ -148,10 +148,8 @@ def id_make(spark, sf):
 
 @query
 def id_sort(spark, sf):
-    from pyspark.sql import Window
-
     s = _raw_ids(spark, sf).select("site").distinct()
-    return s.withColumn("ord", F.row_number().over(Window.orderBy(*ids.site_order("site"))))
+    return order.numbered(s, ids.site_order("site"), name="ord").withColumn("ord", F.col("ord").cast("int"))
 
 
 @query

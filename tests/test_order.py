@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from betaloom.operators.order import chunked, numbered, running
+from betaloom.plans.queries import QUERIES
 from betaloom.sources.beta_csv import row_chunks
 
 
@@ -64,3 +65,9 @@ def test_no_step_runs_in_a_single_task(spark):
     for out in (numbered(df, [F.col("v"), F.col("k")], tie=["v"]), running(df, [F.col("k")], {"s": ("x", "sum")}), row_chunks(df, 7, "k")):
         assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
     assert list(itertools.islice(row_chunks(df, 7, "k").columns, 4)) == ["v", "k", "x", "chunk"]
+
+
+def test_no_task_sorts_all_sites(spark):
+    df = QUERIES["id_sort"](spark, "/root/testdata/sf0.001")
+    assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [r.ord for r in df.orderBy("ord").collect()] == list(range(1, df.count() + 1))
