@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from betaloom.functions.ids import SITE_ID, present, site_order
 from betaloom.operators.order import numbered
+from betaloom.sources.scratch import materialize
 
 SITES = "_sites"
 SPAN = 4_000_000  # positions that go to one task
@@ -24,12 +25,13 @@ LITERALS = 1_000  # sites up to which a list becomes literal filters; longer lis
 def write_store(cells: DataFrame, out: str, *, sample_blocks: int = 1, row_group_bytes: int = 8 << 20) -> None:
     """Write cells (sample_id, chrom, pos, cpg_id, beta and any others) below out, and the dictionary of their sites.
 
-    A task holds SPAN positions of a chromosome for one of `sample_blocks` blocks of samples. Cells without chromosome or
-    position are left out, repeated cells stay. An empty table gives an empty store.
+    A task holds SPAN positions of a chromosome for one of `sample_blocks` blocks of samples, or the part of them that
+    adaptive execution cuts off where they hold more than its advisory size: few sites of many samples are not left to a
+    few tasks. Cells without chromosome or position are left out, repeated cells stay. An empty table gives an empty store.
     """
     rows = cells.where(F.col("chrom").isNotNull() & F.col("pos").isNotNull()).withColumn("__span", F.floor(F.col("pos") / SPAN)).withColumn("__block", F.pmod(F.xxhash64("sample_id"), F.lit(sample_blocks)))
     order = ["sample_ord"] if "sample_ord" in cells.columns else ["sample_id"]
-    rows = rows.repartition("chrom", "__span", "__block").sortWithinPartitions("chrom", "pos", *order).drop("__span", "__block")
+    rows = rows.hint("rebalance", "chrom", "__span", "__block").sortWithinPartitions("chrom", "pos", *order).drop("__span", "__block")
     rows.write.mode("overwrite").partitionBy("chrom").option("compression", "zstd").option("parquet.block.size", row_group_bytes).parquet(out)
     write_sites(cells.sparkSession, out, _kinds(rows))
 
@@ -41,9 +43,11 @@ def _kinds(df: DataFrame) -> str:
 def write_sites(spark: SparkSession, out: str, schema: str | None = None) -> None:
     """The dictionary of a store, from its id columns alone; to be written again when cells have been added."""
     reader = spark.read.schema(schema) if schema else spark.read
-    file = F.regexp_extract("_metadata.file_path", r"([^/]+/[^/]+)$", 1)
-    sites = reader.parquet(out).select("cpg_id", "chrom", "pos", file.alias("file")).groupBy("cpg_id", "chrom", "pos").agg(F.array_sort(F.collect_set("file")).alias("files"), F.count(F.lit(1)).alias("n_cells"))
-    ordered = numbered(sites, site_order("cpg_id"), name="ord")
+    file = F.regexp_extract("path", r"([^/]+/[^/]+)$", 1)
+    # cells are counted by site and file first, and once: numbering looks at its rows twice
+    held = reader.parquet(out).select("cpg_id", "chrom", "pos", F.col("_metadata.file_path").alias("path")).groupBy("cpg_id", "chrom", "pos", "path").agg(F.count(F.lit(1)).alias("n"))
+    sites = held.groupBy("cpg_id", "chrom", "pos").agg(F.array_sort(F.collect_set(file)).alias("files"), F.sum("n").alias("n_cells"))
+    ordered = numbered(materialize(sites, "sites"), site_order("cpg_id"), name="ord")
     ordered.repartitionByRange(max(1, spark.sparkContext.defaultParallelism), "ord").sortWithinPartitions("ord").write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", 1 << 20).parquet(f"{out}/{SITES}")
 
 

@@ -85,3 +85,16 @@ def test_annotations_of_ranked_sites_are_not_shuffled(spark):
     assert sorted((r.cpg_id, r.note) for r in got) == [(f"chr1_{k}", 2 * k) for k in range(45, 50)]
     plan = rank.rank_sites(results, 5, annotations=notes)._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
+
+
+def test_few_sites_of_many_samples_are_written_by_several_tasks(spark, tmp_path):
+    out = str(tmp_path / "few")
+    cells = spark.range(40_000, numPartitions=4).selectExpr("concat('S', id) sample_id", "'chr1' chrom", "id % 2 * 1000 + 1000 pos", "concat('chr1_', id % 2 * 1000 + 1000) cpg_id", "id / 40000D beta")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        site_store.write_store(cells, out)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(site_store.cells_of(spark, out).inputFiles()) > 1
+    assert {r.cpg_id: r.n_cells for r in site_store.site_dictionary(spark, out).collect()} == {"chr1_1000": 20_000, "chr1_2000": 20_000}
+    assert site_store.store_value_stats(spark, out).head()["mean"] == pytest.approx(39_999 / 80_000)
