@@ -737,7 +737,7 @@ def csv_convert(spark, sf):
     at, files = scratch.target(spark, base)
     files.deleteOnExit(at)
     header = spark.createDataFrame([(CSV_HEADER, 0)], "value string, sample_ord long")
-    header.unionByName(_csv_lines(spark, sf)).coalesce(1).sortWithinPartitions("sample_ord").select("value").write.text(f"{base}/m.csv")
+    header.unionByName(_csv_lines(spark, sf)).repartition(1).sortWithinPartitions("sample_ord").select("value").write.text(f"{base}/m.csv")
     counts, bad = beta_csv.convert(spark, f"{base}/m.csv", f"{base}/store", ["chr1", "chr2", "chr4"])
     store = site_store.cells_of(spark, f"{base}/store").groupBy("chrom", "pos", "cpg_id")
     held = store.agg(F.count(F.lit(1)).alias("n_cells"), F.count("beta").alias("n_present"), F.count_if("bad").alias("n_bad"), F.sum(F.col("beta").cast("double")).alias("total"), F.min_by("sample_id", "sample_ord").alias("first_sample"))
