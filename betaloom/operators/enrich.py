@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from betaloom.functions.ids import present
+from betaloom.functions.md5 import md5_heads
 from betaloom.operators.compare import adjust
 from betaloom.operators.order import numbered
 from betaloom.sources.scratch import materialize, shuffle_partitions
@@ -15,6 +19,8 @@ from betaloom.sources.scratch import materialize, shuffle_partitions
 DIGITS = 10  # of scores that are compared with those of permutations
 TIE = 1e-12  # extremes that differ by no more, as sums in another order may, count as equal
 EXACT_GENES = 200_000
+SLICE = 8192  # places that are hashed at once
+AT_ONCE = 50  # permutations whose places leave a task together
 
 
 def signed_rank(effect: Column | str, p: Column | str, *, zero_p_is_one: bool = False) -> Column:
@@ -117,13 +123,29 @@ def _score_hits(at: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
     return np.where(top + TIE >= -bottom, top, bottom)
 
 
+def _null_scores(at: np.ndarray, head: np.ndarray, weight: np.ndarray, sizes: list[int], n: int, prefix: str) -> list[float]:
+    """The score of the first `size` places by md5(prefix + place), for each of the ascending sizes; at ascends from 1, head has the first 32 bits."""
+    found, low = [], np.sort(head)
+    for size in reversed(sizes):
+        low, seen = low[:size], low
+        keep = head <= low[-1]
+        over = int(np.searchsorted(seen, low[-1], "right")) - size
+        if over:  # of places with the same head the whole digest decides
+            tied = sorted(np.flatnonzero(head == low[-1]), key=lambda i: (hashlib.md5(f"{prefix}{at[i]}".encode()).digest(), at[i]))
+            keep[tied[-over:]] = False
+        at, head, weight = at[keep], head[keep], weight[keep]
+        found.append(float(_score_hits((at - 1)[None], weight[None], n)[0]))
+    return found[::-1]
+
+
 def permutation_null(ranked: DataFrame, sizes: DataFrame, n_permutations: int = 1000, *, seed: int = 42, gene_col: str = "gene", metric_col: str = "metric") -> DataFrame:
     """(n_hits, permutation, es): the score of a random set of each size in `sizes` (n_hits), for each permutation from 1.
 
     Permutation p puts the places of the ranking in the order of md5("seed/p/place"); a random set of n hits is the
     first n of them. So a size is drawn once for all sets that have it, every engine draws the same, and the ranking
     meets a permutation only in the few places that can be among the first: those whose hash is below a bound that the
-    largest size exceeds by ten standard deviations. A task scores a permutation; its rows grow with the largest set.
+    largest size exceeds by ten standard deviations. Places are hashed in slices of the ranking, and what a slice has for
+    a permutation travels as one row of packed arrays. A task scores a permutation; its rows grow with the largest set.
     """
     spark = ranked.sparkSession
     wanted = sorted(r[0] for r in sizes.select(F.col("n_hits").cast("long")).distinct().collect())  # distinct sizes of sets
@@ -135,20 +157,32 @@ def permutation_null(ranked: DataFrame, sizes: DataFrame, n_permutations: int =
         return spark.createDataFrame([], schema)
     most = wanted[-1]
     share = min(1.0, (most + 10 * most**0.5 + 50) / total)
-    bound = f"{min(0xFFFFFFFF, int(share * 2**32)):08x}"
-    drawn = places.repartition(max(1, min(shuffle_partitions(spark) * 4, total // 1000))).withColumn("p", F.explode(F.sequence(F.lit(1), F.lit(n_permutations))))
-    drawn = drawn.withColumn("h", F.md5(F.concat_ws("/", F.lit(str(seed)), F.col("p").cast("string"), F.col("at").cast("string")))).where(F.left("h", F.lit(8)) <= bound)
+    bound = np.uint32(min(0xFFFFFFFF, int(share * 2**32)))
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for here in np.array_split(np.arange(len(pdf)), max(1, -(-len(pdf) // (2 * SLICE)))):
+                at, w = (pdf[c].to_numpy()[here] for c in ("at", "w"))
+                heads, rows = md5_heads(at), []
+                for p in range(1, n_permutations + 1):
+                    head = heads(f"{seed}/{p}/")
+                    low = np.flatnonzero(head <= bound)
+                    if len(low):
+                        rows.append((p, int(at[0]), (at[low] - at[0]).astype(np.uint32).tobytes(), head[low].tobytes(), w[low].tobytes()))
+                    if len(rows) == AT_ONCE or rows and p == n_permutations:
+                        yield pd.DataFrame(rows, columns=["p", "first", "at", "head", "w"])
+                        rows = []
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", "at"], kind="stable")
-        if len(pdf) < most:
-            raise ValueError(f"permutation {pdf.p.iloc[0]} has {len(pdf)} places below the bound, fewer than {most}")
-        at, w, es = pdf["at"].to_numpy() - 1, pdf.w.to_numpy(), []
-        for n in wanted:
-            up = np.argsort(at[:n], kind="stable")
-            es.append(float(_score_hits(at[:n][up][None], w[:n][up][None], total)[0]))
-        return pd.DataFrame({"n_hits": wanted, "permutation": pdf.p.iloc[0], "es": es})
-
+        pdf, p = pdf.sort_values("first"), int(pdf.p.iloc[0])
+        at = np.concatenate([first + np.frombuffer(x, np.uint32) for first, x in zip(pdf["first"], pdf["at"])])
+        head, w = (np.frombuffer(b"".join(pdf[c]), kind) for c, kind in (("head", np.uint32), ("w", np.float64)))
+        if len(at) < most:
+            raise ValueError(f"permutation {p} has {len(at)} places below the bound, fewer than {most}")
+        return pd.DataFrame({"n_hits": wanted, "permutation": p, "es": _null_scores(at, head, w, wanted, total, f"{seed}/{p}/")})
+
+    slices = places.repartitionByRange(min(shuffle_partitions(spark) * 8, -(-total // SLICE)), "at").sortWithinPartitions("at")
+    drawn = slices.mapInPandas(draw, "p int, first long, at binary, head binary, w binary")
     # as many tasks as a shuffle has, however few bytes there are: scoring costs more than moving
     return drawn.repartition(shuffle_partitions(spark), "p").groupBy("p").applyInPandas(score, schema)
 

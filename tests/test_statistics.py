@@ -240,3 +240,38 @@ def test_large_adjustment_sees_its_rows_once(spark):
     got = compare.adjust_large(rows).toPandas()
     want = {r.feature: r.q_value for r in compare.adjust(spark.createDataFrame(got[["feature", "p_value"]])).collect()}
     assert len(got) == 3000 and all(abs(q - want[f]) < 1e-12 for f, q in zip(got["feature"], got["q_value"]))
+
+
+def test_md5_of_many_texts_equals_the_library():
+    import hashlib
+
+    from betaloom.functions.md5 import md5_heads
+
+    numbers = np.array([0, 7, 10, 99, 100, 12345, 999_999, 1_000_000, 7_200_000, 2**32, 2**62])
+    heads = md5_heads(numbers)
+    for prefix in ("", "4", "42/", "42/7/", "42/10/", "42/999/", "42/1000/", "-123456789/1000000/"):
+        assert heads(prefix).tolist() == [int(hashlib.md5(f"{prefix}{n}".encode()).hexdigest()[:8], 16) for n in numbers]
+    assert md5_heads(numbers[:0])("42/1/").tolist() == []
+    with pytest.raises(ValueError):
+        heads("x" * 40)
+
+
+def test_places_of_equal_heads_are_drawn_by_the_whole_digest():
+    import hashlib
+
+    rng = np.random.default_rng(6)
+    at, weight, sizes = np.arange(1, 401), rng.random(400), [1, 2, 57, 130, 131, 399]
+    digests = [hashlib.md5(f"42/3/{i}".encode()).digest() for i in at]
+    order = sorted(range(400), key=lambda i: digests[i])
+    for bits in (1, 4, 32):  # the fewer bits a head has, the more places share it
+        head = np.array([int.from_bytes(d[:4], "big") >> (32 - bits) for d in digests], np.uint32)
+        for size, es in zip(sizes, enrich._null_scores(at, head, weight, sizes, 400, "42/3/")):
+            hits = np.sort(order[:size])
+            assert es == enrich._score_hits(hits[None], weight[hits][None], 400)[0]
+
+
+def test_a_place_is_no_row_of_a_permutation(spark):
+    ranked = spark.range(3000).selectExpr("concat('g', cast(id as string)) gene", "cast(id as double) metric")
+    null = enrich.permutation_null(ranked, spark.createDataFrame([(2,), (40,)], "n_hits long"), 6)
+    assert "explode" not in null._jdf.queryExecution().executedPlan().toString().lower()
+    assert null.count() == 12
