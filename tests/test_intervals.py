@@ -1,4 +1,5 @@
 from betaloom.operators import intervals
+from betaloom.plans import queries
 
 
 def plan(df):
@@ -20,3 +21,25 @@ def test_intervals_and_points_are_never_broadcast(spark):
     for df in found:
         assert "Broadcast" not in plan(df)
         assert df.count() in (1, 2)
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def broadcasts(df):
+    """What the plan, before anything ran, would collect and send to all executors: the text below each exchange of that kind."""
+    lines, out = plan(df).splitlines(), []
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = next((k for k in range(i + 1, len(lines)) if depth(lines[k]) <= depth(line)), len(lines))
+            out.append("\n".join(lines[i:below]))
+    return out
+
+
+def test_import_broadcasts_no_genes_sites_or_regions(spark):
+    """Only the names of pathways and terms may be."""
+    g = queries._imported(spark, SF)
+    assert broadcasts(g.e_cpg_gene) == broadcasts(g.e_cpg_region) == []
+    for edges, name in ((g.e_gene_pathway, "p_brand"), (g.e_gene_term, "p_size")):
+        assert all(name in x and "p_partkey" not in x for x in broadcasts(edges))
