@@ -1,3 +1,5 @@
+import pytest
+
 from betaloom.operators import intervals
 from betaloom.plans import queries
 
@@ -43,3 +45,8 @@ def test_import_broadcasts_no_genes_sites_or_regions(spark):
     assert broadcasts(g.e_cpg_gene) == broadcasts(g.e_cpg_region) == []
     for edges, name in ((g.e_gene_pathway, "p_brand"), (g.e_gene_term, "p_size")):
         assert all(name in x and "p_partkey" not in x for x in broadcasts(edges))
+
+
+@pytest.mark.parametrize("name", ["island_digest"])
+def test_query_broadcasts_no_intervals_or_sites(spark, name):
+    assert broadcasts(queries.QUERIES[name](spark, SF)) == []
