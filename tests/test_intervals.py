@@ -47,6 +47,6 @@ def test_import_broadcasts_no_genes_sites_or_regions(spark):
         assert all(name in x and "p_partkey" not in x for x in broadcasts(edges))
 
 
-@pytest.mark.parametrize("name", ["island_digest", "overlap_freq", "overlap_shares"])
+@pytest.mark.parametrize("name", ["island_digest", "overlap_freq", "overlap_shares", "region_overlap"])
 def test_query_broadcasts_no_intervals_or_sites(spark, name):
     assert broadcasts(queries.QUERIES[name](spark, SF)) == []
