@@ -242,6 +242,19 @@ def test_large_adjustment_sees_its_rows_once(spark):
     assert len(got) == 3000 and all(abs(q - want[f]) < 1e-12 for f, q in zip(got["feature"], got["q_value"]))
 
 
+def test_large_adjustment_cuts_its_families_once(spark, monkeypatch):
+    """Approximate quantiles that differ whenever they are computed again, as they do with the order in which counts arrive."""
+    from pyspark.sql import functions as F
+
+    shift = F.udf(lambda cuts: [c * __import__("random").uniform(0.8, 1.0) for c in cuts], "array<double>").asNondeterministic()
+    exact = F.percentile_approx
+    monkeypatch.setattr(compare.F, "percentile_approx", lambda *args: shift(exact(*args)))
+    rows = spark.range(0, 3000, 1, 4).selectExpr("cast(id as string) feature", "power((id * 7919 % 100003 + 1) / 100004D, 3) p_value")
+    want = {r.feature: r.q_value for r in compare.adjust(rows, "fdr_by").collect()}
+    got = {r.feature: r.q_value for r in compare.adjust_large(rows, "fdr_by").collect()}
+    assert got.keys() == want.keys() and [f for f, q in want.items() if abs(got[f] - q) > 1e-12] == []
+
+
 def test_md5_of_many_texts_equals_the_library():
     import hashlib
 
